@@ -14,6 +14,7 @@ WC = r"[\p{L}\p{N}_]"                        # Python \w
 ND = r"\p{Nd}"                               # Python \d
 
 LINEBREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"   # str.splitlines()
+LINEBREAK_CHARS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"          # the same, one char each
 BLANK = rf"^{WS}*$"
 CONT = r"^[a-z]"
 EXHIBIT = r"^\x{FEFF}?Exhibit."

@@ -8,7 +8,7 @@ line, or fails (``error_blank_first``) when a continuation follows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactline.functions import patterns as P
@@ -22,9 +22,15 @@ ERR_EXHIBIT_ONLY = "error_exhibit_only"
 
 def split_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(doc_id, text) -> (doc_id, pos, line) like ``str.splitlines`` (B1)."""
-    parts = F.split(F.col(text_col), P.LINEBREAK)
+    # Every break becomes "\n" with char-level ops, so the split itself is a
+    # single-character split (no regex engine over the whole text).
+    t = F.col(text_col)
+    t = F.when(F.instr(t, "\r\n") > 0, F.replace(t, F.lit("\r\n"), F.lit("\n"))).otherwise(t)
+    t = F.translate(t, P.LINEBREAK_CHARS, "\n" * len(P.LINEBREAK_CHARS))
+    split = docs.select(F.col(id_col).alias("doc_id"), F.split(t, "\n").alias("parts"))
+    parts = F.col("parts")
     parts = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
-    return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(parts).alias("pos", "line"))
+    return split.select("doc_id", F.posexplode(parts).alias("pos", "line"))
 
 
 def text_status(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -36,7 +42,7 @@ def text_status(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
 
 
 def _raw(lines: DataFrame, chunk_lines: int) -> DataFrame:
-    return (lines.select("doc_id", "pos", "line",
+    return S.materialize(lines.select("doc_id", "pos", "line",
                          S.chunk_of(F.col("pos"), chunk_lines).alias("chunk"),
                          is_blank("line").alias("blank"),
                          is_continuation("line").alias("cont"))
@@ -60,24 +66,25 @@ def _raw_summary(x: DataFrame) -> DataFrame:
         F.sum("c_cont").over(S.doc()).alias("d_cont"),
         F.sum("c_lines").over(S.doc()).alias("d_lines"),
         F.min("chunk").over(S.doc()).alias("d_first_chunk"),
+        F.count(F.lit(1)).over(S.doc()).alias("d_chunks"),
         F.coalesce(F.sum("c_starts").over(S.prev_chunks()), F.lit(0)).alias("starts_before"))
     has_start = (F.col("c_starts") > 0) | (F.col("chunk") == F.col("d_first_chunk"))
     status = (F.when(F.col("d_first_blank") & (F.col("d_cont") > 0), F.lit(ERR_BLANK_FIRST))
                .when(F.col("d_first_blank"), F.lit(COLLAPSED))
                .otherwise(F.lit(OK)))
     return cs.select(*S.KEYS, "d_first_pos", "d_first_cont", "d_lines", "starts_before",
-                     status.alias("status"),
+                     status.alias("status"), (F.col("d_chunks") > 1).alias("multi"),
                      F.max(F.when(has_start, F.col("chunk"))).over(S.prev_chunks()).alias("head_chunk"))
 
 
-def normalized(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> tuple[DataFrame, DataFrame]:
-    """Normalised lines (doc_id, chunk, i, line) and the per-chunk summary.
+def level1(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> tuple[DataFrame, DataFrame]:
+    """Raw lines joined with their chunk summary, kept lines only.
 
-    ``chunk`` is the chunk of the line's first raw line, so the output keeps
-    the ``(doc_id, chunk)`` partitioning of the input exchange.
+    Adds ``multi`` (the document spans more than one chunk) and ``g``
+    (group number = 1-based normalised position of the group).
     """
     x = _raw(lines, chunk_lines)
-    cs = _raw_summary(x)
+    cs = S.materialize(_raw_summary(x))
     y = x.join(cs, S.KEYS)
     keep = (F.when(F.col("status") == OK, ~F.col("blank"))
              .when(F.col("status") == COLLAPSED, F.col("pos") == F.col("d_first_pos"))
@@ -86,7 +93,22 @@ def normalized(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> tuple[Data
     start = ~F.col("cont") | (F.col("pos") == F.col("d_first_pos"))
     g = (F.col("starts_before") + F.sum((~F.col("cont")).cast("int")).over(S.running("pos"))
          + F.col("d_first_cont").cast("int"))
-    y = y.select(*S.KEYS, "pos", "line", "head_chunk", start.alias("is_start"), g.alias("g"))
+    return y.select(*S.KEYS, "pos", "line", "head_chunk", "multi",
+                    start.alias("is_start"), g.alias("g")), cs
+
+
+def _norm_single(y: DataFrame) -> DataFrame:
+    """Documents inside one chunk: glue with a window over the group, no join."""
+    w = (Window.partitionBy(*S.KEYS, "g").orderBy("pos")
+         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    glued = F.array_join(F.collect_list("line").over(w), "")
+    return (y.select(*S.KEYS, "g", "is_start", glued.alias("line"))
+            .where(F.col("is_start"))
+            .select(*S.KEYS, (F.col("g") - 1).cast("int").alias("i"), "line"))
+
+
+def _norm_multi(y: DataFrame) -> DataFrame:
+    """Documents over several chunks: glue per chunk, then carry tails."""
     pieces = y.groupBy(*S.KEYS, "g").agg(
         F.min("pos").alias("spos"),
         F.max("is_start").alias("has_head"),
@@ -100,7 +122,33 @@ def normalized(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> tuple[Data
     heads = pieces.where(F.col("has_head")).join(tails, S.KEYS, "left")
     line = F.when(F.col("g") == F.col("tail_g"), F.concat("piece", "tail")).otherwise(F.col("piece"))
     out = heads.select(*S.KEYS, (F.col("g") - 1).cast("int").alias("i"), line.alias("line"))
-    return out, cs
+    return S.materialize(out)
+
+
+def has_multi(cs: DataFrame) -> bool:
+    """Does any document span more than one chunk?  (one-row job on the summary)"""
+    return bool(cs.agg(F.max(F.col("multi").cast("int"))).first()[0] or 0)
+
+
+def normalized_parts(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES):
+    """(single-chunk docs, multi-chunk docs or None, chunk summary) of normalised lines.
+
+    The carry path is only planned when some document needs it.
+    """
+    y, cs = level1(lines, chunk_lines)
+    single = _norm_single(y.where(~F.col("multi")))
+    multi = _norm_multi(y.where(F.col("multi"))) if has_multi(cs) else None
+    return single, multi, cs
+
+
+def normalized(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> tuple[DataFrame, DataFrame]:
+    """Normalised lines (doc_id, chunk, i, line) and the per-chunk summary.
+
+    ``chunk`` is the chunk of the line's first raw line, so the output keeps
+    the ``(doc_id, chunk)`` partitioning of the input exchange.
+    """
+    single, multi, cs = normalized_parts(lines, chunk_lines)
+    return (single if multi is None else single.unionByName(multi)), cs
 
 
 def normalize_lines(lines: DataFrame) -> DataFrame:

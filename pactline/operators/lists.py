@@ -14,17 +14,17 @@ from pyspark.sql import functions as F
 
 from pactline.functions import text as T
 from pactline.operators import segments as S
-from pactline.operators.tagger import tag_frame
+from pactline.operators.tagger import tag_parts
 
 _CMP = {">": lambda a, b: a > b, ">=": lambda a, b: a >= b, "<": lambda a, b: a < b,
         "<=": lambda a, b: a <= b, "=": lambda a, b: a == b}
 
 
 def list_items(tagged: DataFrame) -> DataFrame:
-    """(doc_id, chunk, i, line, marker, mtype, content) of lines tagged ``l``."""
+    """(doc_id, chunk, i, line, multi, marker, mtype, content) of lines tagged ``l``."""
     m = T.list_marker("line")
     return (tagged.where(F.col("tag") == "l")
-            .select(*S.KEYS, "i", "line", m.alias("marker"))
+            .select(*S.KEYS, "i", "line", "multi", m.alias("marker"))
             .withColumn("mtype", T.list_type("marker"))
             .withColumn("content", T.list_content("marker")))
 
@@ -57,27 +57,40 @@ def growth(t1: Column, c1: Column, t2: Column, c2: Column) -> Column:
     return same_type(t1, t2) & F.coalesce(step, F.lit(False))
 
 
-def list_pairs(tagged: DataFrame) -> DataFrame:
-    """Each list item with its previous list item in the document (D5-D7 inputs)."""
-    items = list_items(tagged)
-    cs = items.groupBy(*S.KEYS).agg(
+def _pairs(items: DataFrame, carry: F.Column | None) -> DataFrame:
+    w = S.local_window("i")
+    has_lag = F.lag("i").over(w).isNotNull()
+
+    def prev(c):
+        lagged = F.lag(c).over(w)
+        return lagged if carry is None else F.when(has_lag, lagged).otherwise(carry[c])
+    return items.select(*S.KEYS, "i", "line", "multi", "marker", "mtype", "content",
+                        prev("i").alias("prev_i"), prev("mtype").alias("prev_mtype"),
+                        prev("content").alias("prev_content"))
+
+
+def _pair_parts(lines: DataFrame):
+    single_t, multi_t = tag_parts(lines)
+    single = _pairs(list_items(single_t.withColumn("multi", F.lit(False))), None)
+    if multi_t is None:
+        return single, None
+    multi = list_items(multi_t.withColumn("multi", F.lit(True)))
+    cs = multi.groupBy(*S.KEYS).agg(
         F.max("i").alias("c_last_i"),
         F.max_by(F.struct("mtype", "content", "i"), "i").alias("c_last"))
     cs = cs.select(*S.KEYS, F.max_by("c_last", "c_last_i").over(S.prev_chunks()).alias("carry"))
-    y = items.join(cs, S.KEYS)
-    w = S.local_window("i")
-    return y.select(
-        *S.KEYS, "i", "line", "marker", "mtype", "content",
-        F.coalesce(F.lag("i").over(w), F.col("carry.i")).alias("prev_i"),
-        F.when(F.lag("i").over(w).isNotNull(), F.lag("mtype").over(w))
-         .otherwise(F.col("carry.mtype")).alias("prev_mtype"),
-        F.when(F.lag("i").over(w).isNotNull(), F.lag("content").over(w))
-         .otherwise(F.col("carry.content")).alias("prev_content"))
+    return single, _pairs(multi.join(cs, S.KEYS), F.col("carry"))
+
+
+def list_pairs(lines: DataFrame) -> DataFrame:
+    """Each list item with its previous list item in the document (D5-D7 inputs)."""
+    single, multi = _pair_parts(lines)
+    return single if multi is None else single.unionByName(multi)
 
 
 def list_relations(lines: DataFrame, op: str = ">") -> DataFrame:
     """D4-D7 per list item: start, same type, compare(prev op cur), growth."""
-    p = list_pairs(tag_frame(lines))
+    p = list_pairs(lines)
     has_prev = F.col("prev_i").isNotNull()
     pt, pc, ct, cc = F.col("prev_mtype"), F.col("prev_content"), F.col("mtype"), F.col("content")
     return p.select(
@@ -94,14 +107,19 @@ def list_runs(lines: DataFrame, min_items: int = 2) -> DataFrame:
     run_id = running count of breaks; runs are aggregated with algebraic
     aggregates only (min/max/count), so a long run is never collected.
     """
-    p = list_pairs(tag_frame(lines))
+    single, multi = _pair_parts(lines)
     brk = ~(F.col("prev_i").isNotNull()
             & growth(F.col("prev_mtype"), F.col("prev_content"), F.col("mtype"), F.col("content")))
-    p = p.withColumn("brk", brk.cast("int"))
-    cs = p.groupBy(*S.KEYS).agg(F.sum("brk").alias("c_brk"))
-    cs = cs.select(*S.KEYS, F.coalesce(F.sum("c_brk").over(S.prev_chunks()), F.lit(0)).alias("brk_before"))
-    y = p.join(cs, S.KEYS).withColumn(
-        "run_id", F.col("brk_before") + F.sum("brk").over(S.running("i")))
+    y = (single.withColumn("brk", brk.cast("int"))
+         .withColumn("run_id", F.sum("brk").over(S.running("i"))))
+    if multi is not None:
+        multi = multi.withColumn("brk", brk.cast("int"))
+        cs = multi.groupBy(*S.KEYS).agg(F.sum("brk").alias("c_brk"))
+        cs = cs.select(*S.KEYS, F.coalesce(F.sum("c_brk").over(S.prev_chunks()), F.lit(0)).alias("brk_before"))
+        multi = (multi.join(cs, S.KEYS)
+                 .withColumn("run_id", F.col("brk_before") + F.sum("brk").over(S.running("i")))
+                 .drop("brk_before"))
+        y = y.unionByName(multi)
     runs = y.groupBy("doc_id", "run_id").agg(
         F.min("i").alias("first_i"), F.max("i").alias("last_i"),
         F.count(F.lit(1)).alias("n_items"),

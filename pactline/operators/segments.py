@@ -13,7 +13,8 @@ its partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK_LINES = 4096
@@ -58,3 +59,25 @@ def ordered_concat(order: str, value: str, sep: str = "") -> Column:
     """Concatenate ``value`` in ``order`` inside a group (array_sort of structs)."""
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, value))),
                                     lambda s: s[value]), sep)
+
+
+_HELD: list[DataFrame] = []
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Keep a level's output for the two branches that read it.
+
+    A summary and the join back both read the level below; without this,
+    each level would recompute the one below twice.  ``persist`` keeps the
+    lineage, so a lost executor's blocks are recomputed, and it keeps the
+    ``(doc_id, chunk)`` partitioning, so the joins add no exchange.
+    """
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _HELD.append(held)
+    return held
+
+
+def release() -> None:
+    """Drop every level kept by ``materialize`` (call between jobs)."""
+    while _HELD:
+        _HELD.pop().unpersist()

@@ -19,7 +19,7 @@ from a per-chunk summary; scans run inside ``(doc_id, chunk)`` partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactline.functions import text as T
@@ -70,15 +70,9 @@ def _tag_summary_chunks(z: DataFrame) -> DataFrame:
         F.lead("first_is_s").over(S.chunks()).alias("next_first_is_s"))
 
 
-def tag_frame(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
-    """Every tagging column, one row per normalised line of a tagged document.
-
-    Columns: doc_id, chunk, i, line, raw_tag (T1+T2), tag_t3, tag_t4, tag,
-    bits, n, start, all_upper, exhibit0, title0, tot.
-    """
-    norm, _ = L.normalized(lines, chunk_lines)
+def _classify(norm: DataFrame) -> DataFrame:
     i, line = F.col("i"), F.col("line")
-    z = norm.select(
+    return norm.select(
         *S.KEYS, "i", "line",
         T.is_blank(line).alias("blank"),
         (~T.is_blank(line) & T.is_section(line)).alias("cand_s"),
@@ -86,11 +80,11 @@ def tag_frame(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
         T.is_upper(line).alias("up"),
         F.when(i == 0, T.is_exhibit(line)).otherwise(False).alias("ex"),
         F.when(i == 0, T.is_title(line)).otherwise(False).alias("ti"))
-    cs = _tag_summary_chunks(z)
-    y = z.join(cs, S.KEYS)
-    # A one-line document whose line 0 is an Exhibit line fails.
-    y = y.where(~(F.col("exhibit0") & (F.col("n") == 1)))
-    start, blank = F.col("start"), F.col("blank")
+
+
+def _rule_tags(y: DataFrame) -> DataFrame:
+    """T1-T4 given doc-level start / exhibit0 / title0 / all_upper columns."""
+    i, start, blank = F.col("i"), F.col("start"), F.col("blank")
     is_title_line = ((F.col("exhibit0") & (i == 1))
                      | (~F.col("exhibit0") & F.col("title0") & (i == 0)))
     s_raw = F.col("cand_s") & (i >= start)
@@ -99,12 +93,12 @@ def tag_frame(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
     raw_tag = (F.when(is_title_line, F.lit("title")).when(s_raw, F.lit("s")).when(l_raw, F.lit("l")))
     tag_t3 = (F.when(is_title_line, F.lit("title")).when(is_s, F.lit("s")).when(l_raw, F.lit("l")))
     tag_t4 = F.when(tag_t3.isNull() & ~blank, F.lit("p")).otherwise(tag_t3)
-    y = y.select(*S.KEYS, "i", "line", "n", "start", "all_upper", "exhibit0", "title0", "tot",
-                 "s_before", "next_first_is_s",
-                 raw_tag.alias("raw_tag"), tag_t3.alias("tag_t3"), tag_t4.alias("tag_t4"),
-                 is_s.alias("is_s"))
-    si = F.col("s_before") + F.sum(F.col("is_s").cast("int")).over(S.running("i"))
-    nxt = F.coalesce(F.lead("is_s").over(S.local_window("i")), F.col("next_first_is_s"), F.lit(False))
+    return y.select("*", raw_tag.alias("raw_tag"), tag_t3.alias("tag_t3"), tag_t4.alias("tag_t4"),
+                    is_s.alias("is_s"))
+
+
+def _final(y: DataFrame, si, nxt) -> DataFrame:
+    """T5 bits and the closing last line, given running s count and next-is-s."""
     t4 = F.col("tag_t4")
     bits = (F.when(t4 == "s", F.when(nxt & (si % 2 == 1), 3).otherwise(1))
              .when(t4 == "title", 1).when(t4.isin("l", "p"), 3).otherwise(0))
@@ -115,6 +109,59 @@ def tag_frame(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
                     "n", "start", "all_upper", "exhibit0", "title0", "tot")
 
 
+def _tags_single(norm: DataFrame) -> DataFrame:
+    """Documents inside one chunk: every doc-level value is a window value."""
+    z = _classify(norm)
+    whole = Window.partitionBy(*S.KEYS)
+    i = F.col("i")
+    z = z.select("*", F.count(F.lit(1)).over(whole).alias("n"),
+                 F.max("ex").over(whole).alias("exhibit0"), F.max("ti").over(whole).alias("title0"))
+    z = z.where(~(F.col("exhibit0") & (F.col("n") == 1)))
+    z = z.withColumn("start", F.when(F.col("exhibit0"), 2).when(F.col("title0"), 1).otherwise(0))
+    s_raw = F.col("cand_s") & (i >= F.col("start"))
+    z = z.withColumn("all_upper", F.coalesce(F.min(F.when(s_raw, F.col("up"))).over(whole), F.lit(True)))
+    z = _rule_tags(z)
+    z = z.withColumn("tot", F.sum(F.col("is_s").cast("int")).over(whole))
+    si = F.sum(F.col("is_s").cast("int")).over(S.running("i"))
+    nxt = F.coalesce(F.lead("is_s").over(S.local_window("i")), F.lit(False))
+    return _final(z, si, nxt)
+
+
+def _tags_multi(norm: DataFrame) -> DataFrame:
+    """Documents over several chunks: doc-level values from the chunk summary."""
+    z = _classify(norm)
+    cs = _tag_summary_chunks(z)
+    y = z.join(cs, S.KEYS)
+    # A one-line document whose line 0 is an Exhibit line fails.
+    y = y.where(~(F.col("exhibit0") & (F.col("n") == 1)))
+    y = _rule_tags(y)
+    si = F.col("s_before") + F.sum(F.col("is_s").cast("int")).over(S.running("i"))
+    nxt = F.coalesce(F.lead("is_s").over(S.local_window("i")), F.col("next_first_is_s"), F.lit(False))
+    return S.materialize(_final(y, si, nxt))
+
+
+def tag_parts(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> tuple[DataFrame, DataFrame | None]:
+    """(single-chunk docs, multi-chunk docs or None) of the tag frame."""
+    single, multi, _ = L.normalized_parts(lines, chunk_lines)
+    return _tags_single(single), (None if multi is None else _tags_multi(multi))
+
+
+def union_parts(single: DataFrame, multi: DataFrame | None) -> DataFrame:
+    s = single.withColumn("multi", F.lit(False))
+    return s if multi is None else s.unionByName(multi.withColumn("multi", F.lit(True)))
+
+
+def tag_frame(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
+    """Every tagging column, one row per normalised line of a tagged document.
+
+    Columns: doc_id, chunk, i, line, raw_tag (T1+T2), tag_t3, tag_t4, tag,
+    bits, n, start, all_upper, exhibit0, title0, tot.  Documents inside one
+    chunk (nearly all) are tagged with windows over their partition; longer
+    ones use the chunk summary carry.
+    """
+    return union_parts(*tag_parts(lines, chunk_lines))
+
+
 # --- public operators --------------------------------------------------------
 
 def title_position(lines: DataFrame) -> DataFrame:

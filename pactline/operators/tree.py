@@ -18,13 +18,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactline.operators import segments as S
-from pactline.operators.tagger import tag_frame
+from pactline.operators.tagger import tag_frame, tag_parts
 
 TAGS = ("title", "s", "l", "p")
 
 
-def _node_frame(tagged: DataFrame) -> DataFrame:
-    """tag_frame rows + parent, depth, cl_pos, node_rank, tag_rank, top_ancestor."""
+def _tree_columns(y: DataFrame, parent, depth, d_last1, d_first1, node_rank, tag_rank) -> DataFrame:
+    one = F.col("bits") == 1
+    closes = (F.col("tot") > 0) & (F.col("tot") % 2 == 0)
+    cl_pos = F.when(closes & (F.col("i") == d_last1), F.col("n") - 1).otherwise(F.col("i"))
+    # The depth-1 ancestor: the node itself at depth 1, else the first bits-1 node.
+    top = F.when(depth == 1, F.col("i")).otherwise(d_first1)
+    del one
+    return y.select("doc_id", "i", "tag", "bits", "n", "tot",
+                    parent.alias("parent_pos"), depth.alias("depth"), cl_pos.alias("cl_pos"),
+                    node_rank.alias("node_rank"), tag_rank.alias("tag_rank"), top.alias("top_ancestor"))
+
+
+def _per_tag_running():
+    return (Window.partitionBy(*S.KEYS, "tag").orderBy("i")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def _nodes_single(tagged: DataFrame) -> DataFrame:
+    one = F.col("bits") == 1
+    whole = Window.partitionBy(*S.KEYS)
+    prev = S.before("i")
+    y = tagged.where(F.col("bits").isin(1, 3))
+    return _tree_columns(
+        y,
+        parent=F.coalesce(F.max(F.when(one, F.col("i"))).over(prev), F.lit(-1)),
+        depth=1 + F.coalesce(S.count_if(one).over(prev), F.lit(0)),
+        d_last1=F.max(F.when(one, F.col("i"))).over(whole),
+        d_first1=F.min(F.when(one, F.col("i"))).over(whole),
+        node_rank=F.count(F.lit(1)).over(S.running("i")),
+        tag_rank=F.count(F.lit(1)).over(_per_tag_running()))
+
+
+def _nodes_multi(tagged: DataFrame) -> DataFrame:
     one = F.col("bits") == 1
     node = F.col("bits").isin(1, 3)
     cs = tagged.groupBy(*S.KEYS).agg(
@@ -41,28 +72,28 @@ def _node_frame(tagged: DataFrame) -> DataFrame:
         F.min("c_first1").over(S.doc()).alias("d_first1"),
         F.coalesce(F.sum("c_nodes").over(S.prev_chunks()), F.lit(0)).alias("nodes_before"),
         *[F.coalesce(F.sum(f"c_{t}").over(S.prev_chunks()), F.lit(0)).alias(f"{t}_before") for t in TAGS])
-    y = tagged.join(cs, S.KEYS)
+    y = tagged.where(node).join(cs, S.KEYS)
     prev = S.before("i")
-    parent = F.coalesce(F.max(F.when(one, F.col("i"))).over(prev), F.col("last1_before"), F.lit(-1))
-    depth = 1 + F.col("ones_before") + F.coalesce(S.count_if(one).over(prev), F.lit(0))
-    closes = (F.col("tot") > 0) & (F.col("tot") % 2 == 0)
-    cl_pos = F.when(closes & (F.col("i") == F.col("d_last1")), F.col("n") - 1).otherwise(F.col("i"))
-    node_rank = F.col("nodes_before") + S.count_if(node).over(S.running("i"))
     tag_before = F.coalesce(*[F.when(F.col("tag") == t, F.col(f"{t}_before")) for t in TAGS])
-    per_tag = (Window.partitionBy(*S.KEYS, "tag").orderBy("i")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    tag_rank = tag_before + F.count(F.lit(1)).over(per_tag)
-    # The depth-1 ancestor: the node itself at depth 1, else the first bits-1 node.
-    top = F.when(depth == 1, F.col("i")).otherwise(F.col("d_first1"))
-    return (y.where(node)
-            .select("doc_id", "i", "tag", "bits", "n", "tot", "d_last1",
-                    parent.alias("parent_pos"), depth.alias("depth"), cl_pos.alias("cl_pos"),
-                    node_rank.alias("node_rank"), tag_rank.alias("tag_rank"), top.alias("top_ancestor")))
+    return _tree_columns(
+        y,
+        parent=F.coalesce(F.max(F.when(one, F.col("i"))).over(prev), F.col("last1_before"), F.lit(-1)),
+        depth=1 + F.col("ones_before") + F.coalesce(S.count_if(one).over(prev), F.lit(0)),
+        d_last1=F.col("d_last1"), d_first1=F.col("d_first1"),
+        node_rank=F.col("nodes_before") + F.count(F.lit(1)).over(S.running("i")),
+        tag_rank=tag_before + F.count(F.lit(1)).over(_per_tag_running()))
+
+
+def node_frame(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
+    """Node rows + parent, depth, cl_pos, node_rank, tag_rank, top_ancestor."""
+    single, multi = tag_parts(lines, chunk_lines)
+    nodes = _nodes_single(single)
+    return nodes if multi is None else nodes.unionByName(_nodes_multi(multi))
 
 
 def build_tree(lines: DataFrame) -> DataFrame:
     """(doc_id, node_pos, parent_pos, depth, tag, op_pos, cl_pos)."""
-    f = _node_frame(tag_frame(lines))
+    f = node_frame(lines)
     return f.select("doc_id", F.col("i").alias("node_pos"), "parent_pos", "depth", "tag",
                     F.col("i").alias("op_pos"), "cl_pos")
 
@@ -75,7 +106,7 @@ def tree_root(lines: DataFrame) -> DataFrame:
         F.first("n").alias("n"), F.first("tot").alias("tot"),
         F.max(F.when(one, F.col("i"))).alias("last1"))
     closes_root = (F.col("tot") > 0) & (F.col("tot") % 2 == 0) & F.col("last1").isNull()
-    kids = (_node_frame(tagged).where(F.col("parent_pos") == -1)
+    kids = (node_frame(lines).where(F.col("parent_pos") == -1)
             .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_children")))
     return (docs.join(kids, "doc_id", "left")
             .select("doc_id", F.lit(0).alias("op_pos"),
@@ -85,7 +116,7 @@ def tree_root(lines: DataFrame) -> DataFrame:
 
 def tag_lines(lines: DataFrame, tag: str | None = None) -> DataFrame:
     """C14: (doc_id, tag, rank, op_pos, cl_pos) in breadth-first order per tag."""
-    f = _node_frame(tag_frame(lines))
+    f = node_frame(lines)
     if tag is not None:
         f = f.where(F.col("tag") == tag)
     return f.select("doc_id", "tag", F.col("tag_rank").alias("rank"),
@@ -99,7 +130,7 @@ def tree_walk(lines: DataFrame) -> DataFrame:
     "root, then breadth-first under each top-level child".
     """
     tagged = tag_frame(lines)
-    f = _node_frame(tagged)
+    f = node_frame(lines)
     nodes = f.select("doc_id", F.col("i").alias("node_pos"), "tag", "depth", "top_ancestor",
                      F.col("node_rank").alias("bfs_rank"), F.col("node_rank").alias("child_walk_rank"))
     roots = (tagged.where(F.col("i") == 0)
@@ -111,7 +142,7 @@ def tree_walk(lines: DataFrame) -> DataFrame:
 
 def subtree_counts(lines: DataFrame) -> DataFrame:
     """Children per node and per child tag (root = -1)."""
-    f = _node_frame(tag_frame(lines))
+    f = node_frame(lines)
     return (f.groupBy("doc_id", "parent_pos")
             .agg(F.count(F.lit(1)).alias("n_children"),
                  *[S.count_if(F.col("tag") == t).alias(f"n_{t}") for t in TAGS]))

@@ -44,7 +44,7 @@ def _spark_all(spark, docs, chunk_lines):
     df = _lines_df(spark, docs)
     f = tagger.tag_frame(df, chunk_lines=chunk_lines).select("doc_id", "i", "line", "tag", "bits").collect()
     st = {r.doc_id: r.status for r in tagger.line_status(df).collect()}
-    nodes = tree._node_frame(tagger.tag_frame(df, chunk_lines=chunk_lines)).collect()
+    nodes = tree.node_frame(df, chunk_lines=chunk_lines).collect()
     by_doc = {}
     for r in f:
         by_doc.setdefault(r.doc_id, []).append(r)
