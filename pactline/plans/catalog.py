@@ -246,3 +246,7 @@ def q_tag_summary_documents(spark, sf):
           "SELECT doc_id, tag, count(*) AS n_lines FROM tagged WHERE tag IS NOT NULL GROUP BY doc_id, tag")
 def q_tag_counts_per_doc(spark, sf):
     return tagger.tag_counts_per_doc(tagger.tag_positions(contracts(spark, sf)))
+
+
+# Feature, statistics, split and model queries register themselves on import.
+from pactline.plans import catalog_features  # noqa: E402,F401
