@@ -45,13 +45,13 @@ def same_type(t1: Column, t2: Column) -> Column:
 def compare(t1: Column, c1: Column, t2: Column, c2: Column, op: str = ">") -> Column:
     """Same class and ``c1 op c2`` (numbers compared as integers)."""
     f = _CMP[op]
-    num = f(c1.cast("decimal(38,0)"), c2.cast("decimal(38,0)"))
+    num = f(c1.try_cast("decimal(38,0)"), c2.try_cast("decimal(38,0)"))
     return same_type(t1, t2) & F.when(t1 == 0, num).otherwise(f(c1, c2))
 
 
 def growth(t1: Column, c1: Column, t2: Column, c2: Column) -> Column:
     """Number +1; letters rise as text; bullets and class-less repeat."""
-    step = (F.when(t1 == 0, c2.cast("decimal(38,0)") - c1.cast("decimal(38,0)") == 1)
+    step = (F.when(t1 == 0, c2.try_cast("decimal(38,0)") - c1.try_cast("decimal(38,0)") == 1)
              .when(t1.isin(1, 2), c1 < c2)
              .otherwise(c1 == c2))
     return same_type(t1, t2) & F.coalesce(step, F.lit(False))

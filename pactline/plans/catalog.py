@@ -248,5 +248,62 @@ def q_tag_counts_per_doc(spark, sf):
     return tagger.tag_counts_per_doc(tagger.tag_positions(contracts(spark, sf)))
 
 
+# --- D: list structure -------------------------------------------------------------
+
+_LT = f"""CASE WHEN {O.rx('marker', L.P.LIST_CLASS_NUMBER)} THEN 0 WHEN {O.rx('marker', L.P.LIST_CLASS_LETTER)} THEN 1
+              WHEN {O.rx('marker', L.P.LIST_CLASS_PAREN)} THEN 2 WHEN {O.rx('marker', L.P.LIST_CLASS_BULLET)} THEN 3 END"""
+_LC = f"""CASE WHEN {O.rx('marker', L.P.LIST_CLASS_NUMBER)} THEN regexp_extract(marker, {O.q(L.P.LIST_CLASS_NUMBER)}, 1)
+              WHEN {O.rx('marker', L.P.LIST_CLASS_LETTER)} THEN regexp_extract(marker, {O.q(L.P.LIST_CLASS_LETTER)}, 1)
+              WHEN {O.rx('marker', L.P.LIST_CLASS_PAREN)} THEN regexp_extract(marker, {O.q(L.P.LIST_CLASS_PAREN)}, 1)
+              WHEN {O.rx('marker', L.P.LIST_CLASS_BULLET)} THEN regexp_extract(marker, {O.q(L.P.LIST_CLASS_BULLET)}, 1)
+              ELSE '' END"""
+LIST_CTES = C_TAG + [f"""
+li AS (SELECT doc_id, i, line, regexp_extract(line, {O.q(L.P.LIST)}, 1) AS marker FROM tagged WHERE tag = 'l')""", f"""
+lt AS (SELECT *, {_LT} AS mtype, {_LC} AS content FROM li)""", """
+lp AS (SELECT *, lag(i) OVER w AS prev_i, lag(mtype) OVER w AS prev_mtype, lag(content) OVER w AS prev_content
+       FROM lt WINDOW w AS (PARTITION BY doc_id ORDER BY i))""", """
+lr AS (SELECT *,
+  CASE WHEN mtype = 0 THEN content = '1' WHEN mtype IN (1, 2) THEN content IN ('A', 'a', 'i')
+       WHEN mtype = 3 THEN true ELSE false END AS is_start,
+  prev_i IS NOT NULL AND prev_mtype IS NOT DISTINCT FROM mtype AS same_type,
+  prev_i IS NOT NULL AND prev_mtype IS NOT DISTINCT FROM mtype
+    AND CASE WHEN prev_mtype = 0 THEN TRY_CAST(prev_content AS DECIMAL(38,0)) > TRY_CAST(content AS DECIMAL(38,0))
+             ELSE prev_content > content END AS prev_cmp,
+  prev_i IS NOT NULL AND prev_mtype IS NOT DISTINCT FROM mtype
+    AND coalesce(CASE WHEN prev_mtype = 0
+                      THEN TRY_CAST(content AS DECIMAL(38,0)) - TRY_CAST(prev_content AS DECIMAL(38,0)) = 1
+                      WHEN prev_mtype IN (1, 2) THEN prev_content < content
+                      ELSE prev_content = content END, false) AS grows
+  FROM lp)"""]
+
+
+def _list_query(key: str, cols: list[str]):
+    @register(key, O.with_(*LIST_CTES) + f"SELECT doc_id, i, {', '.join(cols)} FROM lr")
+    def q(spark, sf):
+        return lists.list_relations(contracts(spark, sf)).select("doc_id", "i", *cols)
+    q.__name__ = f"q_{key}"
+    return q
+
+
+_list_query("list_marker", ["marker"])
+_list_query("list_type", ["mtype"])
+_list_query("list_content", ["content"])
+_list_query("list_start", ["is_start"])
+_list_query("list_same_type", ["same_type"])
+_list_query("list_compare", ["prev_i", "prev_cmp"])
+_list_query("list_growth", ["prev_i", "grows"])
+
+
+@register("list_runs", O.with_(*LIST_CTES, """
+lrun AS (SELECT *, sum(CASE WHEN grows THEN 0 ELSE 1 END)
+                   OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run_id FROM lr)""") + """
+SELECT doc_id, CAST(run_id AS BIGINT) AS run_id, min(i) AS first_i, max(i) AS last_i, count(*) AS n_items,
+       arg_min(marker, i) AS first_marker, arg_max(marker, i) AS last_marker, arg_min(mtype, i) AS mtype
+FROM lrun GROUP BY doc_id, run_id HAVING count(*) >= 2""")
+def q_list_runs(spark, sf):
+    return lists.list_runs(contracts(spark, sf))
+
+
 # Feature, statistics, split and model queries register themselves on import.
 from pactline.plans import catalog_features  # noqa: E402,F401
+from pactline.plans import catalog_sources  # noqa: E402,F401
