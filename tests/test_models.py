@@ -1,0 +1,52 @@
+"""Model invariants and plan shape."""
+
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from pactline.operators import features as FE
+from pactline.operators import models as M
+from pactline.operators import split as SP
+
+
+def _docs(spark):
+    return spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text", F.col("lang").alias("label"))
+
+
+def test_naive_bayes_beats_majority(spark):
+    d = _docs(spark)
+    roles = SP.holdout_split(d.select("doc_id"), "doc_id", 0.3, 11)
+    pred = M.nb_predict(FE.term_counts(FE.tokens(d, "sk")), d.select("doc_id", "label"), roles)
+    acc = M.accuracy(pred, d.select("doc_id", "label")).first()["accuracy"]
+    majority = d.groupBy("label").count().agg(F.max("count")).first()[0] / d.count()
+    assert acc > majority and acc >= 0.8
+    rep = {r.cls: r for r in M.f1_report(pred, d.select("doc_id", "label")).collect()}
+    assert abs(rep["micro avg"].f1 - acc) < 1e-9
+
+
+def test_cv_folds_cover_every_doc_once(spark):
+    d = _docs(spark)
+    folds = SP.kfold(d.select("doc_id"), "doc_id", 5)
+    roles = M.cv_roles(folds, 5)
+    assert roles.where("is_test").count() == d.count()
+    assert roles.where("not is_test").count() == 4 * d.count()
+    pred = M.nb_predict(FE.term_counts(FE.tokens(d, "sk")), d.select("doc_id", "label"), roles, ["fold"])
+    assert pred.count() == d.count()
+
+
+def test_svm_and_kmeans_run(spark):
+    d = _docs(spark)
+    model = M.svm_pipeline().fit(d)
+    pred = M.predicted_labels(model, d)
+    acc = pred.join(d, "doc_id").select(F.avg((F.col("pred") == F.col("label")).cast("double"))).first()[0]
+    assert acc >= 0.9
+    km = M.kmeans_sweep(d, [3, 5])
+    sizes = {r.k: r.n for r in km.groupBy("k").agg(F.countDistinct("cluster").alias("n")).collect()}
+    assert sizes[3] <= 3 and sizes[5] <= 5 and sizes[5] >= 2
+
+
+def test_tagger_plan_has_no_single_partition_exchange(spark):
+    from pactline.operators import tagger
+    from pactline.sources.contracts import contracts
+    plan = tagger.tag_positions(contracts(spark, SF001))._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    assert "hashpartitioning(doc_id" in plan
