@@ -45,3 +45,4 @@ SEQ_FILTERS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
 CLEAN_CHARS = "\\'\""
 # Default word token: runs of two or more word characters.
 WORD2 = r"[\p{L}\p{N}_]{2,}"
+NON_WORD = r"[^\p{L}\p{N}_]+"

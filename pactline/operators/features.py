@@ -15,13 +15,21 @@ from pyspark.sql import functions as F
 
 from pactline.functions import text as T
 from pactline.functions.stopwords import ENGLISH_STOPWORDS
+from pactline.operators.segments import materialize
 
 
 # --- tokens in long form (I4-I6) ------------------------------------------------
 
-def tokens(docs: DataFrame, how: str = "sk", text_col: str = "text") -> DataFrame:
-    """(doc_id, pos, token): ``words`` (I4), ``sk`` (I5) or ``seq``."""
+def tokens(docs: DataFrame, how: str = "sk", text_col: str = "text", clustered: bool = False) -> DataFrame:
+    """(doc_id, pos, token): ``words`` (I4), ``sk`` (I5) or ``seq``.
+
+    ``clustered`` hash-partitions the documents on doc_id first (one shuffle
+    of the text), so per-document aggregates of the tokens (term counts,
+    norms) need no further exchange.
+    """
     fn = {"words": T.tokenize_words, "sk": T.tokenize_sk, "seq": T.tokenize_seq}[how]
+    if clustered:
+        docs = docs.repartition("doc_id")
     return docs.select("doc_id", F.posexplode(fn(text_col)).alias("pos", "token"))
 
 
@@ -60,12 +68,15 @@ def tfidf(tf: DataFrame, n_docs: int, df: DataFrame | None = None) -> DataFrame:
 
     ``df`` restricts the vocabulary (J3); the norm is over kept terms.
     """
+    tf = materialize(tf)  # read by the df aggregate and by the weighting
     if df is None:
         df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = df.select("term", (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
     w = tf.join(idf, "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norm = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norm, "doc_id").select("doc_id", "term", (F.col("w") / F.col("norm")).alias("tfidf"))
+    # A document's rows are its distinct terms (bounded by the vocabulary),
+    # so the norm is a window over the document, not a second join.
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
+    return w.select("doc_id", "term", (F.col("w") / norm).alias("tfidf"))
 
 
 def tfidf_filtered(docs: DataFrame, min_share: float = 0.1, max_share: float = 0.5,

@@ -122,7 +122,7 @@ def _labels(spark, sf):
 
 
 def _tf_sk(spark, sf):
-    return FE.term_counts(FE.tokens(_docs(spark, sf), "sk"))
+    return FE.term_counts(FE.tokens(_docs(spark, sf), "sk", clustered=True))
 
 
 def _split(spark, sf):
