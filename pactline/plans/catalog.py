@@ -217,10 +217,10 @@ def q_tree_walk(spark, sf):
 
 @register("subtree_counts", O.with_(*C_TREE) + """
 SELECT doc_id, parent_pos, count(*) AS n_children,
-       sum(CASE WHEN tag = 'title' THEN 1 ELSE 0 END) AS n_title,
-       sum(CASE WHEN tag = 's' THEN 1 ELSE 0 END) AS n_s,
-       sum(CASE WHEN tag = 'l' THEN 1 ELSE 0 END) AS n_l,
-       sum(CASE WHEN tag = 'p' THEN 1 ELSE 0 END) AS n_p
+       CAST(sum(CASE WHEN tag = 'title' THEN 1 ELSE 0 END) AS BIGINT) AS n_title,
+       CAST(sum(CASE WHEN tag = 's' THEN 1 ELSE 0 END) AS BIGINT) AS n_s,
+       CAST(sum(CASE WHEN tag = 'l' THEN 1 ELSE 0 END) AS BIGINT) AS n_l,
+       CAST(sum(CASE WHEN tag = 'p' THEN 1 ELSE 0 END) AS BIGINT) AS n_p
 FROM nodes GROUP BY doc_id, parent_pos
 """)
 def q_subtree_counts(spark, sf):

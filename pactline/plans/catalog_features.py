@@ -245,7 +245,7 @@ def q_attach_clusters(spark, sf):
 
 
 @register("embedding_lookup", O.with_(*WORDVEC_CTES) + """
-SELECT v.word, v.word_index, wv.vec IS NOT NULL AS has_vector,
+SELECT v.word, CAST(v.word_index AS INTEGER) AS word_index, wv.vec IS NOT NULL AS has_vector,
        round(coalesce(list_sum(wv.vec), 0), 4) AS vec_sum
 FROM vocab v LEFT JOIN wv ON v.word = wv.word""")
 def q_embedding_lookup(spark, sf):
@@ -289,7 +289,7 @@ def _assignments(spark, sf):
             .select("vec_id", "k", ((F.col("label") * 7 + F.col("vec_id")) % F.col("k")).cast("int").alias("cluster")))
 
 
-ASSIGN_SQL = """assign AS (SELECT vec_id, k, CAST((label * 7 + vec_id) % k AS INTEGER) AS cluster
+ASSIGN_SQL = """assign AS (SELECT vec_id, CAST(k AS INTEGER) AS k, CAST((label * 7 + vec_id) % k AS INTEGER) AS cluster
                   FROM embeddings, (SELECT unnest(range(25, 46)) AS k))"""
 
 
@@ -300,7 +300,7 @@ def q_cluster_sizes(spark, sf):
 
 @register("cluster_sizes_dense", O.with_(ASSIGN_SQL) + "SELECT s.cluster, " + ", ".join(
     f"CAST(coalesce(sum(CASE WHEN a.k = {k} THEN 1 END), 0) AS BIGINT) AS k_{k}" for k in range(25, 46))
-    + " FROM (SELECT unnest(range(45)) AS cluster) s LEFT JOIN assign a ON a.cluster = s.cluster GROUP BY s.cluster")
+    + " FROM (SELECT CAST(unnest(range(45)) AS INTEGER) AS cluster) s LEFT JOIN assign a ON a.cluster = s.cluster GROUP BY s.cluster")
 def q_cluster_sizes_dense(spark, sf):
     return FE.cluster_sizes_dense(_assignments(spark, sf), list(range(25, 46)), 45)
 
@@ -349,7 +349,7 @@ seqs AS (SELECT d.doc_id,
 
 
 @register("texts_to_sequences", O.with_(*SEQ_CTES) +
-          "SELECT doc_id, len(seq) AS seq_len, array_to_string(seq, ' ') AS seq_text FROM seqs")
+          "SELECT doc_id, CAST(len(seq) AS INTEGER) AS seq_len, array_to_string(seq, ' ') AS seq_text FROM seqs")
 def q_texts_to_sequences(spark, sf):
     s = FE.texts_to_sequences(FE.tokens(_docs(spark, sf), "seq"), _vocab(spark, sf), _docs(spark, sf, "doc_id"))
     return s.select("doc_id", F.size("seq").alias("seq_len"), FE.seq_text("seq").alias("seq_text"))

@@ -158,7 +158,7 @@ def q_csv_pipe_sink(spark, sf):
 
 
 @register("word_vectors_source", O.with_(*WORDVEC_CTES) +
-          "SELECT word, len(vec) AS n_dims, round(list_sum(vec), 4) AS vec_sum FROM wv")
+          "SELECT word, CAST(len(vec) AS INTEGER) AS n_dims, round(list_sum(vec), 4) AS vec_sum FROM wv")
 def q_word_vectors_source(spark, sf):
     out = C.scratch_dir(spark, "vectors")
     R.write_word_vectors(_word_vectors(spark, sf), out)
