@@ -128,6 +128,25 @@ def texts_to_sequences(toks: DataFrame, vocab: DataFrame, docs: DataFrame) -> Da
             .select("doc_id", F.coalesce("seq", F.array().cast("array<int>")).alias("seq")))
 
 
+def padded_sequences(toks: DataFrame, vocab: DataFrame, docs: DataFrame, maxlen: int = 1000) -> DataFrame:
+    """I8 + I9: (doc_id, padded ARRAY<INT>) = the last ``maxlen`` known ids,
+    zero-padded on the left.
+
+    Only the last ``maxlen`` ids of a document are kept, with a per-document
+    top-k (``row_number() <= maxlen``), which Spark also applies before the
+    shuffle; so no group ever holds more than ``maxlen`` rows.
+    """
+    ids = toks.join(F.broadcast(vocab.select(F.col("word").alias("token"), "word_index")), "token")
+    w = Window.partitionBy("doc_id").orderBy(F.desc("pos"))
+    last = ids.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= maxlen)
+    seq = last.groupBy("doc_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "word_index"))),
+                    lambda s: s["word_index"]).alias("seq"))
+    seq = (docs.select("doc_id").join(seq, "doc_id", "left")
+           .select("doc_id", F.coalesce("seq", F.array().cast("array<int>")).alias("seq")))
+    return seq.select("doc_id", T.pad_sequence("seq", maxlen).alias("padded"))
+
+
 # --- word vectors (A10 stand-in, E1, I11) ---------------------------------------------------
 
 def word_vectors_from(vocab: DataFrame, embeddings: DataFrame, cutoff: int) -> DataFrame:

@@ -359,8 +359,8 @@ def q_texts_to_sequences(spark, sf):
 SELECT doc_id, array_to_string(list_concat(list_transform(range(1000 - len(kept)), lambda x: 0), kept), ' ') AS padded
 FROM (SELECT doc_id, CASE WHEN len(seq) > 1000 THEN seq[len(seq) - 999:] ELSE seq END AS kept FROM seqs)""")
 def q_pad_sequences(spark, sf):
-    s = FE.texts_to_sequences(FE.tokens(_docs(spark, sf), "seq"), _vocab(spark, sf), _docs(spark, sf, "doc_id"))
-    return s.select("doc_id", FE.seq_text(T.pad_sequence("seq", 1000)).alias("padded"))
+    s = FE.padded_sequences(FE.tokens(_docs(spark, sf), "seq"), _vocab(spark, sf), _docs(spark, sf, "doc_id"), 1000)
+    return s.select("doc_id", FE.seq_text("padded").alias("padded"))
 
 
 @register("one_hot", """
