@@ -69,8 +69,8 @@ def _pairs(items: DataFrame, carry: F.Column | None) -> DataFrame:
                         prev("content").alias("prev_content"))
 
 
-def _pair_parts(lines: DataFrame):
-    single_t, multi_t = tag_parts(lines)
+def _pair_parts(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES):
+    single_t, multi_t = tag_parts(lines, chunk_lines)
     single = _pairs(list_items(single_t.withColumn("multi", F.lit(False))), None)
     if multi_t is None:
         return single, None
@@ -82,15 +82,15 @@ def _pair_parts(lines: DataFrame):
     return single, _pairs(multi.join(cs, S.KEYS), F.col("carry"))
 
 
-def list_pairs(lines: DataFrame) -> DataFrame:
+def list_pairs(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
     """Each list item with its previous list item in the document (D5-D7 inputs)."""
-    single, multi = _pair_parts(lines)
+    single, multi = _pair_parts(lines, chunk_lines)
     return single if multi is None else single.unionByName(multi)
 
 
-def list_relations(lines: DataFrame, op: str = ">") -> DataFrame:
+def list_relations(lines: DataFrame, op: str = ">", chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
     """D4-D7 per list item: start, same type, compare(prev op cur), growth."""
-    p = list_pairs(lines)
+    p = list_pairs(lines, chunk_lines)
     has_prev = F.col("prev_i").isNotNull()
     pt, pc, ct, cc = F.col("prev_mtype"), F.col("prev_content"), F.col("mtype"), F.col("content")
     return p.select(
@@ -101,13 +101,13 @@ def list_relations(lines: DataFrame, op: str = ">") -> DataFrame:
         (has_prev & growth(pt, pc, ct, cc)).alias("grows"))
 
 
-def list_runs(lines: DataFrame, min_items: int = 2) -> DataFrame:
+def list_runs(lines: DataFrame, min_items: int = 2, chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
     """Runs of growing list items, whole (first..last item), >= min_items.
 
     run_id = running count of breaks; runs are aggregated with algebraic
     aggregates only (min/max/count), so a long run is never collected.
     """
-    single, multi = _pair_parts(lines)
+    single, multi = _pair_parts(lines, chunk_lines)
     brk = ~(F.col("prev_i").isNotNull()
             & growth(F.col("prev_mtype"), F.col("prev_content"), F.col("mtype"), F.col("content")))
     y = (single.withColumn("brk", brk.cast("int"))

@@ -221,6 +221,12 @@ def q_tfidf_filtered(spark, sf):
     return FE.tfidf_filtered(_docs(spark, sf)).select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
 
 
+@register("tfidf_filtered_stemmed")
+def q_tfidf_filtered_stemmed(spark, sf):
+    """J3 as the reference runs it: stems (I7) before stop words and the df filter."""
+    return FE.tfidf_filtered(_docs(spark, sf), stem=True).select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
+
+
 @register("tfidf_log", O.with_(*TF_SK, "df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)") + f"""
 SELECT doc_id, term, round(ln(tf) * ln({N_DOCS}) / df, 6) AS w FROM tf JOIN df USING (term)""")
 def q_tfidf_log(spark, sf):

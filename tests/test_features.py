@@ -144,7 +144,7 @@ def test_registered_queries_have_oracle_or_reason():
     assert set(o) <= set(q)
     no_sql = set(q) - set(o)
     assert no_sql == {"kmeans_sweep", "linear_svm", "batch_predict", "neural_classifier", "stem_vocab",
-                      "docx_to_text", "model_io"}
+                      "docx_to_text", "model_io", "tfidf_filtered_stemmed"}
 
 
 def test_documents_tagging_sf001(spark):
