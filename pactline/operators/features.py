@@ -159,12 +159,23 @@ def word_vectors_from(vocab: DataFrame, embeddings: DataFrame, cutoff: int) -> D
             .select("word", "vec"))
 
 
-def embedding_lookup(vocab: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
-    """Every vocabulary word with its vector, zeros when missing."""
-    zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)
+def embedding_lookup(vocab: DataFrame, vectors: DataFrame, dim: int, missing: str = "zeros",
+                     seed: int = 0) -> DataFrame:
+    """Every vocabulary word with its vector.
+
+    A word without a vector gets zeros, or with ``missing="random"`` a
+    uniform [0, 1) vector drawn from a seeded hash of (seed, word, dim), so
+    a recomputed task draws the same numbers.
+    """
+    if missing == "random":
+        fill = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
+                           lambda j: (F.abs(F.xxhash64(F.lit(seed), F.col("word"), j) % 1000003)
+                                      / 1000003.0).cast("float"))
+    else:
+        fill = F.array_repeat(F.lit(0.0).cast("float"), dim)
     return (vocab.join(vectors, "word", "left")
             .select("word", "word_index", F.col("vec").isNotNull().alias("has_vector"),
-                    F.coalesce("vec", zeros).alias("vec")))
+                    F.coalesce("vec", fill).alias("vec")))
 
 
 def doc_vectors(toks: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -176,10 +187,13 @@ def doc_vectors(toks: DataFrame, vectors: DataFrame) -> DataFrame:
 
 # --- profiles and sizes (F1-F4) -------------------------------------------------------------
 
-def profile_distinct(df: DataFrame, cols: list[str]) -> DataFrame:
-    """distinct values per column, a null counting as one value."""
-    return df.agg(*[(F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias(f"n_{c}")
-                    for c in cols])
+def profile_distinct(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
+    """distinct values per column, a null counting as one value.
+
+    ``approx`` uses HyperLogLog++ sketches (fixed memory per column) instead
+    of exact distinct sets."""
+    dist = F.approx_count_distinct if approx else F.count_distinct
+    return df.agg(*[(dist(c) + F.max(F.col(c).isNull().cast("int"))).alias(f"n_{c}") for c in cols])
 
 
 def shape(df: DataFrame) -> DataFrame:

@@ -152,3 +152,14 @@ def test_documents_tagging_sf001(spark):
     d = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
     st = tagger.document_status(d).groupBy("status").count().collect()
     assert sum(r["count"] for r in st) == d.count()
+
+
+def test_embedding_fill_and_approx_profile(spark):
+    v = spark.createDataFrame([("a", 1), ("b", 2)], "word string, word_index int")
+    vec = spark.createDataFrame([("a", [1.0, 2.0])], "word string, vec array<float>")
+    z = {r.word: r.vec for r in FE.embedding_lookup(v, vec, 2).collect()}
+    assert z == {"a": [1.0, 2.0], "b": [0.0, 0.0]}
+    r1 = {r.word: r.vec for r in FE.embedding_lookup(v, vec, 2, "random", 5).collect()}
+    r2 = {r.word: r.vec for r in FE.embedding_lookup(v, vec, 2, "random", 5).collect()}
+    assert r1 == r2 and all(0.0 <= x < 1.0 for x in r1["b"]) and r1["a"] == [1.0, 2.0]
+    assert FE.profile_distinct(v, ["word"], approx=True).first()["n_word"] == 2
