@@ -102,9 +102,11 @@ def _norm_single(y: DataFrame) -> DataFrame:
     w = (Window.partitionBy(*S.KEYS, "g").orderBy("pos")
          .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     glued = F.array_join(F.collect_list("line").over(w), "")
+    # ``g`` is kept: rows leave this window sorted by it, so later windows
+    # ordered by ``g`` (= i + 1) need no new sort.
     return (y.select(*S.KEYS, "g", "is_start", glued.alias("line"))
             .where(F.col("is_start"))
-            .select(*S.KEYS, (F.col("g") - 1).cast("int").alias("i"), "line"))
+            .select(*S.KEYS, (F.col("g") - 1).cast("int").alias("i"), "line", "g"))
 
 
 def _norm_multi(y: DataFrame) -> DataFrame:
@@ -121,7 +123,7 @@ def _norm_multi(y: DataFrame) -> DataFrame:
              .agg(F.max("g").alias("tail_g"), S.ordered_concat("spos", "piece").alias("tail")))
     heads = pieces.where(F.col("has_head")).join(tails, S.KEYS, "left")
     line = F.when(F.col("g") == F.col("tail_g"), F.concat("piece", "tail")).otherwise(F.col("piece"))
-    out = heads.select(*S.KEYS, (F.col("g") - 1).cast("int").alias("i"), line.alias("line"))
+    out = heads.select(*S.KEYS, (F.col("g") - 1).cast("int").alias("i"), line.alias("line"), "g")
     return S.materialize(out)
 
 

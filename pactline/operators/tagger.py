@@ -73,7 +73,7 @@ def _tag_summary_chunks(z: DataFrame) -> DataFrame:
 def _classify(norm: DataFrame) -> DataFrame:
     i, line = F.col("i"), F.col("line")
     return norm.select(
-        *S.KEYS, "i", "line",
+        *S.KEYS, "i", "g", "line",
         T.is_blank(line).alias("blank"),
         (~T.is_blank(line) & T.is_section(line)).alias("cand_s"),
         (~T.is_blank(line) & T.is_list_line(line)).alias("cand_l"),
@@ -103,7 +103,7 @@ def _final(y: DataFrame, si, nxt) -> DataFrame:
     bits = (F.when(t4 == "s", F.when(nxt & (si % 2 == 1), 3).otherwise(1))
              .when(t4 == "title", 1).when(t4.isin("l", "p"), 3).otherwise(0))
     last = (F.col("i") == F.col("n") - 1) & (F.col("tot") > 0) & (F.col("tot") % 2 == 0)
-    return y.select(*S.KEYS, "i", "line", "raw_tag", "tag_t3", "tag_t4",
+    return y.select(*S.KEYS, "i", "g", "line", "raw_tag", "tag_t3", "tag_t4",
                     F.when(last, F.lit("s")).otherwise(t4).alias("tag"),
                     F.when(last, F.lit(2)).otherwise(bits).alias("bits"),
                     "n", "start", "all_upper", "exhibit0", "title0", "tot")
@@ -122,8 +122,8 @@ def _tags_single(norm: DataFrame) -> DataFrame:
     z = z.withColumn("all_upper", F.coalesce(F.min(F.when(s_raw, F.col("up"))).over(whole), F.lit(True)))
     z = _rule_tags(z)
     z = z.withColumn("tot", F.sum(F.col("is_s").cast("int")).over(whole))
-    si = F.sum(F.col("is_s").cast("int")).over(S.running("i"))
-    nxt = F.coalesce(F.lead("is_s").over(S.local_window("i")), F.lit(False))
+    si = F.sum(F.col("is_s").cast("int")).over(S.running("g"))
+    nxt = F.coalesce(F.lead("is_s").over(S.local_window("g")), F.lit(False))
     return _final(z, si, nxt)
 
 

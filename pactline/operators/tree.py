@@ -43,7 +43,7 @@ def _per_tag_running():
 def _nodes_single(tagged: DataFrame) -> DataFrame:
     one = F.col("bits") == 1
     whole = Window.partitionBy(*S.KEYS)
-    prev = S.before("i")
+    prev = S.before("g")  # g = i + 1 keeps the order the tagger left
     y = tagged.where(F.col("bits").isin(1, 3))
     return _tree_columns(
         y,
@@ -51,7 +51,7 @@ def _nodes_single(tagged: DataFrame) -> DataFrame:
         depth=1 + F.coalesce(S.count_if(one).over(prev), F.lit(0)),
         d_last1=F.max(F.when(one, F.col("i"))).over(whole),
         d_first1=F.min(F.when(one, F.col("i"))).over(whole),
-        node_rank=F.count(F.lit(1)).over(S.running("i")),
+        node_rank=F.count(F.lit(1)).over(S.running("g")),
         tag_rank=F.count(F.lit(1)).over(_per_tag_running()))
 
 
