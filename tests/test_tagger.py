@@ -121,3 +121,14 @@ def test_split_lines_like_python(spark):
         got.setdefault(r.doc_id, []).append((r.pos, r.line))
     for i, t in enumerate(texts):
         assert [x for _, x in sorted(got.get(i, []))] == t.splitlines(), repr(t)
+
+
+def test_hot_document_spread_over_chunks(spark):
+    """One document far larger than a chunk (the skew case) next to small ones."""
+    rng = random.Random(11)
+    docs = {0: ["Agreement"] + [rng.choice(POOL[3:]) for _ in range(20000)]}
+    docs.update({d: [rng.choice(POOL) for _ in range(rng.randint(1, 10))] for d in range(1, 40)})
+    df = _lines_df(spark, docs)
+    frame = tagger.tag_frame(df, chunk_lines=1000)
+    assert frame.where("doc_id = 0").select("chunk").distinct().count() > 10
+    _check(spark, docs, 1000)
