@@ -19,8 +19,11 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pactline.operators import segments  # noqa: E402
+from pactline.operators.lines import split_lines  # noqa: E402
 from pactline.plans import catalog  # noqa: E402
 from pactline.session import get_session  # noqa: E402
+from pactline.sources.contracts import contracts  # noqa: E402
+from pactline.sources.tables import documents  # noqa: E402
 
 HEADLINE = [
     "tag_positions",             # C8 on contracts
@@ -54,9 +57,17 @@ def main() -> None:
         for n in names:
             run(spark, n, warm)
     times = {n: run(spark, n, sf) for n in names}
+    # Input sizes for a throughput view (counted after the timed pass).
+    n_lines = {"contracts": contracts(spark, sf).count(),
+               "documents": split_lines(documents(spark, sf)).count()}
+    rate = {f"{n}_lines_per_sec": round(n_lines[src] / times[n]) for n, src in
+            (("tag_positions", "contracts"), ("tag_summary", "contracts"), ("build_tree", "contracts"),
+             ("tag_summary_documents", "documents"), ("parse_raw_text_documents", "documents"))
+            if n in times and times[n] > 0}
     m = re.search(r"sf([0-9.]+)$", sf)
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(m.group(1)) if m else sf}))
+                      "queries": times, "sf": float(m.group(1)) if m else sf,
+                      "input_lines": n_lines, "throughput": rate}))
     spark.stop()
 
 

@@ -157,9 +157,3 @@ def normalize_lines(lines: DataFrame) -> DataFrame:
     """(doc_id, pos, line) -> (doc_id, i, line)."""
     out, _ = normalized(lines)
     return out.select("doc_id", "i", "line")
-
-
-def raw_status(lines: DataFrame) -> DataFrame:
-    """(doc_id, status, n_raw_lines) decided by normalisation."""
-    cs = _raw_summary(_raw(lines, S.CHUNK_LINES))
-    return cs.groupBy("doc_id").agg(F.first("status").alias("status"), F.first("d_lines").alias("n_raw_lines"))

@@ -63,14 +63,6 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           table(spark, sf_dir, "part"))
 
 
-def contract_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same contracts as whole texts (doc_id, text), lines joined by newline."""
-    lines = contracts(spark, sf_dir)
-    return (lines.groupBy("doc_id")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))),
-                                          lambda x: x["line"]), "\n").alias("text")))
-
-
 # The same derivation for the DuckDB oracle.
 CONTRACTS_SQL = """
 contracts AS (
