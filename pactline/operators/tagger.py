@@ -77,7 +77,8 @@ def _classify(norm: DataFrame) -> DataFrame:
         T.is_blank(line).alias("blank"),
         (~T.is_blank(line) & T.is_section(line)).alias("cand_s"),
         (~T.is_blank(line) & T.is_list_line(line)).alias("cand_l"),
-        T.is_upper(line).alias("up"),
+        # only section candidates are ever asked whether they are upper case
+        F.when(~T.is_blank(line) & T.is_section(line), T.is_upper(line)).otherwise(False).alias("up"),
         F.when(i == 0, T.is_exhibit(line)).otherwise(False).alias("ex"),
         F.when(i == 0, T.is_title(line)).otherwise(False).alias("ti"))
 
