@@ -50,3 +50,21 @@ def test_tagger_plan_has_no_single_partition_exchange(spark):
     plan = tagger.tag_positions(contracts(spark, SF001))._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert "hashpartitioning(doc_id" in plan
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_feature_plans_stay_distributed(spark):
+    d = _docs(spark)
+    tf = FE.term_counts(FE.tokens(d, "sk", clustered=True))
+    assert "SinglePartition" not in _plan(FE.tfidf(tf, d.count()))
+    roles = SP.holdout_split(d.select("doc_id"), "doc_id", 0.3, 11)
+    assert "SinglePartition" not in _plan(M.nb_predict(tf, d.select("doc_id", "label"), roles))
+    toks = FE.tokens(d, "seq")
+    vocab = FE.vocab_topk(toks)
+    pad = FE.padded_sequences(toks, vocab, d.select("doc_id"), 50)
+    pad.collect()
+    assert "WindowGroupLimit" in _plan(pad)
+    assert "TakeOrderedAndProject" in _plan(vocab)
