@@ -68,3 +68,11 @@ def test_feature_plans_stay_distributed(spark):
     pad.collect()
     assert "WindowGroupLimit" in _plan(pad)
     assert "TakeOrderedAndProject" in _plan(vocab)
+
+
+def test_svm_cross_validation(spark):
+    d = _docs(spark)
+    folds = SP.kfold(d.select("doc_id"), "doc_id", 3)
+    scores = M.cv_scores_mllib(M.svm_pipeline(), d, folds, 3).collect()
+    assert sorted(r.fold for r in scores) == [0, 1, 2]
+    assert sum(r.accuracy for r in scores) / 3 >= 0.7
