@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pactline.functions import text as T
 from pactline.functions.stopwords import ENGLISH_STOPWORDS
-from pactline.operators.segments import materialize
+from pactline.operators.segments import broadcast_if_small, materialize
 
 
 # --- tokens in long form (I4-I6) ------------------------------------------------
@@ -118,9 +118,9 @@ def vocab_topk(toks: DataFrame, num_words: int = 20000) -> DataFrame:
 
 def texts_to_sequences(toks: DataFrame, vocab: DataFrame, docs: DataFrame) -> DataFrame:
     """I8: (doc_id, seq ARRAY<INT>) of known word ids in text order; docs with
-    no known word keep an empty list.  The vocabulary is at most num_words
-    rows, so it is broadcast."""
-    ids = toks.join(F.broadcast(vocab.select(F.col("word").alias("token"), "word_index")), "token")
+    no known word keep an empty list.  The vocabulary (at most num_words rows
+    when it comes from ``vocab_topk``) is broadcast after a size check."""
+    ids = toks.join(broadcast_if_small(vocab.select(F.col("word").alias("token"), "word_index")), "token")
     seq = ids.groupBy("doc_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "word_index"))),
                     lambda s: s["word_index"]).alias("seq"))
@@ -136,7 +136,7 @@ def padded_sequences(toks: DataFrame, vocab: DataFrame, docs: DataFrame, maxlen:
     top-k (``row_number() <= maxlen``), which Spark also applies before the
     shuffle; so no group ever holds more than ``maxlen`` rows.
     """
-    ids = toks.join(F.broadcast(vocab.select(F.col("word").alias("token"), "word_index")), "token")
+    ids = toks.join(broadcast_if_small(vocab.select(F.col("word").alias("token"), "word_index")), "token")
     w = Window.partitionBy("doc_id").orderBy(F.desc("pos"))
     last = ids.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= maxlen)
     seq = last.groupBy("doc_id").agg(
