@@ -19,7 +19,7 @@ LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
 }
 
 
@@ -38,15 +38,17 @@ def get_session(master: str | None = None, app: str = "pactline", conf: dict | N
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
-    ``spark.checkpoint.dir`` is read from the session; a scratch folder is
-    only created when nothing is set (local runs and tests).
+    ``spark.checkpoint.dir`` is read from the session.  Only a one-machine
+    ``local[...]`` master (tests, bench) may leave it unset and then gets a
+    scratch folder; on a cluster a machine-local folder would be invisible to
+    the other machines, so an unset folder is an error there.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="pactline-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="pactline-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
+    return configured
