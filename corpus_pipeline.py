@@ -24,7 +24,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of equal texts: the one with the largest id."""
-    return mph_dedup.drop_repeats(docs, mph_dedup.build_index(docs))
+    own = mph_dedup.digests(docs)
+    return mph_dedup.drop_repeats(docs, own, mph_dedup.build_index(own))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,10 +49,15 @@ def _shard(sha: Column, n: int) -> Column:
     return F.pmod(F.conv(F.substring(sha, 1, 8), 16, 10).cast("long"), F.lit(n)).cast("int")
 
 
-def _grouped(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, sha) of every row, as a written table: texts are read once."""
+    return keep_table(docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
+                                  digest(F.col(text_col)).alias("sha")), "digests")
+
+
+def _grouped(own: DataFrame) -> DataFrame:
     """(sha, keep, copies): one row per distinct text."""
-    own = df.select(F.col(id_col).cast("long").alias("id"), digest(F.col(text_col)).alias("sha"))
-    return own.groupBy("sha").agg(F.coalesce(F.max("id"), F.lit(NO_ID)).alias("keep"), F.count("*").alias("copies"))
+    return own.groupBy("sha").agg(F.max("id").alias("keep"), F.count("*").alias("copies"))
 
 
 # ---- the hash of one shard ---------------------------------------------------
@@ -135,64 +140,58 @@ def _look_up(rows: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
 
 # ---- the operator --------------------------------------------------------------
 
-def build_index(history: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard: int = SHARD) -> DataFrame:
-    """The index of a corpus, as a written table of one row per shard."""
-    groups = keep_table(_grouped(history, id_col, text_col), "history-digests")
+def build_index(history: DataFrame, shard: int = SHARD) -> DataFrame:
+    """The index of a corpus, given by its ``digests``: one row per shard."""
+    groups = keep_table(_grouped(history), "history-digests")
     n = block_count(groups.count(), shard)
     sharded = groups.withColumn("shard", _shard(F.col("sha"), n))
     return keep_table(sharded.groupBy("shard").applyInPandas(_build_shard, INDEX).withColumn("shards", F.lit(n)),
                       "digest-index")
 
 
-def find_keepers(docs: DataFrame, index: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(sha, keep, copies, member): one row per distinct text of ``docs``.
+def find_keepers(own: DataFrame, index: DataFrame) -> DataFrame:
+    """(sha, keep, copies, member): one row per distinct text of ``digests``.
 
     Members of the index get the historical winner and its known copies;
-    the rest is grouped among ``docs``.
+    the rest is grouped among itself.
     """
     first = index.select("shards").first()
     n = first["shards"] if first else 1
-    groups = _grouped(docs, id_col, text_col).withColumn("shard", _shard(F.col("sha"), n))
+    groups = _grouped(own).withColumn("shard", _shard(F.col("sha"), n))
     return groups.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(_look_up, FOUND)
 
 
-def _one_kept(marked: DataFrame, order: list[str]) -> DataFrame:
-    """Column ``_kept``: exactly one row per digest.  Only winners are ranked."""
-    same = Window.partitionBy("_sha", "_id").orderBy(*order)
-    first = marked.where("_winner").withColumn("_kept", F.row_number().over(same) == 1)
-    return first.unionByName(marked.where("not _winner").withColumn("_kept", F.lit(False)))
-
-
-def _known_id(id_col: str) -> Column:
-    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id")
-
-
 def _shown_id(name: str) -> Column:
     return F.when(F.col(name) != NO_ID, F.col(name))
 
 
-def dedup_report(docs: DataFrame, index: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, keep_id, group_size, kept, text_sha256, repeat) for every row.
+def dedup_report(own: DataFrame, index: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, keep_id, group_size, kept, text_sha256, repeat) for each of ``digests``.
 
     ``repeat``: the text is in the index.  The join on the digest has one side
-    with one row per digest, so a text with many copies can be split.
+    with one row per digest, so a text with many copies can be split.  Of rows
+    that equal the winner's id and text one is kept; only these are ranked.
     """
-    own = docs.select(_known_id(id_col), digest(F.col(text_col)).alias("_sha"))
-    found = keep_table(find_keepers(docs, index, id_col, text_col), "digest-keepers").withColumnRenamed("sha", "_sha")
-    marked = own.join(found, "_sha").withColumn("_winner", F.col("_id") == F.col("keep"))
-    return _one_kept(marked, ["_id"]).select(
-        _shown_id("_id").alias(id_col), _shown_id("keep").alias("keep_id"), F.col("copies").alias("group_size"),
-        F.col("_kept").alias("kept"), F.col("_sha").alias("text_sha256"), F.col("member").alias("repeat"))
+    found = keep_table(find_keepers(own, index), "digest-keepers")
+    marked = own.join(found, "sha").withColumn("winner", F.col("id") == F.col("keep"))
+    rank = F.row_number().over(Window.partitionBy("sha", "id").orderBy("id"))
+    every = marked.where("winner").withColumn("kept", rank == 1).unionByName(
+        marked.where("not winner").withColumn("kept", F.lit(False)))
+    return every.select(_shown_id("id").alias(id_col), _shown_id("keep").alias("keep_id"),
+                        F.col("copies").alias("group_size"), "kept", F.col("sha").alias("text_sha256"),
+                        F.col("member").alias("repeat"))
 
 
-def drop_repeats(docs: DataFrame, index: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+def drop_repeats(docs: DataFrame, own: DataFrame, index: DataFrame, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; ``own``: their digests.
 
     Rows meet their keeper on (digest, id), so copies of one text spread over
     the tasks by their ids.
     """
-    keepers = find_keepers(docs, index, id_col, text_col).select(F.col("sha").alias("_sha"), F.col("keep").alias("_id"))
-    own = docs.select(_known_id(id_col), digest(F.col(text_col)).alias("_sha"), F.struct("*").alias("row"))
+    keepers = find_keepers(own, index).select(F.col("sha").alias("_sha"), F.col("keep").alias("_id"))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"),
+                       digest(F.col(text_col)).alias("_sha"), F.struct("*").alias("row"))
     same = Window.partitionBy("_sha", "_id").orderBy("row")
-    kept = own.join(keepers, ["_sha", "_id"], "left_semi").withColumn("_n", F.row_number().over(same))
+    kept = rows.join(keepers, ["_sha", "_id"], "left_semi").withColumn("_n", F.row_number().over(same))
     return kept.where("_n = 1").select("row.*")

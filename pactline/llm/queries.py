@@ -85,8 +85,8 @@ def op9_html_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents", "doc_id", "text")
-    found = mph_dedup.dedup_report(docs, mph_dedup.build_index(docs))
+    own = mph_dedup.digests(table(spark, sf, "documents", "doc_id", "text"))
+    found = mph_dedup.dedup_report(own, mph_dedup.build_index(own))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 

@@ -48,7 +48,8 @@ def plain_components(fps, radius=4):
 def test_exact_dedup_matches_brute_force(spark):
     given = rows()
     docs = frame(spark)
-    found = mph_dedup.dedup_report(docs, mph_dedup.build_index(docs, shard=7)).collect()
+    own = mph_dedup.digests(docs)
+    found = mph_dedup.dedup_report(own, mph_dedup.build_index(own, shard=7)).collect()
     groups = {}
     for r in given:
         groups.setdefault(sha(r[1]), []).append(r[0])
@@ -62,7 +63,8 @@ def test_exact_dedup_matches_brute_force(spark):
 
 def test_drop_repeats_keeps_one_whole_row_of_each_text(spark):
     docs = frame(spark)
-    kept = mph_dedup.drop_repeats(docs, mph_dedup.build_index(docs, shard=7))
+    own = mph_dedup.digests(docs)
+    kept = mph_dedup.drop_repeats(docs, own, mph_dedup.build_index(own, shard=7))
     assert kept.columns == docs.columns
     got = kept.collect()
     assert Counter(sha(r.text) for r in got) == Counter({sha(r[1]) for r in rows()})
@@ -72,16 +74,19 @@ def test_drop_repeats_keeps_one_whole_row_of_each_text(spark):
 def test_history_wins_and_nonmembers_group_separately(spark):
     old = spark.createDataFrame([(5, "A b"), (9, "c"), (7, "a b")], "doc_id long, text string")
     new = spark.createDataFrame([(50, "a B"), (51, "new"), (52, "NEW"), (53, "c"), (54, None)], "doc_id long, text string")
-    found = {r.doc_id: r for r in mph_dedup.dedup_report(new, mph_dedup.build_index(old)).collect()}
+    own, index = mph_dedup.digests(new), mph_dedup.build_index(mph_dedup.digests(old))
+    found = {r.doc_id: r for r in mph_dedup.dedup_report(own, index).collect()}
     assert [(found[i].keep_id, found[i].group_size, found[i].kept, found[i].repeat) for i in range(50, 55)] == [
         (7, 2, False, True), (52, 2, False, False), (52, 2, True, False), (9, 1, False, True), (54, 1, True, False)]
-    assert {r.doc_id for r in mph_dedup.drop_repeats(new, mph_dedup.build_index(old)).collect()} == {52, 54}
+    assert {r.doc_id for r in mph_dedup.drop_repeats(new, own, index).collect()} == {52, 54}
 
 
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOCS)
-    assert mph_dedup.dedup_report(none, mph_dedup.build_index(none)).count() == 0
-    assert mph_dedup.drop_repeats(frame(spark), mph_dedup.build_index(none)).count() > 0
+    own = mph_dedup.digests(none)
+    assert mph_dedup.dedup_report(own, mph_dedup.build_index(own)).count() == 0
+    docs = frame(spark)
+    assert mph_dedup.drop_repeats(docs, mph_dedup.digests(docs), mph_dedup.build_index(own)).count() > 0
     assert simhash.simhash_components(none).count() == 0
     assert simhash.keep_representatives(none).count() == 0
 
