@@ -23,7 +23,6 @@ gives an empty table; columns besides id and text are not read.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,44 +36,68 @@ CAPACITY, END_ID, VOCABULARY = 2048, 1, "byte_bpe_50k.json"
 #: Rests are cut to full class lengths up to this class.
 FINE = 16
 #: Words whose ids a worker remembers.
-REMEMBERED = 1 << 18
+REMEMBERED = 3 << 18
+#: New words encoded as one text.
+TOGETHER = 256
 #: Characters given to the tokenizer or to one output batch at a time.
 BATCH_CHARS = 1 << 22
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, "
           "class int")
 
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-
-
 class WordIds:
     """Token ids of texts, by the tokenizer's own ids of their words.
 
-    Byte-level BPE never merges across a single blank between two other
-    characters: the blank goes to the word behind it.  So a text's ids are
-    those of the stretches between such blanks, and a stretch met before need
-    not be encoded again.
+    Byte-level BPE never merges across a single blank between two characters
+    that are no white space: the blank goes to the word behind it.  So the ids
+    of a text are those of its words, and a word met before need not be
+    encoded again.  New words are encoded many at a time and told apart by the
+    byte lengths of the ids.  Texts with other white space beside a blank are
+    encoded whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()  # one character for each byte
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.known: dict[str, bytes | None] = {}
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of each word with a blank before it; None for no whole word."""
+        self.known.update((w, None) for w in words if not w or w[0].isspace() or w[-1].isspace())
+        words = [w for w in words if w and not (w[0].isspace() or w[-1].isspace())]
+        groups = [words[at:at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        for group, ids in zip(groups, self._whole(["".join([" " + w for w in g]) for g in groups])):
+            ends = np.cumsum([len(w.encode()) + 1 for w in group])
+            cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
+            flat, at = ids.tobytes(), 0
+            for w, cut in zip(group, (4 * cuts).tolist()):
+                self.known[w] = flat[at:cut]
+                at = cut
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = []
-        for t in texts:
-            first, *more = _CUT.split(t)
-            cut.append([first, *[" " + x for x in more]])
-        new = list({w for words in cut for w in words if w not in self.known})
+        cut = [t.split(" ") for t in texts]
+        first = [ids.tobytes() for ids in self._whole([words[0] for words in cut])]
+        new = set().union(*cut).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, list({w for words in cut for w in words})
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, words)) for words in cut]
+            self.known, new = {}, set().union(*cut)
+        self._learn(list(new))
+        ids_of, out = self.known.__getitem__, []
+        for text, start, words in zip(texts, first, cut):
+            begins = words[0]
+            own = [start, *map(ids_of, words[1:])]
+            if None in own or (len(own) > 1 and (not begins or begins[-1].isspace())):
+                out.append(self._whole([text])[0].tobytes())
+            else:
+                out.append(b"".join(own))
+        return out
 
 
 def cut_lengths(n: int, capacity: int = CAPACITY, fine: int = FINE) -> list[int]:
