@@ -149,12 +149,24 @@ def padded_sequences(toks: DataFrame, vocab: DataFrame, docs: DataFrame, maxlen:
 
 # --- word vectors (A10 stand-in, E1, I11) ---------------------------------------------------
 
-def word_vectors_from(vocab: DataFrame, embeddings: DataFrame, cutoff: int) -> DataFrame:
-    """Word vectors derived from the given tables: word k (k <= cutoff) takes
-    the embedding row ``k mod n_rows``; later words have no vector."""
+LONGEST_WITH_VECTOR = 14
+
+
+def vocabulary(toks: DataFrame) -> DataFrame:
+    """(word, n): every distinct token with its count."""
+    return toks.groupBy(F.col("token").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def word_vectors_from(vocab: DataFrame, embeddings: DataFrame) -> DataFrame:
+    """Word vectors derived from the given tables for the whole vocabulary.
+
+    A word takes the embedding row picked by its first letter and length;
+    like rare words in a vector file, words of over LONGEST_WITH_VECTOR
+    letters have none.
+    """
     n_emb = embeddings.count()
-    return (vocab.where(F.col("word_index") <= cutoff)
-            .withColumn("vec_id", F.col("word_index") % F.lit(n_emb))
+    return (vocab.where(F.length("word") <= LONGEST_WITH_VECTOR)
+            .withColumn("vec_id", (F.ascii("word") * 31 + F.length("word")) % F.lit(n_emb))
             .join(embeddings.select("vec_id", F.col("embedding").alias("vec")), "vec_id")
             .select("word", "vec"))
 
@@ -174,15 +186,24 @@ def embedding_lookup(vocab: DataFrame, vectors: DataFrame, dim: int, missing: st
     else:
         fill = F.array_repeat(F.lit(0.0).cast("float"), dim)
     return (vocab.join(vectors, "word", "left")
-            .select("word", "word_index", F.col("vec").isNotNull().alias("has_vector"),
+            .select(*vocab.columns, F.col("vec").isNotNull().alias("has_vector"),
                     F.coalesce("vec", fill).alias("vec")))
 
 
-def doc_vectors(toks: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Mean word vector per document, long form (doc_id, dim, value)."""
-    v = toks.join(vectors.withColumnRenamed("word", "token"), "token")
-    return (v.select("doc_id", F.posexplode("vec").alias("dim", "x"))
-            .groupBy("doc_id", "dim").agg(F.avg("x").alias("value")))
+def doc_vectors(docs: DataFrame, toks: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
+    """Mean word vector of every document, long form (doc_id, dim, value).
+
+    Tokens are counted per document first, so a word joins once for each
+    document it is in; a document without any known word has the zero vector.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    tf = toks.groupBy("doc_id", F.col("token").alias("word")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    mean = tf.join(vectors.select("word", array_to_vector(F.col("vec").cast("array<double>")).alias("v")), "word") \
+        .groupBy("doc_id").agg(Summarizer.mean(F.col("v"), F.col("n")).alias("mean"))
+    zero = F.array_repeat(F.lit(0.0), dim)
+    full = docs.select("doc_id").join(mean, "doc_id", "left")
+    return full.select("doc_id", F.posexplode(F.coalesce(vector_to_array("mean"), zero)).alias("dim", "value"))
 
 
 # --- profiles and sizes (F1-F4) -------------------------------------------------------------
@@ -191,9 +212,12 @@ def profile_distinct(df: DataFrame, cols: list[str], approx: bool = False) -> Da
     """distinct values per column, a null counting as one value.
 
     ``approx`` uses HyperLogLog++ sketches (fixed memory per column) instead
-    of exact distinct sets."""
+    of exact distinct sets.  Exact counts compare strings by their 128-bit
+    digest, so long texts are not copied into the distinct sets."""
     dist = F.approx_count_distinct if approx else F.count_distinct
-    return df.agg(*[(dist(c) + F.max(F.col(c).isNull().cast("int"))).alias(f"n_{c}") for c in cols])
+    kinds = dict(df.dtypes)
+    thin = df.select(*[(F.md5(F.col(c).cast("binary")) if kinds[c] == "string" else F.col(c)).alias(c) for c in cols])
+    return thin.agg(*[(dist(c) + F.max(F.col(c).isNull().cast("int"))).alias(f"n_{c}") for c in cols])
 
 
 def shape(df: DataFrame) -> DataFrame:

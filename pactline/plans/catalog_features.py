@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pactline.functions import patterns as P
@@ -52,11 +54,11 @@ vc AS (SELECT token AS word, count(*) AS n, min(doc_id * 100000000 + pos) AS fir
 vocab AS (SELECT word, row_number() OVER (ORDER BY n DESC, first) AS word_index, n
           FROM vc QUALIFY row_number() OVER (ORDER BY n DESC, first) <= 19999)"""]
 
-WORDVEC_CUTOFF = 5000
-WORDVEC_CTES = VOCAB_CTES + [f"""
-wv AS (SELECT v.word, e.embedding AS vec FROM vocab v
-       JOIN embeddings e ON e.vec_id = v.word_index % (SELECT count(*) FROM embeddings)
-       WHERE v.word_index <= {WORDVEC_CUTOFF})"""]
+WORDVEC_CTES = [toks_cte("stoks", SEQ_SQL), """
+words AS (SELECT token AS word, count(*) AS n FROM stoks GROUP BY token)""", """
+wv AS (SELECT v.word, e.embedding AS vec FROM words v
+       JOIN embeddings e ON e.vec_id = (unicode(v.word) * 31 + length(v.word)) % (SELECT count(*) FROM embeddings)
+       WHERE length(v.word) <= 14)"""]
 
 SPLIT_CTE = f"""
 split AS (
@@ -138,9 +140,17 @@ def _vocab(spark, sf):
     return FE.vocab_topk(FE.tokens(_docs(spark, sf), "seq"))
 
 
+def _words(spark, sf):
+    return FE.vocabulary(FE.tokens(_docs(spark, sf), "seq"))
+
+
 def _word_vectors(spark, sf):
-    return FE.word_vectors_from(_vocab(spark, sf), table(spark, sf, "embeddings", "vec_id", "embedding"),
-                                WORDVEC_CUTOFF)
+    return FE.word_vectors_from(_words(spark, sf), table(spark, sf, "embeddings", "vec_id", "embedding"))
+
+
+def _doc_vectors(spark, sf):
+    docs = _docs(spark, sf)
+    return FE.doc_vectors(docs, FE.tokens(docs, "seq"), _word_vectors(spark, sf), 64)
 
 
 # --- I1-I6 text functions -----------------------------------------------------------------------
@@ -244,28 +254,30 @@ def q_stopword_removal(spark, sf):
 
 
 @register("attach_clusters", """
-SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
+SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def q_attach_clusters(spark, sf):
     return (_docs(spark, sf, "doc_id", "lang")
-            .join(table(spark, sf, "labels", "doc_id", "quality", "toxic"), "doc_id"))
+            .join(table(spark, sf, "labels", "doc_id", "quality", "toxic"), "doc_id", "left"))
 
 
 @register("embedding_lookup", O.with_(*WORDVEC_CTES) + """
-SELECT v.word, CAST(v.word_index AS INTEGER) AS word_index, wv.vec IS NOT NULL AS has_vector,
-       round(coalesce(list_sum(wv.vec), 0), 4) AS vec_sum
-FROM vocab v LEFT JOIN wv ON v.word = wv.word""")
+SELECT v.word, v.n, wv.vec IS NOT NULL AS has_vector,
+       round(coalesce(list_sum(wv.vec::DOUBLE[]), 0), 4) AS vec_sum
+FROM words v LEFT JOIN wv ON v.word = wv.word""")
 def q_embedding_lookup(spark, sf):
-    e = FE.embedding_lookup(_vocab(spark, sf), _word_vectors(spark, sf), 64)
-    return e.select("word", "word_index", "has_vector",
+    e = FE.embedding_lookup(_words(spark, sf), _word_vectors(spark, sf), 64)
+    return e.select("word", "n", "has_vector",
                     F.round(F.aggregate("vec", F.lit(0.0).cast("double"), lambda a, x: a + x), 4).alias("vec_sum"))
 
 
 @register("doc_vector", O.with_(*WORDVEC_CTES, """
 dv AS (SELECT t.doc_id, unnest(range(len(wv.vec))) AS dim, unnest(wv.vec) AS x
-       FROM stoks t JOIN wv ON t.token = wv.word)""") +
-    "SELECT doc_id, CAST(dim AS INTEGER) AS dim, round(avg(x), 5) AS value FROM dv GROUP BY doc_id, dim")
+       FROM stoks t JOIN wv ON t.token = wv.word)""", """
+mean AS (SELECT doc_id, dim, avg(x::DOUBLE) AS value FROM dv GROUP BY doc_id, dim)""") +
+    """SELECT d.doc_id, CAST(d.dim AS INTEGER) AS dim, round(coalesce(value, 0), 5) AS value
+FROM (SELECT doc_id, unnest(range(64)) AS dim FROM documents) d LEFT JOIN mean m ON m.doc_id = d.doc_id AND m.dim = d.dim""")
 def q_doc_vector(spark, sf):
-    v = FE.doc_vectors(FE.tokens(_docs(spark, sf), "seq"), _word_vectors(spark, sf))
+    v = _doc_vectors(spark, sf)
     return v.select("doc_id", "dim", F.round("value", 5).alias("value"))
 
 
@@ -475,7 +487,7 @@ def q_score_history(spark, sf):
 
 @register("kmeans_sweep")
 def q_kmeans_sweep(spark, sf):
-    return M.kmeans_sweep(_docs(spark, sf), [25, 35, 45])
+    return M.kmeans_sweep(_docs(spark, sf), list(range(25, 46)))
 
 
 def _train_test(spark, sf):
@@ -496,7 +508,7 @@ def q_linear_svm(spark, sf):
 def q_batch_predict(spark, sf):
     from pactline.session import checkpoint_dir
     train, test = _train_test(spark, sf)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/pactline-models/nb-{abs(hash(sf))}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pactline-models/nb-{uuid.uuid4().hex}"
     M.save_model(M.nb_pipeline().fit(train), path)
     return M.predicted_labels(M.load_model(path), test)
 
@@ -504,7 +516,7 @@ def q_batch_predict(spark, sf):
 @register("neural_classifier")
 def q_neural_classifier(spark, sf):
     from pyspark.ml.functions import array_to_vector
-    vecs = FE.doc_vectors(FE.tokens(_docs(spark, sf), "seq"), _word_vectors(spark, sf))
+    vecs = _doc_vectors(spark, sf)
     feats = (vecs.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "value"))),
                                                     lambda s: s["value"]).alias("v"))
              .where(F.size("v") == 64)

@@ -60,7 +60,8 @@ def q_tagged_sink(spark, sf):
 
 
 _HTML_SQL = (f"regexp_replace(html, {O.q(C.HTML_DROP)}, '', 'g')")
-for _ent, _ch in C.ENTITIES:
+# the entities of the given pages, decoded by the oracle on its own
+for _ent, _ch in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
     _HTML_SQL = f"replace({_HTML_SQL}, {O.q(_ent)}, {O.q(_ch)})"
 
 
@@ -90,7 +91,8 @@ def _docx_bytes(batches):
                             "content": [make(t) for t in pdf["text"]]})
 
 
-@register("docx_to_text")
+@register("docx_to_text", """
+SELECT doc_id, trim(replace(text, chr(10), chr(10) || chr(10)), ' ' || chr(9) || chr(10)) AS docx_text FROM documents""")
 def q_docx_to_text(spark, sf):
     files = (documents(spark, sf, "doc_id", "text")
              .mapInPandas(_docx_bytes, "path string, content binary"))

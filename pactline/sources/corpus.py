@@ -4,18 +4,19 @@ A folder of contracts becomes one row per file with Spark's ``binaryFile``
 source (listing and the suffix filter happen at planning, reading in the
 tasks).  Text is decoded strictly as UTF-8 in the JVM; HTML is reduced to
 its text nodes with column expressions; only ``.docx`` (a zip archive)
-needs Python, run per Arrow batch with ``mapInPandas``.
+needs Python, run per Arrow batch.
 """
 
 from __future__ import annotations
 
+import html as html_entities
 import io
 import uuid
 import zipfile
+import zlib
 from functools import reduce
 from xml.etree import ElementTree
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +25,6 @@ from pactline.session import checkpoint_dir
 EXTENSIONS = (".docx", ".txt")          # the reference's allowed list
 READABLE = (".docx", ".txt", ".html")   # what read_text understands
 
-# HTML entities decoded after tags are removed (&amp; last).
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
 HTML_DROP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!doctype[^>]*>|<[^>]*>"
 
 
@@ -55,12 +53,14 @@ def corpus_scan(spark: SparkSession, folder: str, extensions=EXTENSIONS, count:
 
 def html_to_text(html: Column | str) -> Column:
     """A3: text nodes of a page joined with no separator (comments, script,
-    style and doctype dropped), then entities decoded."""
+    style and doctype dropped), then all named and numeric entities decoded.
+
+    Markup goes in the JVM; only texts that hold an ``&`` are sent to the
+    decoder, a batch at a time."""
     h = F.col(html) if isinstance(html, str) else html
     t = F.regexp_replace(h, HTML_DROP, "")
-    for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return t
+    decode = F.pandas_udf(lambda s: s.map(html_entities.unescape, na_action="ignore").astype(object), "string")
+    return F.coalesce(decode(F.when(t.contains("&"), t)), t)
 
 
 def _docx_text(data: bytes) -> str | None:
@@ -69,9 +69,14 @@ def _docx_text(data: bytes) -> str | None:
     w = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
     try:
         z = zipfile.ZipFile(io.BytesIO(data))
-    except zipfile.BadZipFile:
+        names = z.namelist()
+        return _parts_text(z, names, w) if "word/document.xml" in names else None
+    except (zipfile.BadZipFile, zlib.error, ElementTree.ParseError, LookupError, RuntimeError, OSError, EOFError,
+            ValueError):  # broken, truncated or encrypted: the file is set apart, the job goes on
         return None
-    names = z.namelist()
+
+
+def _parts_text(z: zipfile.ZipFile, names: list[str], w: str) -> str:
     parts = ([n for n in names if n.startswith("word/header")] + ["word/document.xml"]
              + [n for n in names if n.startswith("word/footer")])
     out = []
@@ -90,15 +95,14 @@ def _docx_text(data: bytes) -> str | None:
     return "".join(out).strip()
 
 
-def _docx_batches(batches):
-    for pdf in batches:
-        yield pd.DataFrame({"path": pdf["path"], "docx_text": [_docx_text(b) for b in pdf["content"]]})
+def _docx_column(content: Column) -> Column:
+    """Text of .docx bytes, one Arrow batch at a time; null for a bad file."""
+    return F.pandas_udf(lambda s: s.map(_docx_text, na_action="ignore").astype(object), "string")(content)
 
 
 def docx_to_text(files: DataFrame) -> DataFrame:
-    """A4: (path, docx_text) for .docx rows, one Arrow batch at a time."""
-    return (files.where(F.col("path").endswith(".docx")).select("path", "content")
-            .mapInPandas(_docx_batches, "path string, docx_text string"))
+    """A4: (path, docx_text) for .docx rows; null where the file is broken."""
+    return files.where(F.col("path").endswith(".docx")).select("path", _docx_column(F.col("content")).alias("docx_text"))
 
 
 def read_text(files: DataFrame) -> DataFrame:
@@ -111,11 +115,10 @@ def read_text(files: DataFrame) -> DataFrame:
     raw = F.col("content").cast("string")
     valid = F.is_valid_utf8(raw)
     text = F.regexp_replace(raw, "\r\n?", "\n")
-    base = files.select("path", F.xxhash64("path").alias("doc_id"), "content",
-                        F.when(valid, text).alias("text0"), valid.alias("valid"))
-    docx = docx_to_text(files)
-    out = base.join(docx, "path", "left")
     is_docx, is_html = F.col("path").endswith(".docx"), F.col("path").endswith(".html")
+    # one pass: only the bytes of .docx files go to Python
+    out = files.select("path", F.xxhash64("path").alias("doc_id"), F.when(valid, text).alias("text0"),
+                       valid.alias("valid"), _docx_column(F.when(is_docx, F.col("content"))).alias("docx_text"))
     txt = (F.when(is_docx, F.col("docx_text"))
             .when(is_html, html_to_text("text0"))
             .otherwise(F.col("text0")))

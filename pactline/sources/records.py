@@ -31,9 +31,13 @@ def write_marks(per_file: DataFrame, path: str) -> None:
         .write.mode("overwrite").text(path)
 
 
-def json_nested_marks(spark: SparkSession, path: str) -> DataFrame:
-    """(file, title, mark_pos, flag, text) from ``{file: {title, marks}}`` lines."""
-    m = spark.read.text(path).select(F.from_json("value", MARKS_SCHEMA).alias("m"))
+def json_nested_marks(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
+    """(file, title, mark_pos, flag, text) from ``{file: {title, marks}}``
+    records, bare or under a top-level ``files`` key; one record per line, or
+    one per file with ``whole_file``."""
+    raw = spark.read.text(path, wholetext=whole_file)
+    wrapped = T.StructType([T.StructField("files", MARKS_SCHEMA)])
+    m = raw.select(F.coalesce(F.from_json("value", wrapped)["files"], F.from_json("value", MARKS_SCHEMA)).alias("m"))
     files = m.select(F.explode("m").alias("file", "v"))
     return files.select("file", F.col("v.title").alias("title"),
                         F.posexplode("v.marks").alias("mark_pos", "mark")) \
