@@ -149,11 +149,12 @@ def site_rates(scored: DataFrame) -> tuple[DataFrame, float, float, float]:
 
 
 def judge_quality(docs: DataFrame, evidence: Evidence | None, host: Column, path: Column, id_col: str = "doc_id",
-                  text_col: str = "text", keep: float = KEEP) -> DataFrame:
+                  text_col: str = "text", keep: float = KEEP, rows: bool = True) -> DataFrame:
     """(id, host, path, own_log_odds, host_rate, path_rate, quality, keep, row).
 
     ``quality``: posterior probability of good text; ``row``: the columns of
-    the document (not moved unless read).
+    the document.  Without ``rows`` the texts' evidence is written once and
+    the texts are not read a second time.
     """
     scored = docs.select(F.col(id_col).alias("id"), host.cast("string").alias("host"),
                          path.cast("string").alias("path"), F.struct("*").alias("row"),
@@ -167,6 +168,9 @@ def judge_quality(docs: DataFrame, evidence: Evidence | None, host: Column, path
         prior = evidence.prior
         own = F.when(F.col("_f_length") > 0, evidence.log_odds() - prior).otherwise(F.lit(0.0))
     scored = scored.withColumn("own_log_odds", own).withColumn("_p", 1 / (1 + F.exp(-(F.col("own_log_odds") + prior))))
+    shown = ["row"] if rows else []
+    scored = scored.select("id", "host", "path", "_host", "_path", "own_log_odds", "_p", *shown)
+    scored = scored if rows else keep_table(scored, "evidence")
     sums, rate, host_strength, path_strength = site_rates(scored)
     # rates without the document itself
     host_rate = (F.col("_hk") - F.col("_p") + host_strength * rate) / (F.col("_hn") - 1 + host_strength)
@@ -178,7 +182,7 @@ def judge_quality(docs: DataFrame, evidence: Evidence | None, host: Column, path
     out = out.withColumn("quality", 1 / (1 + F.exp(-(F.col("own_log_odds") + site))))
     kept = F.lit(True) if evidence is None else F.col("quality") >= keep
     return out.select(F.col("id").alias(id_col), "host", "path", "own_log_odds", "host_rate", "path_rate", "quality",
-                      kept.alias("keep"), "row")
+                      kept.alias("keep"), *shown)
 
 
 def keep_good(docs: DataFrame, evidence: Evidence | None, host: Column, path: Column, **kinds: object) -> DataFrame:

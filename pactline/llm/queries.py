@@ -30,7 +30,7 @@ def site_of(docs: DataFrame) -> tuple[Column, Column]:
 
 def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
-    judged = quality.judge_quality(docs, quality.fit_evidence(docs, labels), *site_of(docs))
+    judged = quality.judge_quality(docs, quality.fit_evidence(docs, labels), *site_of(docs), rows=False)
     return judged.select("doc_id", "host", "path", F.round("own_log_odds", 6).alias("own_log_odds"),
                          F.round("host_rate", 6).alias("host_rate"), F.round("path_rate", 6).alias("path_rate"),
                          F.round("quality", 6).alias("quality"), "keep")
