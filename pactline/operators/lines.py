@@ -8,7 +8,7 @@ line, or fails (``error_blank_first``) when a continuation follows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactline.functions import patterns as P
@@ -20,8 +20,12 @@ ERR_BLANK_FIRST, ERR_EMPTY, ERR_UNREADABLE = "error_blank_first", "error_empty",
 ERR_EXHIBIT_ONLY = "error_exhibit_only"
 
 
-def split_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, text) -> (doc_id, pos, line) like ``str.splitlines`` (B1)."""
+def document_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, text) -> (doc_id, pos, line, n_lines) like ``str.splitlines`` (B1).
+
+    ``n_lines`` is known from the split text, so the tagger sees before any
+    exchange whether a document spans more than one chunk.
+    """
     # Every break becomes "\n" with char-level ops, so the split itself is a
     # single-character split (no regex engine over the whole text).
     t = F.col(text_col)
@@ -30,7 +34,14 @@ def split_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     split = docs.select(F.col(id_col).alias("doc_id"), F.split(t, "\n").alias("parts"))
     parts = F.col("parts")
     parts = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
-    return split.select("doc_id", F.posexplode(parts).alias("pos", "line"))
+    return split.select("doc_id", parts.alias("parts")).select(
+        "doc_id", F.size("parts").alias("n_lines"), "parts").select(
+        "doc_id", "n_lines", F.posexplode("parts").alias("pos", "line"))
+
+
+def split_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, text) -> (doc_id, pos, line) (B1)."""
+    return document_lines(docs, text_col, id_col).select("doc_id", "pos", "line")
 
 
 def text_status(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -41,12 +52,41 @@ def text_status(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
                         .when(t == "", F.lit(ERR_EMPTY)).alias("status"))
 
 
-def _raw(lines: DataFrame, chunk_lines: int) -> DataFrame:
-    return S.materialize(lines.select("doc_id", "pos", "line",
-                         S.chunk_of(F.col("pos"), chunk_lines).alias("chunk"),
-                         is_blank("line").alias("blank"),
-                         is_continuation("line").alias("cont"))
-            .repartition(*S.KEYS))
+def _raw(lines: DataFrame, chunk_lines: int) -> tuple[DataFrame, DataFrame]:
+    """(lines of one-chunk documents, lines of longer ones) under ``S.KEYS``, one exchange each.
+
+    With ``n_lines`` (``document_lines``) the two kinds part before the
+    exchange.  For other line tables every line of a document's second chunk
+    sends a mark (a row without position) to the first chunk, so each chunk
+    knows by itself whether the document goes on; positions start below
+    ``chunk_lines`` and leave out no whole chunk.  Only longer documents are
+    kept for their several readers.
+    """
+    pos = F.col("pos")
+    chunk, flags = S.chunk_of(pos, chunk_lines), [is_blank("line").alias("blank"), is_continuation("line").alias("cont")]
+    if "n_lines" in lines.columns:
+        x = lines.select("doc_id", "n_lines", "pos", "line", chunk.alias("chunk"))
+        short, long = x.where(F.col("n_lines") <= chunk_lines), x.where(F.col("n_lines") > chunk_lines)
+        short, long = [p.select(*S.KEYS, "pos", "line", *flags).repartition(*S.KEYS) for p in (short, long)]
+        return short, S.materialize(long)
+    own = F.struct(chunk.alias("chunk"), pos.alias("pos"), F.col("line").alias("line"))
+    mark = F.struct(F.lit(0).cast("long").alias("chunk"), F.lit(None).cast(lines.schema["pos"].dataType).alias("pos"),
+                    F.lit(None).cast("string").alias("line"))
+    x = lines.select("doc_id", F.inline(F.when(chunk == 1, F.array(own, mark)).otherwise(F.array(own))))
+    x = x.select(*S.KEYS, "pos", "line", *flags).repartition(*S.KEYS)
+    goes_on = F.max(pos.isNull()).over(Window.partitionBy(*S.KEYS))
+    x = x.withColumn("multi", (F.col("chunk") > 0) | goes_on).where(pos.isNotNull())
+    return x.where(~F.col("multi")).drop("multi"), S.materialize(x.where("multi").drop("multi"))
+
+
+def _status(first_blank: Column, any_cont: Column) -> Column:
+    return (F.when(first_blank & any_cont, F.lit(ERR_BLANK_FIRST)).when(first_blank, F.lit(COLLAPSED))
+             .otherwise(F.lit(OK)))
+
+
+def _keep(first: Column) -> Column:
+    return (F.when(F.col("status") == OK, ~F.col("blank")).when(F.col("status") == COLLAPSED, first)
+             .otherwise(F.lit(False)))
 
 
 def _raw_summary(x: DataFrame) -> DataFrame:
@@ -56,61 +96,47 @@ def _raw_summary(x: DataFrame) -> DataFrame:
         F.min_by("blank", "pos").alias("c_first_blank"),
         F.min_by("cont", "pos").alias("c_first_cont"),
         S.count_if(~F.col("blank") & ~F.col("cont")).alias("c_starts"),
-        S.count_if(F.col("cont")).alias("c_cont"),
-        F.count(F.lit(1)).alias("c_lines"))
+        S.count_if(F.col("cont")).alias("c_cont"))
     cs = cs.select(
         *S.KEYS, "c_starts",
         F.first("c_min_pos").over(S.doc()).alias("d_first_pos"),
         F.first("c_first_blank").over(S.doc()).alias("d_first_blank"),
         F.first("c_first_cont").over(S.doc()).alias("d_first_cont"),
         F.sum("c_cont").over(S.doc()).alias("d_cont"),
-        F.sum("c_lines").over(S.doc()).alias("d_lines"),
         F.min("chunk").over(S.doc()).alias("d_first_chunk"),
-        F.count(F.lit(1)).over(S.doc()).alias("d_chunks"),
         F.coalesce(F.sum("c_starts").over(S.prev_chunks()), F.lit(0)).alias("starts_before"))
     has_start = (F.col("c_starts") > 0) | (F.col("chunk") == F.col("d_first_chunk"))
-    status = (F.when(F.col("d_first_blank") & (F.col("d_cont") > 0), F.lit(ERR_BLANK_FIRST))
-               .when(F.col("d_first_blank"), F.lit(COLLAPSED))
-               .otherwise(F.lit(OK)))
-    return cs.select(*S.KEYS, "d_first_pos", "d_first_cont", "d_lines", "starts_before",
-                     status.alias("status"), (F.col("d_chunks") > 1).alias("multi"),
+    return cs.select(*S.KEYS, "d_first_pos", "d_first_cont", "starts_before",
+                     _status(F.col("d_first_blank"), F.col("d_cont") > 0).alias("status"),
+                     (F.col("chunk") == F.col("d_first_chunk")).alias("is_first_chunk"),
                      F.max(F.when(has_start, F.col("chunk"))).over(S.prev_chunks()).alias("head_chunk"))
 
 
-def level1(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> tuple[DataFrame, DataFrame]:
-    """Raw lines joined with their chunk summary, kept lines only.
-
-    Adds ``multi`` (the document spans more than one chunk) and ``g``
-    (group number = 1-based normalised position of the group).
-    """
-    x = _raw(lines, chunk_lines)
-    cs = S.materialize(_raw_summary(x))
-    y = x.join(cs, S.KEYS)
-    keep = (F.when(F.col("status") == OK, ~F.col("blank"))
-             .when(F.col("status") == COLLAPSED, F.col("pos") == F.col("d_first_pos"))
-             .otherwise(F.lit(False)))
-    y = y.where(keep)
-    start = ~F.col("cont") | (F.col("pos") == F.col("d_first_pos"))
-    g = (F.col("starts_before") + F.sum((~F.col("cont")).cast("int")).over(S.running("pos"))
-         + F.col("d_first_cont").cast("int"))
-    return y.select(*S.KEYS, "pos", "line", "head_chunk", "multi",
-                    start.alias("is_start"), g.alias("g")), cs
+def _single_chunk(x: DataFrame) -> DataFrame:
+    """Lines with ``first`` and ``status``: all the document is in the window."""
+    whole = Window.partitionBy(*S.KEYS)
+    x = x.withColumn("first", F.col("pos") == F.min("pos").over(whole))
+    return x.withColumn("status", _status(F.max(F.col("first") & F.col("blank")).over(whole),
+                                          F.max("cont").over(whole)))
 
 
-def _norm_single(y: DataFrame) -> DataFrame:
-    """Documents inside one chunk: glue with a window over the group, no join."""
-    w = (Window.partitionBy(*S.KEYS, "g").orderBy("pos")
-         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    glued = F.array_join(F.collect_list("line").over(w), "")
-    # ``g`` is kept: rows leave this window sorted by it, so later windows
-    # ordered by ``g`` (= i + 1) need no new sort.
-    return (y.select(*S.KEYS, "g", "is_start", glued.alias("line"))
-            .where(F.col("is_start"))
-            .select(*S.KEYS, (F.col("g") - 1).cast("int").alias("i"), "line", "g"))
+def _norm_single(x: DataFrame) -> DataFrame:
+    """Documents inside one chunk: windows and one aggregate, no join, no further exchange."""
+    y = x.where(_keep(F.col("first")))
+    g = F.sum((~F.col("cont") | F.col("first")).cast("int")).over(S.running("pos"))
+    groups = y.select(*S.KEYS, "pos", "line", g.alias("g")).groupBy(*S.KEYS, "g")
+    return groups.agg(S.ordered_concat("pos", "line").alias("line")).select(
+        *S.KEYS, (F.col("g") - 1).cast("int").alias("i"), "line", "g")
 
 
-def _norm_multi(y: DataFrame) -> DataFrame:
+def _norm_multi(x: DataFrame, cs: DataFrame) -> DataFrame:
     """Documents over several chunks: glue per chunk, then carry tails."""
+    y = x.join(cs, S.KEYS)
+    first = F.col("pos") == F.col("d_first_pos")
+    y = y.where(_keep(first))
+    g = (F.col("starts_before") + F.sum((~F.col("cont")).cast("int")).over(S.running("pos"))
+         + F.col("d_first_cont").cast("int"))
+    y = y.select(*S.KEYS, "pos", "line", "head_chunk", (~F.col("cont") | first).alias("is_start"), g.alias("g"))
     pieces = y.groupBy(*S.KEYS, "g").agg(
         F.min("pos").alias("spos"),
         F.max("is_start").alias("has_head"),
@@ -127,30 +153,27 @@ def _norm_multi(y: DataFrame) -> DataFrame:
     return S.materialize(out)
 
 
-def has_multi(cs: DataFrame) -> bool:
-    """Does any document span more than one chunk?  (one-row job on the summary)"""
-    return bool(cs.agg(F.max(F.col("multi").cast("int"))).first()[0] or 0)
-
-
-def normalized_parts(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES):
-    """(single-chunk docs, multi-chunk docs or None, chunk summary) of normalised lines.
+def normalized_parts(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(single-chunk documents, longer documents, (doc_id, status)) of a line table.
 
-    The carry path is only planned when some document needs it.
+    Both parts are always planned and no job runs here; without longer
+    documents Spark drops the second part as it meets its empty stages.
     """
-    y, cs = level1(lines, chunk_lines)
-    single = _norm_single(y.where(~F.col("multi")))
-    multi = _norm_multi(y.where(F.col("multi"))) if has_multi(cs) else None
-    return single, multi, cs
+    short, long = _raw(lines, chunk_lines)
+    short, cs = _single_chunk(short), _raw_summary(long)
+    statuses = short.where("first").select("doc_id", "status").unionByName(
+        cs.where("is_first_chunk").select("doc_id", "status"))
+    return _norm_single(short), _norm_multi(long, cs), statuses
 
 
 def normalized(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> tuple[DataFrame, DataFrame]:
-    """Normalised lines (doc_id, chunk, i, line) and the per-chunk summary.
+    """Normalised lines (doc_id, chunk, i, line) and (doc_id, status).
 
     ``chunk`` is the chunk of the line's first raw line, so the output keeps
     the ``(doc_id, chunk)`` partitioning of the input exchange.
     """
-    single, multi, cs = normalized_parts(lines, chunk_lines)
-    return (single if multi is None else single.unionByName(multi)), cs
+    single, multi, statuses = normalized_parts(lines, chunk_lines)
+    return single.unionByName(multi), statuses
 
 
 def normalize_lines(lines: DataFrame) -> DataFrame:

@@ -21,10 +21,10 @@ _CMP = {">": lambda a, b: a > b, ">=": lambda a, b: a >= b, "<": lambda a, b: a
 
 
 def list_items(tagged: DataFrame) -> DataFrame:
-    """(doc_id, chunk, i, line, multi, marker, mtype, content) of lines tagged ``l``."""
+    """(doc_id, chunk, i, line, marker, mtype, content) of lines tagged ``l``."""
     m = T.list_marker("line")
     return (tagged.where(F.col("tag") == "l")
-            .select(*S.KEYS, "i", "line", "multi", m.alias("marker"))
+            .select(*S.KEYS, "i", "line", m.alias("marker"))
             .withColumn("mtype", T.list_type("marker"))
             .withColumn("content", T.list_content("marker")))
 
@@ -64,17 +64,15 @@ def _pairs(items: DataFrame, carry: F.Column | None) -> DataFrame:
     def prev(c):
         lagged = F.lag(c).over(w)
         return lagged if carry is None else F.when(has_lag, lagged).otherwise(carry[c])
-    return items.select(*S.KEYS, "i", "line", "multi", "marker", "mtype", "content",
+    return items.select(*S.KEYS, "i", "line", "marker", "mtype", "content",
                         prev("i").alias("prev_i"), prev("mtype").alias("prev_mtype"),
                         prev("content").alias("prev_content"))
 
 
 def _pair_parts(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES):
     single_t, multi_t = tag_parts(lines, chunk_lines)
-    single = _pairs(list_items(single_t.withColumn("multi", F.lit(False))), None)
-    if multi_t is None:
-        return single, None
-    multi = list_items(multi_t.withColumn("multi", F.lit(True)))
+    single = _pairs(list_items(single_t), None)
+    multi = list_items(multi_t)
     cs = multi.groupBy(*S.KEYS).agg(
         F.max("i").alias("c_last_i"),
         F.max_by(F.struct("mtype", "content", "i"), "i").alias("c_last"))
@@ -85,7 +83,7 @@ def _pair_parts(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES):
 def list_pairs(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
     """Each list item with its previous list item in the document (D5-D7 inputs)."""
     single, multi = _pair_parts(lines, chunk_lines)
-    return single if multi is None else single.unionByName(multi)
+    return single.unionByName(multi)
 
 
 def list_relations(lines: DataFrame, op: str = ">", chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
@@ -112,14 +110,13 @@ def list_runs(lines: DataFrame, min_items: int = 2, chunk_lines: int = S.CHUNK_L
             & growth(F.col("prev_mtype"), F.col("prev_content"), F.col("mtype"), F.col("content")))
     y = (single.withColumn("brk", brk.cast("int"))
          .withColumn("run_id", F.sum("brk").over(S.running("i"))))
-    if multi is not None:
-        multi = multi.withColumn("brk", brk.cast("int"))
-        cs = multi.groupBy(*S.KEYS).agg(F.sum("brk").alias("c_brk"))
-        cs = cs.select(*S.KEYS, F.coalesce(F.sum("c_brk").over(S.prev_chunks()), F.lit(0)).alias("brk_before"))
-        multi = (multi.join(cs, S.KEYS)
-                 .withColumn("run_id", F.col("brk_before") + F.sum("brk").over(S.running("i")))
-                 .drop("brk_before"))
-        y = y.unionByName(multi)
+    multi = multi.withColumn("brk", brk.cast("int"))
+    cs = multi.groupBy(*S.KEYS).agg(F.sum("brk").alias("c_brk"))
+    cs = cs.select(*S.KEYS, F.coalesce(F.sum("c_brk").over(S.prev_chunks()), F.lit(0)).alias("brk_before"))
+    multi = (multi.join(cs, S.KEYS)
+             .withColumn("run_id", F.col("brk_before") + F.sum("brk").over(S.running("i")))
+             .drop("brk_before"))
+    y = y.unionByName(multi)
     runs = y.groupBy("doc_id", "run_id").agg(
         F.min("i").alias("first_i"), F.max("i").alias("last_i"),
         F.count(F.lit(1)).alias("n_items"),

@@ -141,15 +141,10 @@ def _tags_multi(norm: DataFrame) -> DataFrame:
     return S.materialize(_final(y, si, nxt))
 
 
-def tag_parts(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> tuple[DataFrame, DataFrame | None]:
-    """(single-chunk docs, multi-chunk docs or None) of the tag frame."""
+def tag_parts(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> tuple[DataFrame, DataFrame]:
+    """(single-chunk documents, longer documents) of the tag frame."""
     single, multi, _ = L.normalized_parts(lines, chunk_lines)
-    return _tags_single(single), (None if multi is None else _tags_multi(multi))
-
-
-def union_parts(single: DataFrame, multi: DataFrame | None) -> DataFrame:
-    s = single.withColumn("multi", F.lit(False))
-    return s if multi is None else s.unionByName(multi.withColumn("multi", F.lit(True)))
+    return _tags_single(single), _tags_multi(multi)
 
 
 def tag_frame(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
@@ -160,7 +155,8 @@ def tag_frame(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
     chunk (nearly all) are tagged with windows over their partition; longer
     ones use the chunk summary carry.
     """
-    return union_parts(*tag_parts(lines, chunk_lines))
+    single, multi = tag_parts(lines, chunk_lines)
+    return single.unionByName(multi)
 
 
 # --- public operators --------------------------------------------------------
@@ -241,14 +237,14 @@ def parse_raw_text(lines: DataFrame) -> DataFrame:
 
 def line_status(lines: DataFrame) -> DataFrame:
     """(doc_id, status) for every document of a line table."""
-    norm, cs = L.normalized(lines)
-    raw = cs.groupBy("doc_id").agg(F.first("status").alias("status"))
-    z = norm.select(*S.KEYS, "i", F.when(F.col("i") == 0, T.is_exhibit("line")).otherwise(False).alias("ex"))
-    ex_only = (z.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("ex").alias("ex0"))
-               .where(F.col("ex0") & (F.col("n") == 1)).select("doc_id", F.lit(True).alias("ex_only")))
-    st = F.when(F.col("ex_only").isNotNull() & (F.col("status") == L.OK),
-                F.lit(L.ERR_EXHIBIT_ONLY)).otherwise(F.col("status"))
-    return raw.join(ex_only, "doc_id", "left").select("doc_id", st.alias("status"))
+    norm, statuses = L.normalized(lines)
+    none = F.lit(None)
+    rows = statuses.select("doc_id", "status", none.cast("boolean").alias("ex")).unionByName(
+        norm.select("doc_id", none.cast("string").alias("status"),
+                    F.when(F.col("i") == 0, T.is_exhibit("line")).otherwise(False).alias("ex")))
+    st = rows.groupBy("doc_id").agg(F.max("status").alias("status"), F.count("ex").alias("n"), F.max("ex").alias("ex0"))
+    alone = (F.col("n") == 1) & F.col("ex0") & (F.col("status") == L.OK)
+    return st.select("doc_id", F.when(alone, F.lit(L.ERR_EXHIBIT_ONLY)).otherwise(F.col("status")).alias("status"))
 
 
 def quarantine(lines: DataFrame) -> DataFrame:
@@ -259,7 +255,7 @@ def quarantine(lines: DataFrame) -> DataFrame:
 def document_status(docs: DataFrame) -> DataFrame:
     """A6 for a text table: null / empty texts, then the line rules."""
     pre = L.text_status(docs)
-    lines_st = line_status(L.split_lines(docs))
+    lines_st = line_status(L.document_lines(docs))
     return (pre.join(lines_st.withColumnRenamed("status", "line_status"), "doc_id", "left")
             .select("doc_id", F.coalesce(F.col("status"), F.col("line_status")).alias("status")))
 

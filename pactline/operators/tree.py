@@ -18,23 +18,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactline.operators import segments as S
-from pactline.operators.tagger import tag_frame, tag_parts
+from pactline.operators.tagger import tag_parts
 
 TAGS = ("title", "s", "l", "p")
+NODE = "struct<node_pos:int,tag:string,depth:bigint,top_ancestor:int,bfs_rank:bigint,child_walk_rank:bigint>"
 
 
 def _tree_columns(y: DataFrame, parent, depth, d_last1, d_first1, node_rank, tag_rank) -> DataFrame:
-    one = F.col("bits") == 1
     closes = (F.col("tot") > 0) & (F.col("tot") % 2 == 0)
     cl_pos = F.when(closes & (F.col("i") == d_last1), F.col("n") - 1).otherwise(F.col("i"))
     # The depth-1 ancestor: the node itself at depth 1, else the first bits-1 node.
     top = F.when(depth == 1, F.col("i")).otherwise(d_first1)
-    del one
-    return y.select("doc_id", "i", "tag", "bits", "n", "tot",
+    return y.select("doc_id", "i", "tag", "bits", "n", "tot", _is_node().alias("is_node"),
                     parent.alias("parent_pos"), depth.alias("depth"), cl_pos.alias("cl_pos"),
                     node_rank.alias("node_rank"), tag_rank.alias("tag_rank"), top.alias("top_ancestor"))
 
 
+def _is_node():
+    return F.col("bits").isin(1, 3)
+
+
 def _per_tag_running():
     return (Window.partitionBy(*S.KEYS, "tag").orderBy("i")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -44,20 +47,19 @@ def _nodes_single(tagged: DataFrame) -> DataFrame:
     one = F.col("bits") == 1
     whole = Window.partitionBy(*S.KEYS)
     prev = S.before("g")  # g = i + 1 keeps the order the tagger left
-    y = tagged.where(F.col("bits").isin(1, 3))
     return _tree_columns(
-        y,
+        tagged,
         parent=F.coalesce(F.max(F.when(one, F.col("i"))).over(prev), F.lit(-1)),
         depth=1 + F.coalesce(S.count_if(one).over(prev), F.lit(0)),
         d_last1=F.max(F.when(one, F.col("i"))).over(whole),
         d_first1=F.min(F.when(one, F.col("i"))).over(whole),
-        node_rank=F.count(F.lit(1)).over(S.running("g")),
-        tag_rank=F.count(F.lit(1)).over(_per_tag_running()))
+        node_rank=S.count_if(_is_node()).over(S.running("g")),
+        tag_rank=S.count_if(_is_node()).over(_per_tag_running()))
 
 
 def _nodes_multi(tagged: DataFrame) -> DataFrame:
     one = F.col("bits") == 1
-    node = F.col("bits").isin(1, 3)
+    node = _is_node()
     cs = tagged.groupBy(*S.KEYS).agg(
         S.count_if(one).alias("c_ones"),
         F.max(F.when(one, F.col("i"))).alias("c_last1"),
@@ -72,7 +74,7 @@ def _nodes_multi(tagged: DataFrame) -> DataFrame:
         F.min("c_first1").over(S.doc()).alias("d_first1"),
         F.coalesce(F.sum("c_nodes").over(S.prev_chunks()), F.lit(0)).alias("nodes_before"),
         *[F.coalesce(F.sum(f"c_{t}").over(S.prev_chunks()), F.lit(0)).alias(f"{t}_before") for t in TAGS])
-    y = tagged.where(node).join(cs, S.KEYS)
+    y = tagged.join(cs, S.KEYS)
     prev = S.before("i")
     tag_before = F.coalesce(*[F.when(F.col("tag") == t, F.col(f"{t}_before")) for t in TAGS])
     return _tree_columns(
@@ -80,15 +82,19 @@ def _nodes_multi(tagged: DataFrame) -> DataFrame:
         parent=F.coalesce(F.max(F.when(one, F.col("i"))).over(prev), F.col("last1_before"), F.lit(-1)),
         depth=1 + F.col("ones_before") + F.coalesce(S.count_if(one).over(prev), F.lit(0)),
         d_last1=F.col("d_last1"), d_first1=F.col("d_first1"),
-        node_rank=F.col("nodes_before") + F.count(F.lit(1)).over(S.running("i")),
-        tag_rank=tag_before + F.count(F.lit(1)).over(_per_tag_running()))
+        node_rank=F.col("nodes_before") + S.count_if(node).over(S.running("i")),
+        tag_rank=tag_before + S.count_if(node).over(_per_tag_running()))
+
+
+def line_frame(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
+    """Every tagged line with its tree columns; ``is_node`` marks the nodes."""
+    single, multi = tag_parts(lines, chunk_lines)
+    return _nodes_single(single).unionByName(_nodes_multi(multi))
 
 
 def node_frame(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
     """Node rows + parent, depth, cl_pos, node_rank, tag_rank, top_ancestor."""
-    single, multi = tag_parts(lines, chunk_lines)
-    nodes = _nodes_single(single)
-    return nodes if multi is None else nodes.unionByName(_nodes_multi(multi))
+    return line_frame(lines, chunk_lines).where("is_node")
 
 
 def build_tree(lines: DataFrame) -> DataFrame:
@@ -100,18 +106,14 @@ def build_tree(lines: DataFrame) -> DataFrame:
 
 def tree_root(lines: DataFrame) -> DataFrame:
     """(doc_id, op_pos, cl_pos, n_children) of each document's root."""
-    tagged = tag_frame(lines)
     one = F.col("bits") == 1
-    docs = tagged.groupBy("doc_id").agg(
+    docs = line_frame(lines).groupBy("doc_id").agg(
         F.first("n").alias("n"), F.first("tot").alias("tot"),
-        F.max(F.when(one, F.col("i"))).alias("last1"))
+        F.max(F.when(one, F.col("i"))).alias("last1"),
+        S.count_if(F.col("is_node") & (F.col("parent_pos") == -1)).alias("n_children"))
     closes_root = (F.col("tot") > 0) & (F.col("tot") % 2 == 0) & F.col("last1").isNull()
-    kids = (node_frame(lines).where(F.col("parent_pos") == -1)
-            .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_children")))
-    return (docs.join(kids, "doc_id", "left")
-            .select("doc_id", F.lit(0).alias("op_pos"),
-                    F.when(closes_root, F.col("n") - 1).otherwise(F.col("n")).alias("cl_pos"),
-                    F.coalesce(F.col("n_children"), F.lit(0)).alias("n_children")))
+    return docs.select("doc_id", F.lit(0).alias("op_pos"),
+                       F.when(closes_root, F.col("n") - 1).otherwise(F.col("n")).alias("cl_pos"), "n_children")
 
 
 def tag_lines(lines: DataFrame, tag: str | None = None) -> DataFrame:
@@ -129,15 +131,16 @@ def tree_walk(lines: DataFrame) -> DataFrame:
     ``bfs_rank`` is the breadth-first order, ``child_walk_rank`` the order of
     "root, then breadth-first under each top-level child".
     """
-    tagged = tag_frame(lines)
-    f = node_frame(lines)
-    nodes = f.select("doc_id", F.col("i").alias("node_pos"), "tag", "depth", "top_ancestor",
-                     F.col("node_rank").alias("bfs_rank"), F.col("node_rank").alias("child_walk_rank"))
-    roots = (tagged.where(F.col("i") == 0)
-             .select("doc_id", F.lit(-1).alias("node_pos"), F.lit(None).cast("string").alias("tag"),
-                     F.lit(0).alias("depth"), F.lit(-1).alias("top_ancestor"),
-                     F.lit(0).cast("long").alias("bfs_rank"), F.lit(0).cast("long").alias("child_walk_rank")))
-    return roots.unionByName(nodes)
+    rank = F.col("node_rank").cast("long")
+    zero = F.lit(0).cast("long")
+    node = F.struct(F.col("i").alias("node_pos"), F.col("tag").alias("tag"), F.col("depth").cast("long").alias("depth"),
+                    F.col("top_ancestor").alias("top_ancestor"), rank.alias("bfs_rank"), rank.alias("child_walk_rank"))
+    root = F.struct(F.lit(-1).alias("node_pos"), F.lit(None).cast("string").alias("tag"), zero.alias("depth"),
+                    F.lit(-1).alias("top_ancestor"), zero.alias("bfs_rank"), zero.alias("child_walk_rank"))
+    # line 0 stands for the root too, so one pass gives both
+    own = F.when(F.col("is_node"), F.array(node)).otherwise(F.array().cast("array<" + NODE + ">"))
+    with_root = F.when(F.col("i") == 0, F.concat(F.array(root), own)).otherwise(own)
+    return line_frame(lines).select("doc_id", F.inline(with_root))
 
 
 def subtree_counts(lines: DataFrame) -> DataFrame:

@@ -136,7 +136,7 @@ def q_tag_positions(spark, sf):
 
 @register("tag_positions_documents", O.with_(*D_TAG) + "SELECT doc_id, i, line, tag, bits FROM tagged")
 def q_tag_positions_documents(spark, sf):
-    return tagger.tag_positions(L.split_lines(documents(spark, sf)))
+    return tagger.tag_positions(L.document_lines(documents(spark, sf)))
 
 
 @register("tag_marks", O.with_(*C_TAG) + """
@@ -176,7 +176,7 @@ SELECT doc_id, string_agg(rendered, chr(10) ORDER BY i) AS tagged_text
 FROM (SELECT doc_id, i, {RENDER_SQL} AS rendered FROM tagged) r GROUP BY doc_id
 """)
 def q_parse_raw_text_documents(spark, sf):
-    return tagger.parse_raw_text(L.split_lines(documents(spark, sf)))
+    return tagger.parse_raw_text(L.document_lines(documents(spark, sf)))
 
 
 @register("build_tree", O.with_(*C_TREE) +
@@ -239,7 +239,7 @@ register("tag_summary", O.with_(*C_TAG) + TAG_SUMMARY_SQL)(tag_summary_contracts
 
 @register("tag_summary_documents", O.with_(*D_TAG) + TAG_SUMMARY_SQL)
 def q_tag_summary_documents(spark, sf):
-    return tagger.tag_summary(tagger.tag_positions(L.split_lines(documents(spark, sf))))
+    return tagger.tag_summary(tagger.tag_positions(L.document_lines(documents(spark, sf))))
 
 
 @register("tag_counts_per_doc", O.with_(*C_TAG) +

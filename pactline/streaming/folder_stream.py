@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pactline.operators import segments
-from pactline.operators.lines import split_lines
+from pactline.operators.lines import document_lines
 from pactline.operators.tagger import document_status, parse_raw_text
 
 
@@ -29,7 +29,7 @@ def file_texts(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFra
 def _tag_batch(out: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
         docs = batch.select("path", "doc_id", F.regexp_replace("text", "\r\n?", "\n").alias("text"))
-        tagged = parse_raw_text(split_lines(docs)).join(docs.select("doc_id", "path"), "doc_id")
+        tagged = parse_raw_text(document_lines(docs)).join(docs.select("doc_id", "path"), "doc_id")
         tagged.withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(f"{out}/parsed")
         (document_status(docs).where(F.col("status").startswith("error_"))
          .withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(f"{out}/quarantine"))

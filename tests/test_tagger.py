@@ -132,3 +132,46 @@ def test_hot_document_spread_over_chunks(spark):
     frame = tagger.tag_frame(df, chunk_lines=1000)
     assert frame.where("doc_id = 0").select("chunk").distinct().count() > 10
     _check(spark, docs, 1000)
+
+
+def test_document_lines_part_before_the_exchange(spark):
+    """Texts that know their line count give the same tags as plain line tables."""
+    rng = random.Random(5)
+    docs = {d: [rng.choice(POOL[3:]) for _ in range(rng.randint(1, 9))] + ["The end."] for d in range(60)}
+    texts = spark.createDataFrame([(d, "\n".join(v)) for d, v in docs.items()], "doc_id long, text string")
+    cols = ["doc_id", "i", "line", "tag", "bits"]
+    plain = tagger.tag_frame(_lines_df(spark, docs), chunk_lines=3).select(cols).collect()
+    counted = tagger.tag_frame(L.document_lines(texts), chunk_lines=3).select(cols).collect()
+    assert sorted(map(tuple, plain)) == sorted(map(tuple, counted))
+
+
+def test_marks_cross_gaps_in_positions(spark):
+    """A document without its position 3 is still known to span two chunks of 3."""
+    rows = [(1, p, f"Line {p}.") for p in (0, 2, 4, 5, 7)] + [(2, 0, "Agreement"), (2, 2, "1. Rent is due.")]
+    df = spark.createDataFrame(rows, "doc_id long, pos int, line string")
+    got = tagger.tag_frame(df, chunk_lines=3).where("doc_id = 1").orderBy("i").collect()
+    assert [r.line for r in got] == [f"Line {p}." for p in (0, 2, 4, 5, 7)]
+    assert [r.i for r in got] == list(range(5))
+
+
+def test_building_tagger_queries_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    df = _lines_df(spark, {1: ["Agreement", "Alpha", "1. Rent is due."]})
+    texts = spark.createDataFrame([(1, "Agreement\nAlpha")], "doc_id long, text string")
+    spark.sparkContext.setJobGroup("tagger-build", "building only")
+    try:
+        for lines in (df, L.document_lines(texts)):
+            for build in (tagger.tag_positions, tagger.parse_raw_text, tagger.line_status, tree.build_tree,
+                          tree.tree_root, tree.tree_walk, tree.subtree_counts):
+                build(lines).schema  # noqa: B018
+        assert list(tracker.getJobIdsForGroup("tagger-build")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_short_documents_take_one_exchange(spark):
+    """Lines that know their document's count: one exchange by (doc_id, chunk), nothing persisted."""
+    texts = spark.createDataFrame([(1, "Agreement\nAlpha")], "doc_id long, text string")
+    short, _ = tagger.tag_parts(L.document_lines(texts))
+    plan = short._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "InMemoryTableScan" not in plan and "Join" not in plan
