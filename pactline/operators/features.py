@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pactline.functions import text as T
 from pactline.functions.stopwords import ENGLISH_STOPWORDS
-from pactline.operators.segments import broadcast_if_small, materialize
+from pactline.operators.segments import materialize, posexplode_once
 
 
 # --- tokens in long form (I4-I6) ------------------------------------------------
@@ -30,7 +30,7 @@ def tokens(docs: DataFrame, how: str = "sk", text_col: str = "text", clustered:
     fn = {"words": T.tokenize_words, "sk": T.tokenize_sk, "seq": T.tokenize_seq}[how]
     if clustered:
         docs = docs.repartition("doc_id")
-    return docs.select("doc_id", F.posexplode(fn(text_col)).alias("pos", "token"))
+    return docs.select("doc_id", posexplode_once(fn(text_col), "pos", "token")).where(F.col("pos").isNotNull())
 
 
 def stopword_table(spark: SparkSession) -> DataFrame:
@@ -84,11 +84,12 @@ def tfidf_filtered(docs: DataFrame, min_share: float = 0.1, max_share: float = 0
     """Lower-case I4 tokens, optional stems, stop words out, df share filter."""
     n = docs.count()
     toks = tokens(docs.select("doc_id", F.lower("text").alias("text")), "words")
-    if stem:
-        from pactline.operators.stems import stem_tokens
-        toks = stem_tokens(toks)
-    toks = remove_stopwords(toks)
-    tf = term_counts(toks)
+    if stem:  # counts first, so a word is joined with its stem once for each document it is in
+        from pactline.operators.stems import stem_counts
+        tf = stem_counts(term_counts(toks))
+        tf = remove_stopwords(tf.withColumnRenamed("term", "token")).withColumnRenamed("token", "term")
+    else:
+        tf = term_counts(remove_stopwords(toks))
     return tfidf(tf, n, doc_freq(tf, n, min_share, max_share))
 
 
@@ -116,11 +117,17 @@ def vocab_topk(toks: DataFrame, num_words: int = 20000) -> DataFrame:
     return top.select("word", F.row_number().over(w).alias("word_index"), "n")
 
 
-def texts_to_sequences(toks: DataFrame, vocab: DataFrame, docs: DataFrame) -> DataFrame:
-    """I8: (doc_id, seq ARRAY<INT>) of known word ids in text order; docs with
-    no known word keep an empty list.  The vocabulary (at most num_words rows
-    when it comes from ``vocab_topk``) is broadcast after a size check."""
-    ids = toks.join(broadcast_if_small(vocab.select(F.col("word").alias("token"), "word_index")), "token")
+def _word_ids(toks: DataFrame, vocab: DataFrame, num_words: int) -> DataFrame:
+    """Tokens with their word id.  Ids are distinct and only those below
+    ``num_words`` count, so fewer than ``num_words`` words are broadcast."""
+    known = vocab.where(F.col("word_index") < num_words).select(F.col("word").alias("token"), "word_index")
+    return toks.join(F.broadcast(known), "token")
+
+
+def texts_to_sequences(toks: DataFrame, vocab: DataFrame, docs: DataFrame, num_words: int = 20000) -> DataFrame:
+    """I8: (doc_id, seq ARRAY<INT>) of known word ids (those below
+    ``num_words``) in text order; docs with no known word keep an empty list."""
+    ids = _word_ids(toks, vocab, num_words)
     seq = ids.groupBy("doc_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "word_index"))),
                     lambda s: s["word_index"]).alias("seq"))
@@ -128,7 +135,8 @@ def texts_to_sequences(toks: DataFrame, vocab: DataFrame, docs: DataFrame) -> Da
             .select("doc_id", F.coalesce("seq", F.array().cast("array<int>")).alias("seq")))
 
 
-def padded_sequences(toks: DataFrame, vocab: DataFrame, docs: DataFrame, maxlen: int = 1000) -> DataFrame:
+def padded_sequences(toks: DataFrame, vocab: DataFrame, docs: DataFrame, maxlen: int = 1000,
+                     num_words: int = 20000) -> DataFrame:
     """I8 + I9: (doc_id, padded ARRAY<INT>) = the last ``maxlen`` known ids,
     zero-padded on the left.
 
@@ -136,7 +144,7 @@ def padded_sequences(toks: DataFrame, vocab: DataFrame, docs: DataFrame, maxlen:
     top-k (``row_number() <= maxlen``), which Spark also applies before the
     shuffle; so no group ever holds more than ``maxlen`` rows.
     """
-    ids = toks.join(broadcast_if_small(vocab.select(F.col("word").alias("token"), "word_index")), "token")
+    ids = _word_ids(toks, vocab, num_words)
     w = Window.partitionBy("doc_id").orderBy(F.desc("pos"))
     last = ids.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= maxlen)
     seq = last.groupBy("doc_id").agg(
@@ -203,7 +211,8 @@ def doc_vectors(docs: DataFrame, toks: DataFrame, vectors: DataFrame, dim: int)
         .groupBy("doc_id").agg(Summarizer.mean(F.col("v"), F.col("n")).alias("mean"))
     zero = F.array_repeat(F.lit(0.0), dim)
     full = docs.select("doc_id").join(mean, "doc_id", "left")
-    return full.select("doc_id", F.posexplode(F.coalesce(vector_to_array("mean"), zero)).alias("dim", "value"))
+    return full.select("doc_id", posexplode_once(F.coalesce(vector_to_array("mean"), zero), "dim", "value")).where(
+        F.col("dim").isNotNull())
 
 
 # --- profiles and sizes (F1-F4) -------------------------------------------------------------

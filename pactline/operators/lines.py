@@ -36,7 +36,7 @@ def document_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     parts = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
     return split.select("doc_id", parts.alias("parts")).select(
         "doc_id", F.size("parts").alias("n_lines"), "parts").select(
-        "doc_id", "n_lines", F.posexplode("parts").alias("pos", "line"))
+        "doc_id", "n_lines", S.posexplode_once("parts", "pos", "line")).where(F.col("pos").isNotNull())
 
 
 def split_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -64,12 +64,13 @@ def _raw(lines: DataFrame, chunk_lines: int) -> tuple[DataFrame, DataFrame]:
     """
     pos = F.col("pos")
     chunk, flags = S.chunk_of(pos, chunk_lines), [is_blank("line").alias("blank"), is_continuation("line").alias("cont")]
+    own = F.struct(chunk.alias("chunk"), pos.alias("pos"), F.col("line").alias("line"))
     if "n_lines" in lines.columns:
-        x = lines.select("doc_id", "n_lines", "pos", "line", chunk.alias("chunk"))
-        short, long = x.where(F.col("n_lines") <= chunk_lines), x.where(F.col("n_lines") > chunk_lines)
-        short, long = [p.select(*S.KEYS, "pos", "line", *flags).repartition(*S.KEYS) for p in (short, long)]
+        # an inline, since a filter on the count would move below the split and split every text again
+        few = F.col("n_lines") <= chunk_lines
+        short, long = [lines.select("doc_id", F.inline_outer(F.when(c, F.array(own)))).where(pos.isNotNull()).select(
+            *S.KEYS, "pos", "line", *flags).repartition(*S.KEYS) for c in (few, ~few)]
         return short, S.materialize(long)
-    own = F.struct(chunk.alias("chunk"), pos.alias("pos"), F.col("line").alias("line"))
     mark = F.struct(F.lit(0).cast("long").alias("chunk"), F.lit(None).cast(lines.schema["pos"].dataType).alias("pos"),
                     F.lit(None).cast("string").alias("line"))
     x = lines.select("doc_id", F.inline(F.when(chunk == 1, F.array(own, mark)).otherwise(F.array(own))))

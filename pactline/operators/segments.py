@@ -61,6 +61,15 @@ def ordered_concat(order: str, value: str, sep: str = "") -> Column:
                                     lambda s: s[value]), sep)
 
 
+def posexplode_once(array: Column | str, pos: str, value: str) -> Column:
+    """``posexplode`` that computes ``array`` once; drop rows with a null ``pos`` after it.
+
+    For the inner form the optimizer adds a filter on the array's size and
+    moves it to the scan, where the whole expression is computed again.
+    """
+    return F.posexplode_outer(array).alias(pos, value)
+
+
 _HELD: list[DataFrame] = []
 
 
@@ -81,17 +90,3 @@ def release() -> None:
     """Drop every level kept by ``materialize`` (call between jobs)."""
     while _HELD:
         _HELD.pop().unpersist()
-
-
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the side's size.
-
-    The count stops at ``max_rows + 1``; a larger side is returned without
-    the hint, so the join falls back to a shuffle join that AQE may still
-    convert at run time.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -140,12 +140,18 @@ def tree_walk(lines: DataFrame) -> DataFrame:
     # line 0 stands for the root too, so one pass gives both
     own = F.when(F.col("is_node"), F.array(node)).otherwise(F.array().cast("array<" + NODE + ">"))
     with_root = F.when(F.col("i") == 0, F.concat(F.array(root), own)).otherwise(own)
-    return line_frame(lines).select("doc_id", F.inline(with_root))
+    return line_frame(lines).select("doc_id", F.inline_outer(with_root)).where(F.col("node_pos").isNotNull())
 
 
 def subtree_counts(lines: DataFrame) -> DataFrame:
-    """Children per node and per child tag (root = -1)."""
+    """Children per node, per child tag, and their tags in order (root = -1).
+
+    ``child_tags`` is joined per stretch of lines first, then per node.
+    """
     f = node_frame(lines)
-    return (f.groupBy("doc_id", "parent_pos")
-            .agg(F.count(F.lit(1)).alias("n_children"),
-                 *[S.count_if(F.col("tag") == t).alias(f"n_{t}") for t in TAGS]))
+    part = f.groupBy("doc_id", "parent_pos", S.chunk_of(F.col("i")).alias("chunk")).agg(
+        F.count(F.lit(1)).alias("n_children"), *[S.count_if(F.col("tag") == t).alias(f"n_{t}") for t in TAGS],
+        S.ordered_concat("i", "tag", ",").alias("tags"))
+    return part.groupBy("doc_id", "parent_pos").agg(
+        *[F.sum(c).alias(c) for c in ("n_children", *[f"n_{t}" for t in TAGS])],
+        S.ordered_concat("chunk", "tags", ",").alias("child_tags"))

@@ -220,7 +220,8 @@ SELECT doc_id, parent_pos, count(*) AS n_children,
        CAST(sum(CASE WHEN tag = 'title' THEN 1 ELSE 0 END) AS BIGINT) AS n_title,
        CAST(sum(CASE WHEN tag = 's' THEN 1 ELSE 0 END) AS BIGINT) AS n_s,
        CAST(sum(CASE WHEN tag = 'l' THEN 1 ELSE 0 END) AS BIGINT) AS n_l,
-       CAST(sum(CASE WHEN tag = 'p' THEN 1 ELSE 0 END) AS BIGINT) AS n_p
+       CAST(sum(CASE WHEN tag = 'p' THEN 1 ELSE 0 END) AS BIGINT) AS n_p,
+       string_agg(tag, ',' ORDER BY node_pos) AS child_tags
 FROM nodes GROUP BY doc_id, parent_pos
 """)
 def q_subtree_counts(spark, sf):

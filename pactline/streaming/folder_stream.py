@@ -3,8 +3,8 @@
 The reference has no streaming; this is the natural streaming use of the
 batch operators: a file source (one row per whole file), and each
 micro-batch tagged by ``parse_raw_text`` inside ``foreachBatch`` and
-appended to a parquet table.  Progress lives in the checkpoint location,
-so a restarted query resumes with the files it has not processed.
+written to its own ``epoch=`` folder of a parquet table.  Progress lives in the checkpoint
+location, so a restarted query resumes with the files it has not processed.
 """
 
 from __future__ import annotations
@@ -19,20 +19,19 @@ from pactline.operators.tagger import document_status, parse_raw_text
 
 
 def file_texts(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFrame:
-    """Streaming (path, doc_id, text), one row per new file."""
+    """Streaming (path, text), one row per new file."""
     return (spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", glob)
             .option("recursiveFileLookup", True).load(folder)
-            .select(F.input_file_name().alias("path"), F.col("value").alias("text"))
-            .withColumn("doc_id", F.xxhash64("path")))
+            .select(F.input_file_name().alias("path"), F.col("value").alias("text")))
 
 
 def _tag_batch(out: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        docs = batch.select("path", "doc_id", F.regexp_replace("text", "\r\n?", "\n").alias("text"))
-        tagged = parse_raw_text(document_lines(docs)).join(docs.select("doc_id", "path"), "doc_id")
-        tagged.withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(f"{out}/parsed")
-        (document_status(docs).where(F.col("status").startswith("error_"))
-         .withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(f"{out}/quarantine"))
+        # the path itself is the key; a batch that runs again overwrites its own folder
+        docs = batch.select(F.col("path").alias("doc_id"), F.regexp_replace("text", "\r\n?", "\n").alias("text"))
+        for name, rows in (("parsed", parse_raw_text(document_lines(docs))),
+                           ("quarantine", document_status(docs).where(F.col("status").startswith("error_")))):
+            rows.withColumnRenamed("doc_id", "path").write.mode("overwrite").parquet(f"{out}/{name}/epoch={epoch_id}")
         segments.release()
     return run
 
