@@ -59,6 +59,20 @@ def q_tagged_sink(spark, sf):
     return spark.read.parquet(f"{out}/parsed").select(_doc_id(), "tagged_text")
 
 
+@register("tag_folder", O.with_(*D_TAG) + """
+SELECT n_clean, n_parsed, n_clean - n_parsed AS n_failed
+FROM (SELECT count(*) AS n_clean FROM documents) c, (SELECT count(DISTINCT doc_id) AS n_parsed FROM tagged) t""")
+def q_tag_folder(spark, sf):
+    """The batch folder job on one file per document; rows of its three tables."""
+    out = C.scratch_dir(spark, "folder-job")
+    C.tag_folder(spark, _write_corpus(spark, sf), out)
+    one = [spark.read.parquet(f"{out}/{t}").agg(F.count(F.lit(1)).alias(f"n_{t}")) for t in ("clean", "parsed", "failed")]
+    wide = one[0].select("*", F.lit(None).cast("long").alias("n_parsed"), F.lit(None).cast("long").alias("n_failed"))
+    for part in one[1:]:
+        wide = wide.unionByName(part, allowMissingColumns=True)
+    return wide.agg(*[F.max(c).alias(c) for c in ("n_clean", "n_parsed", "n_failed")])
+
+
 _HTML_SQL = (f"regexp_replace(html, {O.q(C.HTML_DROP)}, '', 'g')")
 # the entities of the given pages, decoded by the oracle on its own
 for _ent, _ch in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):

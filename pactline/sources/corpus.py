@@ -20,6 +20,8 @@ from xml.etree import ElementTree
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pactline.operators.lines import document_lines
+from pactline.operators.tagger import document_status, parse_raw_text
 from pactline.session import checkpoint_dir
 
 EXTENSIONS = (".docx", ".txt")          # the reference's allowed list
@@ -144,3 +146,24 @@ def tagged_sink(texts: DataFrame, parsed: DataFrame, out: str) -> None:
     texts.select("path", out_name("path").alias("out_name"), "text") \
         .write.mode("overwrite").parquet(f"{out.rstrip('/')}/clean")
     parsed.write.mode("overwrite").parquet(f"{out.rstrip('/')}/parsed")
+
+
+def tag_folder(spark: SparkSession, folder: str, out: str, extensions=READABLE) -> None:
+    """The batch folder job: scan, read, tag; three tables under ``out``.
+
+    ``clean`` (path, out_name, text, status): every file, read once; later
+    steps work on this table.  ``parsed`` (path, out_name, tagged_text): files
+    that could be tagged.  ``failed`` (path, status): unreadable files and
+    those that the line rules reject.  The path is the key throughout.
+    """
+    clean, parsed, failed = [f"{out.rstrip('/')}/{name}" for name in ("clean", "parsed", "failed")]
+    read_text(corpus_scan(spark, folder, extensions)).select("path", out_name("path").alias("out_name"), "text", "status") \
+        .write.mode("overwrite").parquet(clean)
+    texts = spark.read.parquet(clean)
+    docs = texts.where(F.col("status") == "ok").select(F.col("path").alias("doc_id"), "text")
+    parse_raw_text(document_lines(docs)).select(
+        F.col("doc_id").alias("path"), out_name("doc_id").alias("out_name"), "tagged_text") \
+        .write.mode("overwrite").parquet(parsed)
+    rejected = document_status(docs).where(F.col("status").startswith("error_"))
+    texts.where(F.col("status") != "ok").select("path", "status").unionByName(
+        rejected.select(F.col("doc_id").alias("path"), "status")).write.mode("overwrite").parquet(failed)
