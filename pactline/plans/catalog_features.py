@@ -185,7 +185,10 @@ def q_tokenize_seq(spark, sf):
     return FE.tokens(_docs(spark, sf), "seq")
 
 
-@register("stem_vocab")
+LOWER_WORDS = toks_cte("wt", WORDS_SQL, "(SELECT doc_id, lower(text) AS text FROM documents)")
+
+
+@register("stem_vocab", O.with_(LOWER_WORDS, *O.stem_ctes("wt")) + "SELECT token, stem FROM stems")
 def q_stem_vocab(spark, sf):
     return stem_vocab(FE.tokens(_docs(spark, sf).select("doc_id", F.lower("text").alias("text")), "words"))
 
@@ -217,21 +220,27 @@ def q_tfidf(spark, sf):
     return FE.tfidf(_tf_sk(spark, sf), n).select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
 
 
-@register("tfidf_filtered", O.with_(
-    toks_cte("wt", WORDS_SQL, "(SELECT doc_id, lower(text) AS text FROM documents)"), STOP_CTE,
-    "kept AS (SELECT * FROM wt WHERE token NOT IN (SELECT token FROM stop))",
+FILTERED_CTES = [
     "tf0 AS (SELECT doc_id, token AS term, count(*) AS tf FROM kept GROUP BY doc_id, token)",
     f"""df AS (SELECT term, count(*) AS df FROM tf0 GROUP BY term
               HAVING count(*) >= 0.1 * {N_DOCS} AND count(*) <= 0.5 * {N_DOCS})""",
     "tf AS (SELECT tf0.* FROM tf0 JOIN df USING (term))",
     f"w AS (SELECT doc_id, term, tf * (ln((1.0 + {N_DOCS}) / (1.0 + df)) + 1.0) AS w FROM tf JOIN df USING (term))",
-    "tfidf AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS tfidf FROM w)")
+    "tfidf AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS tfidf FROM w)"]
+
+
+@register("tfidf_filtered", O.with_(
+    LOWER_WORDS, STOP_CTE, "kept AS (SELECT * FROM wt WHERE token NOT IN (SELECT token FROM stop))", *FILTERED_CTES)
     + "SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM tfidf")
 def q_tfidf_filtered(spark, sf):
     return FE.tfidf_filtered(_docs(spark, sf)).select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
 
 
-@register("tfidf_filtered_stemmed")
+@register("tfidf_filtered_stemmed", O.with_(
+    LOWER_WORDS, *O.stem_ctes("wt"), STOP_CTE,
+    """kept AS (SELECT doc_id, stem AS token FROM wt JOIN stems USING (token)
+                WHERE stem NOT IN (SELECT token FROM stop))""", *FILTERED_CTES)
+    + "SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM tfidf")
 def q_tfidf_filtered_stemmed(spark, sf):
     """J3 as the reference runs it: stems (I7) before stop words and the df filter."""
     return FE.tfidf_filtered(_docs(spark, sf), stem=True).select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))

@@ -9,6 +9,7 @@ is tested as ``upper(x) = x AND lower(x) <> x``.
 from __future__ import annotations
 
 from pactline.functions import patterns as P
+from pactline.operators.stems import STEP2, STEP3, STEP4
 from pactline.sources.contracts import CONTRACTS_SQL
 
 
@@ -144,3 +145,51 @@ def contracts_src() -> list[str]:
 
 def tag_chain(src: list[str], tree: bool = False) -> list[str]:
     return src + NORM_CTES + TAG_CTES + (TREE_CTES if tree else [])
+
+
+# --- Porter stems ---------------------------------------------------------------------
+
+def _measure(n: int) -> str:
+    """Measure of the word (or of its first part without n characters)."""
+    s = f"left(s, -{n})" if n else "s"
+    return f"((length({s}) - length(replace({s}, 'vc', ''))) // 2)"
+
+
+def stem_ctes(source: str, name: str = "stems") -> list[str]:
+    """``name``(token, stem): stems of the distinct ``token`` of a CTE."""
+    # a v that stands in the word is a consonant like b
+    shape = "regexp_replace(regexp_replace(replace(w, 'v', 'b'), '[aeiou]', 'v', 'g'), '[^vy]', 'c', 'g')"
+    for a, b in (("^y", "c"), ("vy", "vc"), ("yy", "vc"), ("y", "v")):
+        shape = f"regexp_replace({shape}, '{a}', '{b}', 'g')"
+    out, prev = [], f"(SELECT DISTINCT token, token AS w FROM {source})"
+
+    def step(case: str, mend: str = "mend") -> None:
+        nonlocal prev
+        made = f"{name}_{len(out)}"
+        out.append(f"{made} AS (SELECT *, {shape} AS s FROM (SELECT token, {mend} AS mend, CASE {case} ELSE w END AS w"
+                   f" FROM {prev}))")
+        prev = made
+
+    def rules(pairs: list, above: int, more: str = "true") -> str:
+        return " ".join(f"WHEN ends_with(w, '{a}') THEN CASE WHEN {_measure(len(a))} > {above} AND "
+                        f"{more if a == 'ion' else 'true'} THEN left(w, -{len(a)}) || '{b}' ELSE w END" for a, b in pairs)
+
+    short = "(regexp_matches({s}, 'cvc$') AND NOT regexp_matches({w}, '[wxy]$'))"
+    double = "(length(w) > 1 AND right(s, 1) = 'c' AND w[-1] = w[-2])"
+    step("WHEN regexp_matches(w, '(sse|ie)s$') THEN left(w, -2) WHEN regexp_matches(w, 'ss$') THEN w "
+         "WHEN regexp_matches(w, 's$') THEN left(w, -1)", "false")
+    ed = "(regexp_matches(w, 'ed$') AND NOT regexp_matches(w, 'eed$') AND regexp_matches(s, 'v.*..$'))"
+    ing = "(regexp_matches(w, 'ing$') AND regexp_matches(s, 'v.*...$'))"
+    step(f"WHEN ends_with(w, 'eed') THEN CASE WHEN {_measure(3)} > 0 THEN left(w, -1) ELSE w END "
+         f"WHEN {ed} THEN left(w, -2) WHEN {ing} THEN left(w, -3)", f"{ed} OR {ing}")
+    step(f"WHEN NOT mend THEN w WHEN regexp_matches(w, '(at|bl|iz)$') THEN w || 'e' "
+         f"WHEN {double} AND NOT regexp_matches(w, '[lsz]$') THEN left(w, -1) "
+         f"WHEN {_measure(0)} = 1 AND {short.format(s='s', w='w')} THEN w || 'e'")
+    step("WHEN ends_with(w, 'y') AND regexp_matches(s, 'v.*.$') THEN left(w, -1) || 'i'")
+    step(rules(STEP2, 0))
+    step(rules(STEP3, 0))
+    step(rules([(a, "") for a in STEP4], 1, "regexp_matches(w, '[st]ion$')"))
+    bare = short.format(s="left(s, -1)", w="left(w, -1)")
+    step(f"WHEN ends_with(w, 'e') AND ({_measure(1)} > 1 OR ({_measure(1)} = 1 AND NOT {bare})) THEN left(w, -1)")
+    step(f"WHEN {_measure(0)} > 1 AND {double} AND ends_with(w, 'l') THEN left(w, -1)")
+    return [*out, f"{name} AS (SELECT token, CASE WHEN length(token) <= 2 THEN token ELSE w END AS stem FROM {prev})"]
