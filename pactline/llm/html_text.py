@@ -1,8 +1,13 @@
 """Main text of web pages: the maximum-scoring run of words and tags.
 
 A page becomes a list of items: stretches of text, tags, and elements that
-are never article text (scripts, menus, forms, and those whose role, class or
-id says sidebar, advert, notice, comments, ...).  Words score above zero,
+are never article text (the tags of NEVER, such as scripts, menus and forms,
+and those whose role, class or id says sidebar, advert, notice, comments, ...).
+A name counts only as a whole: every part of one class or id must be a word of
+BOILERPLATE or one that goes with it (``related-posts``, not ``related-work``
+or ``has-sidebar``), and names of headings and inside of code never count.  An
+element that was named so, or a form, is not skipped if it holds an article or
+is a wrapper of the page's text (see ``lift_wrappers``).  Words score above zero,
 tags below, skipped elements a little below zero; one linear scan finds the
 contiguous run with the greatest sum, and its words outside skipped elements
 are the text.  The weights are log odds of lying inside or outside of
@@ -42,14 +47,17 @@ _NAME_PART = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i img ins kbd mark q s samp small span strike "
-                   "strong sub sup time tt u var wbr".split())
+                   "strong sub sup time tt u var wbr math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle mspace "
+                   "mpadded mphantom merror menclose mfenced msub msup msubsup munder mover munderover mmultiscripts "
+                   "mprescripts semantics".split())
 CONTENT = frozenset("article main section p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption br hr table thead "
-                    "tbody tr td th caption dl dt dd body html div ol ul li center picture".split()) | INLINE - {"a"}
+                    "tbody tr td th caption dl dt dd body html div ol ul li center picture mtable mtr mtd".split()) \
+    | INLINE - {"a"}
 #: Text of these is not markup; it ends at the closing tag.
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 NEVER = RAW | frozenset("head nav aside footer form noscript template button select svg canvas object dialog menu "
-                        "fieldset audio video math map".split())
-INVISIBLE = frozenset("script style template noscript".split())
+                        "fieldset audio video map annotation annotation-xml".split())
+INVISIBLE = frozenset("script style template noscript annotation annotation-xml".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar "
                   "toolbar".split())
 #: Words of class and id attributes that mark an element as no article text.
@@ -59,25 +67,48 @@ BOILERPLATE = frozenset(
     "modal newsletter subscribe subscription signup login comment comments commentlist disqus reply replies respond "
     "share sharing social related recommended recommendations widget widgets pagination pager toolbar masthead toc "
     "copyright disclaimer alert overlay topbar".split())
+#: Words that go with them in one name; a name with any other word says something else.
+COMPANIONS = frozenset(
+    "area bar block body bottom box btn button buttons card cards center container dfp div fixed footer global google "
+    "gpt header heading holder icon icons inner item items left link links list lists outer page pane panel post posts "
+    "article articles primary right row secondary section site slot sticky stories story text thread title top unit "
+    "wrap wrapper".split())
+#: Threads are often longer than the text they are about.
+THREAD = frozenset("comment comments commentlist disqus reply replies respond".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_NUMBER = re.compile(r"\d+(?:x\d+)?")
 _TOP = frozenset("article main".split())
+#: Why an element is skipped: for its tag, role or being hidden; for its name or as a form; as a thread by name.
+HARD, SOFT, TALK = 1, 2, 3
 
 
-def _boilerplate(name: str, attrs: str, in_article: bool) -> bool:
+def _named(value: str, in_article: bool) -> int:
+    """What a class or id attribute says: SOFT, TALK or 0."""
+    for token in value.split():
+        words = {w.lower() for w in _NAME_PART.findall(token)}
+        words = {w for w in words if not _NUMBER.fullmatch(w)}
+        if words <= BOILERPLATE | COMPANIONS and (words & BOILERPLATE or (
+                not in_article and {"site", "header"} <= words)):
+            return TALK if words & THREAD else SOFT
+    return 0
+
+
+def _boilerplate(name: str, attrs: str, in_article: bool, in_code: bool = False) -> int:
+    """Why an element is no article text, or 0."""
     if name in NEVER or (name == "header" and not in_article):
-        return True
+        return SOFT if name == "form" else HARD
     if not attrs or name in ("html", "body", "article", "main"):
-        return False
+        return 0
+    found = 0
     for key, *values in _ATTR.findall(attrs):
         key, value = key.lower(), "".join(values)
         if key == "role" and value.lower().strip() in ROLES:
-            return True
-        if key in ("class", "id"):
-            words = {w.lower() for w in _NAME_PART.findall(value)}
-            if words & BOILERPLATE or ("header" in words and not in_article and "site" in words | {name}):
-                return True
+            return HARD
+        if key in ("class", "id") and name not in HEADINGS and not in_code:
+            found = max(found, _named(value, in_article))
         if key == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs))
+            return HARD
+    return HARD if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs) else found
 
 
 class Item:
@@ -90,10 +121,20 @@ class Item:
         self.kind, self.text, self.skip, self.inside = kind, text, skip, inside
 
 
-def items(page: str) -> tuple[list[Item], list[tuple[int, str, bool]]]:
-    """The items of a page and its skipped elements (outer one, name, still skipped)."""
+class Skip:
+    """A skipped element: the one around it or -1, its tag, why it is skipped
+    (0: no longer), and whether it lies in an article or main."""
+
+    __slots__ = ("outer", "name", "why", "inside")
+
+    def __init__(self, outer: int, name: str, why: int, inside: bool):
+        self.outer, self.name, self.why, self.inside = outer, name, why, inside
+
+
+def items(page: str) -> tuple[list[Item], list[Skip]]:
+    """The items of a page and its skipped elements, outer ones first."""
     out: list[Item] = []
-    skips: list[tuple[int, str, bool]] = []
+    skips: list[Skip] = []
     stack: list[tuple[str, int]] = []  # open elements with the skipped element they lie in
     depth = Counter()
     at, end = 0, len(page)
@@ -126,11 +167,13 @@ def items(page: str) -> tuple[list[Item], list[tuple[int, str, bool]]]:
         if name in _TOP:
             s = skip
             while s >= 0:  # an article is no part of a sidebar, whatever the names of its wrappers
-                if skips[s][1] not in NEVER:
-                    skips[s] = (*skips[s][:2], False)
-                s = skips[s][0]
-        if _boilerplate(name, m["attrs"], depth["article"] + depth["main"] > 0):
-            skips.append((skip, name, True))
+                if skips[s].name not in NEVER or skips[s].name == "form":
+                    skips[s].why = 0
+                s = skips[s].outer
+        inside = depth["article"] + depth["main"] > 0
+        why = _boilerplate(name, m["attrs"], inside, depth["pre"] + depth["code"] > 0)
+        if why:
+            skips.append(Skip(skip, name, why, inside))
             skip = len(skips) - 1
         out.append(Item(name, "", skip, depth["article"] > 0 or name == "article"))
         if name in RAW:
@@ -144,6 +187,40 @@ def items(page: str) -> tuple[list[Item], list[tuple[int, str, bool]]]:
     return out, skips
 
 
+def lift_wrappers(found: list[Item], skips: list[Skip]) -> None:
+    """Skip no longer what holds most of the page's words outside of links and
+    hard skips, if it also holds an ``<h1>`` or next to no words are left
+    without it.  A thread needs the ``<h1>``; beside an article nothing is lifted.
+    """
+    if not any(s.why > HARD for s in skips):
+        return
+    own, titled = [0] * (len(skips) + 1), [False] * (len(skips) + 1)  # the last: outside of all
+    top = False
+    for x in found:
+        if x.kind == "t":
+            own[x.skip] += len(x.text.split())
+        elif x.kind == "h1":
+            titled[x.skip] = True
+        elif x.kind in _TOP:
+            top = True
+    words = list(own)
+    for i in range(len(skips) - 1, -1, -1):
+        if skips[i].why != HARD:
+            words[skips[i].outer] += words[i]
+            titled[skips[i].outer] |= titled[i]
+    live = [False] * (len(skips) + 1)
+    for i, s in enumerate(skips):
+        live[i] = live[s.outer] or s.why > 0
+    left = own[-1] + sum(n for n, on in zip(own, live[:-1]) if not on)
+    for i, s in enumerate(skips):
+        live[i] = live[s.outer] or s.why > 0
+        if live[s.outer] or s.why <= HARD or (top and not s.inside) or 2 * words[i] <= words[-1]:
+            continue
+        if titled[i] or (s.why == SOFT and 10 * left < words[i]):
+            s.why, live[i] = 0, False
+            left += own[i]
+
+
 def count_labels(page: str) -> Counter:
     """Items inside (key, True) and outside (key, False) of the article."""
     found: Counter = Counter()
@@ -197,14 +274,15 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 def main_text(page: str | None, weights: Weights) -> str:
     """The article of a page: its blocks in order, joined by one blank."""
     found, skips = items(page or "")
+    lift_wrappers(found, skips)
     live: list[int] = []  # the skipped element that holds this one, or -1
-    for outer, _, on in skips:
-        live.append(len(live) if on else (live[outer] if outer >= 0 else -1))
+    for s in skips:
+        live.append(len(live) if s.why else (live[s.outer] if s.outer >= 0 else -1))
     scores, texts, seen = [], [], -1
     for x in found:
         skip = live[x.skip] if x.skip >= 0 else -1
         if skip >= 0:
-            inline = skips[skip][1] in INVISIBLE
+            inline = skips[skip].name in INVISIBLE
             if skip != seen:
                 scores.append(SKIPPED if not inline else 0.0)
                 texts.append("" if inline else " ")

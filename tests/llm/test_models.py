@@ -235,6 +235,42 @@ def test_extraction_cases(page, text):
         assert html_text.main_text(page, weights) == text
 
 
+LONG = BODY.replace("<p>End.</p>", "{}<p>End.</p>")
+
+
+@pytest.mark.parametrize("page, text", [
+    # names that only hold a word of boilerplate
+    (f"<article>{LONG.format('<h2 id=related-work>Related work</h2><p class=copyright-law>Law.</p>')}</article>",
+     TEXT.replace("End", "Related work Law. End")),
+    (f"<article>{LONG.format('<h2 id=sharing-data>Sharing</h2><h2 id=comments>Comments</h2>')}</article>",
+     TEXT.replace("End", "Sharing Comments End")),
+    (f"<article>{LONG.format('<pre><span class=comment># why</span> x</pre>')}</article>", TEXT.replace("End", "# why x End")),
+    # and names that say it as a whole
+    (f"<article>{LONG.format('<div class=related-posts>r r</div><div id=div-gpt-ad-300x250>a</div><p class=shareButtons>s</p>')}"
+     "</article>", TEXT),
+    # wrappers
+    (f"<div class='layout has-sidebar'>{BODY}<div class=sidebar>x y z</div></div>", TEXT),
+    (f"<div class='layout sidebar-left'>{BODY}<div class=sidebar>x y z</div></div><div class=ad>a</div>", TEXT),
+    (f"<div class=banner><div class=widget>{BODY}</div></div>", TEXT),
+    (f"<form><nav>n</nav><article>{BODY}</article><footer>f</footer></form>", TEXT),
+    (f"<form action=/><main>{BODY}<form>Name <input></form></main></form>", TEXT),
+    (f"<form id=aspnetForm><input type=hidden><div>{BODY}</div><select><option>o</select></form>", TEXT),
+    # none: links, a long thread, a long sidebar beside an article
+    (f"{BODY}<div class=sidebar>{'<a href=/>one two three</a> ' * 30}</div>", TEXT),
+    (f"<main>{BODY}<div id=comments>{'<p>nice post</p>' * 300}</div></main>", TEXT),
+    (f"<main>{BODY}</main><div class=sidebar>{'<p>nice post</p>' * 300}</div>", TEXT),
+    # formulas are text, their source is not
+    (f"<article>{LONG.format('<p>Is <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>\\x</annotation></semantics></math> so.</p>')}"
+     "</article>", TEXT.replace("End", "Is x=2 so. End")),
+])
+def test_names_and_wrappers_lose_no_text(page, text):
+    learned = Counter()
+    for _ in range(20):
+        learned.update(html_text.count_labels(f"<nav><ul><li><a href=/>x</a></li></ul></nav><article>{BODY}</article><footer>f</footer>"))
+    for weights in (html_text.Weights(), html_text.Weights(learned)):
+        assert html_text.main_text(page, weights) == text
+
+
 def test_best_run_matches_brute_force():
     rng = random.Random(0)
     for _ in range(200):
