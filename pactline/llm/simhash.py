@@ -18,7 +18,8 @@ over the edges, each written to the shared folder.
 Cases: null and empty texts have fingerprint 0 and link like any other; a
 text with fewer words than a shingle is one shingle; exact copies share a
 fingerprint and are one node; rows with a null id get the component of their
-fingerprint; repeated rows are returned each; extra columns are carried by
+fingerprint; repeated rows are returned each; one id may stand for several
+texts, each in the component of its own; extra columns are carried by
 ``keep_representatives`` and ignored elsewhere; an empty table gives an empty
 table.
 """
@@ -258,7 +259,9 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          radius: int = RADIUS) -> DataFrame:
     """One document of each component, with all its columns: the least id.
 
-    A component without any id keeps its first row by the other columns.
+    Where an id stands for several fingerprints, its rows are told apart by
+    them, so each component gets a row of its own.  Rows that share the least
+    id, and a component without any id, give their first row by the columns.
     """
     own = keep_table(fingerprints(docs, id_col, text_col, words), "fingerprints")
     named = _named(own, radius)
@@ -269,11 +272,17 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
         n = F.row_number().over(Window.partitionBy(key).orderBy("row"))
         return found.withColumn("_n", n).where("_n = 1").select("row.*")
 
-    least = named.where("component_id is not null").select(F.col("component_id").alias("_id")).distinct()
-    with_id = rows.where("_id is not null").drop("_text").join(least, "_id", "left_semi")
-    # rows without an id are found again by their fingerprint
+    # (_id, fp, root, many): the least id of each component with its fingerprints there; many: it has others too
+    of_id = own.where("id is not null").groupBy("id").agg((F.min("fp") != F.max("fp")).alias("many"))
+    least = keep_table(own.distinct().join(named.withColumnRenamed("component_id", "id"), ["id", "fp"]).join(
+        of_id, "id").withColumnRenamed("id", "_id"), "least-ids")
+    with_id = rows.where("_id is not null")
+    alike = with_id.drop("_text").join(least.where("not many").select("_id"), "_id", "left_semi")
+    # rows whose id does not name one text, or without an id, are found again by their fingerprint
     of_text = F.pandas_udf(lambda texts: pd.Series(
         np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)), "long")
+    shared = with_id.join(least.where("many").select("_id").distinct(), "_id", "left_semi").withColumn(
+        "fp", of_text("_text")).join(least.where("many").select("_id", "fp", "root"), ["_id", "fp"])
     without = rows.where("_id is null").withColumn("fp", of_text("_text"))
     alone = without.join(named.where("component_id is null").select("fp", "root"), "fp")
-    return first(with_id, "_id").unionByName(first(alone, "root"))
+    return first(alike, "_id").unionByName(first(shared, "root")).unionByName(first(alone, "root"))

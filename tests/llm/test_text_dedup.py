@@ -153,6 +153,20 @@ def test_components_match_brute_force(spark):
     assert Counter(comp[fp[r.text]] for r in kept) == Counter(set(comp.values()))
 
 
+def test_one_id_on_unlike_texts_loses_no_component(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(60)) for w in "abcdef"]
+    comp = plain_components([plain_fingerprint(t) for t in texts])
+    assert len(set(comp.values())) == len(texts)
+    # 1: least id of two components; 2: of one, and not the least in another; 5, 7: of one each, 5 twice the same row
+    ids = [(1, 0), (1, 1), (9, 1), (2, 2), (2, 1), (3, 2), (5, 3), (5, 3), (7, 4), (None, 4), (None, 5), (None, 5)]
+    given = [(i, texts[n], "en", str(n), 0, "s", 0, "r") for i, n in ids]
+    kept = simhash.keep_representatives(frame(spark, given)).collect()
+    assert sorted((r.source, r.doc_id) for r in kept) == [("0", 1), ("1", 1), ("2", 2), ("3", 5), ("4", 7), ("5", None)]
+    assert {tuple(r) for r in kept} <= set(given)
+    same = [(4, t, "en", str(n), 0, "s", 0, "r") for n, t in enumerate(texts)]
+    assert sorted(map(tuple, simhash.keep_representatives(frame(spark, same)).collect())) == same
+
+
 def test_long_chains_are_one_component(spark):
     chain = [(0, 0)] + [(i, i - 1) for i in range(1, 200)]
     edges = spark.createDataFrame(chain, "u long, v long")
