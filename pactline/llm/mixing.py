@@ -11,18 +11,20 @@ holds the source whole; what remains is filled document by document:
 4. a bounded-knapsack dynamic programme over the lengths still free (bits of
    one integer are the reachable sums) finds the sum nearest to the rest;
 5. the chosen number of documents of each length is drawn in the order of a
-   seeded hash of their ids.
+   seeded hash of their ids and columns.
 
 Counting, ranking and drawing are Spark aggregates and windows on (source,
 length, bucket of the hash), so neither a hot source nor a hot length meets
-in one task.  Only the table of lengths of one source comes together, at most
-one row per distinct length.
+in one task, nor do documents without an id or with the same id; only rows
+that are equal in every column do.  Only the table of lengths of one source
+comes together, at most one row per distinct length.
 
 Cases: a null text has size 0; a null source is a source of its own, last in
 order; documents of size 0 are taken 0 times (the mix may keep or drop them:
 ``copies`` is then the number of whole passes); equal ids with equal lengths
-are interchangeable; an empty table gives an empty table; other columns are
-carried in ``row``.
+are drawn by their other columns, so a task that runs again draws the same
+rows (columns that hold a map are not looked at); an empty table gives an
+empty table; other columns are carried in ``row``.
 """
 
 from __future__ import annotations
@@ -145,6 +147,17 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
         [(r["_key"], s, t) for r, s, t in zip(rows, sizes, found)], "_key string, source_size long, target double")
 
 
+def sized_documents(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """(id, size, _key, row, _digest, _hash, _bucket): the documents with the order and bucket they are drawn in."""
+    plain = [F.col(f"`{name}`") for name, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    digest = F.xxhash64(*[x for c in plain for x in (c.isNull(), c)])  # the hash alone passes over nulls
+    return docs.select(F.col(id_col).alias("id"), word_count(F.col(text_col)).alias("size"),
+                       _key(F.col(source_col)).alias("_key"), F.struct("*").alias("row"),
+                       digest.alias("_digest")).withColumn(
+        "_hash", F.xxhash64(F.lit(seed), F.col("id").cast("string"), F.col("_digest"))).withColumn(
+        "_bucket", F.pmod(F.shiftright("_hash", 32), F.lit(BUCKETS)).cast("int"))
+
+
 def _plan(rows: pd.DataFrame) -> pd.DataFrame:
     passes, extra = fit_lengths(rows["size"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), rows["target"].iloc[0],
                                 int(rows["most"].iloc[0]))
@@ -159,10 +172,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``copies``: how often the mix takes the document; ``taken``: its words in
     the mix; ``row``: its columns (not shuffled unless it is read).
     """
-    mark = F.xxhash64(F.lit(seed), F.col("id").cast("string"))
-    sized = docs.select(F.col(id_col).alias("id"), word_count(F.col(text_col)).alias("size"),
-                        _key(F.col(source_col)).alias("_key"), F.struct("*").alias("row")).withColumn(
-        "_hash", mark).withColumn("_bucket", F.pmod(F.shiftright("_hash", 32), F.lit(BUCKETS)).cast("int"))
+    sized = sized_documents(docs, id_col, text_col, source_col, seed)
     groups = ["_key", "size", "_bucket"]
     counts = keep_table(sized.groupBy(*groups).agg(F.count("*").alias("n")), "length-counts")
     aims = keep_table(source_targets(counts.select("_key", (F.col("size") * F.col("n")).alias("size")), weights, most),
@@ -175,7 +185,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = counts.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n").join(
         plan, ["_key", "size"]).join(aims, "_key")
     cut = keep_table(cut, "bucket-plan")
-    rank = F.row_number().over(Window.partitionBy(*groups).orderBy("_hash", "id"))
+    rank = F.row_number().over(Window.partitionBy(*groups).orderBy("_hash", "id", "_digest"))
     out = sized.withColumn("_rank", rank).join(cut, groups)
     out = out.withColumn("copies", F.col("passes") + (F.col("_before") + F.col("_rank") <= F.col("extra")).cast("long"))
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies",

@@ -83,6 +83,21 @@ def test_hot_length_is_split(spark):
     assert all(abs(taken[r.row.source] - r.target) <= 3 for r in found)
 
 
+def test_null_and_repeated_ids_spread_and_are_drawn_alike(spark):
+    same = [(i, f"a b c{n}", "en", "hot", 5, None, None, None) for i in (None, 7) for n in range(300)]
+    same += [(8, "a b c", "en", "hot", 5, None, None, str(n)) for n in range(300)]
+    other = [(1000 + i, "x " * 30, "en", "z", 5, None, None, None) for i in range(100)]
+
+    def drawn(some, parts):
+        return Counter((r.doc_id, r.row, r.copies) for r in mixing.mix_sources(frame(spark, some, parts)).select(
+            "doc_id", "row", "copies").collect())
+    found = drawn(same + other, 5)
+    assert len({copies for (_, row, copies) in found if row.source == "hot"}) > 1
+    assert found == drawn((same + other)[::-1], 2)
+    sized = mixing.sized_documents(frame(spark, same), "doc_id", "text", "source", mixing.SEED)
+    assert sized.groupBy("_key", "size", "_bucket").count().agg({"count": "max"}).first()[0] < 10
+
+
 def test_no_documents(spark):
     none = spark.createDataFrame([], DOCS)
     assert mixing.mix_sources(none).count() == 0 and mixing.apply_mix(none).count() == 0
