@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from pactline.operators import features as FE
 from pactline.operators import models as M
 from pactline.operators import split as SP

@@ -7,7 +7,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from porter_model import porter
 from pactline.functions import text as T
 from pactline.operators import features as FE
