@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactline.llm import (chat_format, html_text, language_id, mixing, mph_dedup, packing, quality, simhash,
-                          top_products, url_rules)
+from pactline.llm import (chat_format, chunk_bpe, fill_in_middle, filter_audit, html_text, language_id, mixing,
+                          mph_dedup, packing, quality, simhash, top_products, url_rules)
 from pactline.sources.tables import table
 
 #: Given rules (verdict, host/path prefix), and the method's own patterns.
@@ -90,8 +90,27 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_chunk_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    coded = chunk_bpe.decode_ids(chunk_bpe.encode_documents(table(spark, sf, "documents", "doc_id", "text")))
+    return coded.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    done = fill_in_middle.fill_in_middle(table(spark, sf, "documents", "doc_id", "text"))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(fill_in_middle.restored().cast("binary"), 256).alias("restored_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf, "documents", "doc_id", "text", "source"),
+                                     table(spark, sf, "labels", "doc_id", "quality", "toxic"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_url_rules, op3_chat_format, op4_simhash, op5_language_id,
-                                   op6_top_products, op7_packing, op8_mixing, op9_html_text, op10_exact_dedup)}
+                                   op6_top_products, op7_packing, op8_mixing, op9_html_text, op10_exact_dedup,
+                                   op11_chunk_bpe, op12_fill_in_middle, op13_filter_audit)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -146,4 +165,49 @@ WITH h AS (SELECT doc_id, sha256({_LOWER.format("coalesce(text, '')")}) AS text_
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
 FROM h WINDOW w AS (PARTITION BY text_sha256)""",
+    "op12_fill_in_middle": r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+ u AS (SELECT *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+         ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3,
+         ('0x' || h[25:32])::BIGINT AS h4 FROM t),
+ c AS (SELECT *, len(units)::BIGINT AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+         greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50
+              THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+ p AS (SELECT *, coalesce(array_to_string(units[1:a], ''), '') AS prefix,
+         coalesce(array_to_string(units[a + 1:b], ''), '') AS middle,
+         coalesce(array_to_string(units[b + 1:], ''), '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p""",
+    "op13_filter_audit": r"""
+WITH RECURSIVE texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+ words AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM texts),
+ fails AS (SELECT doc_id, part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+             100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS c,
+             regexp_matches(text, '[#$%&*|]') AS d,
+             coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e FROM words),
+ marked AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+ docs AS (SELECT part, [a, b, c, d, e] AS fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+          FROM fails LEFT JOIN marked USING (doc_id)),
+ cells AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+           FROM docs GROUP BY part, fails),
+ orders(o) AS (SELECT '' UNION ALL
+               SELECT o || l FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) WHERE NOT contains(o, l)),
+ steps AS (SELECT o, s, list_transform(string_split(o[1:s - 1], ''), lambda x: ascii(x) - 64) AS earlier, ascii(o[s]) - 64 AS own
+           FROM orders, (SELECT unnest(range(1, 6)) AS s) WHERE length(o) = 5),
+ fates AS (SELECT part, o, s, own, n, good, toxic, fails[own] AS bad,
+             s > 1 AND list_bool_or(list_transform(earlier, lambda k: fails[k])) AS gone,
+             len(list_filter(fails, lambda x: x)) = 1 AS alone FROM cells, steps),
+ rows AS (SELECT part, o AS filter_order, s::INT AS step, own,
+            coalesce(sum(n) FILTER (NOT bad AND NOT gone), 0)::BIGINT AS kept,
+            coalesce(sum(n) FILTER (bad AND NOT gone), 0)::BIGINT AS removed,
+            coalesce(sum(n) FILTER (bad AND gone), 0)::BIGINT AS redundant,
+            coalesce(sum(n) FILTER (bad AND alone), 0)::BIGINT AS unique_fails,
+            coalesce(sum(good) FILTER (bad AND NOT gone), 0)::BIGINT AS good_lost,
+            coalesce(sum(toxic) FILTER (bad AND NOT gone), 0)::BIGINT AS toxic_lost FROM fates GROUP BY part, o, s, own)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM rows""",
 }
