@@ -22,82 +22,28 @@ gives an empty table; columns besides id and text are not read.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pactline.llm.bpe_words import slices, word_ids
+
 CAPACITY, END_ID, VOCABULARY = 2048, 1, "byte_bpe_50k.json"
 #: Rests are cut to full class lengths up to this class.
 FINE = 16
-#: Words whose ids a worker remembers.
-REMEMBERED = 3 << 18
-#: New words encoded as one text.
-TOGETHER = 256
-#: Characters given to the tokenizer or to one output batch at a time.
-BATCH_CHARS = 1 << 22
+#: Bytes of text encoded, and given out as one batch, at a time.
+BATCH_BYTES = 1 << 23
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, "
           "class int")
-
-class WordIds:
-    """Token ids of texts, by the tokenizer's own ids of their words.
-
-    Byte-level BPE never merges across a single blank between two characters
-    that are no white space: the blank goes to the word behind it.  So the ids
-    of a text are those of its words, and a word met before need not be
-    encoded again.  New words are encoded many at a time and told apart by the
-    byte lengths of the ids.  Texts with other white space beside a blank are
-    encoded whole.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()  # one character for each byte
-        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]
-        self.known: dict[str, bytes | None] = {}
-
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[str]) -> None:
-        """Ids of each word with a blank before it; None for no whole word."""
-        self.known.update((w, None) for w in words if not w or w[0].isspace() or w[-1].isspace())
-        words = [w for w in words if w and not (w[0].isspace() or w[-1].isspace())]
-        groups = [words[at:at + TOGETHER] for at in range(0, len(words), TOGETHER)]
-        for group, ids in zip(groups, self._whole(["".join([" " + w for w in g]) for g in groups])):
-            ends = np.cumsum([len(w.encode()) + 1 for w in group])
-            cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
-            flat, at = ids.tobytes(), 0
-            for w, cut in zip(group, (4 * cuts).tolist()):
-                self.known[w] = flat[at:cut]
-                at = cut
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        cut = [t.split(" ") for t in texts]
-        first = [ids.tobytes() for ids in self._whole([words[0] for words in cut])]
-        new = set().union(*cut).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, set().union(*cut)
-        self._learn(list(new))
-        ids_of, out = self.known.__getitem__, []
-        for text, start, words in zip(texts, first, cut):
-            begins = words[0]
-            own = [start, *map(ids_of, words[1:])]
-            if None in own or (len(own) > 1 and (not begins or begins[-1].isspace())):
-                out.append(self._whole([text])[0].tobytes())
-            else:
-                out.append(b"".join(own))
-        return out
+SCHEMA = pa.schema([(n, {"long": pa.int64(), "binary": pa.binary(), "int": pa.int32()}[t])
+                    for n, t in (x.split() for x in PIECES.split(", "))])
 
 
 def cut_lengths(n: int, capacity: int = CAPACITY, fine: int = FINE) -> list[int]:
@@ -154,12 +100,10 @@ class Packer:
                     held = []
                     room = self.capacity if left >= self.capacity else 1 << max(0, left.bit_length() - 1)
 
-    def take(self) -> pd.DataFrame:
-        names = [x.split()[0] for x in PIECES.split(", ")]
-        out = pd.DataFrame(self.done, columns=names)
-        out["doc_id"] = out["doc_id"].astype("Int64")
+    def take(self) -> pa.RecordBatch:
+        columns = list(zip(*self.done)) or [[]] * len(SCHEMA)
         self.done = []
-        return out
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SCHEMA)], schema=SCHEMA)
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
@@ -170,21 +114,18 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     the strung-together rest.  ``vocabulary``: a tokenizer file, found on the
     workers by this path.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordIds(vocabulary or public_tokenizers.path(VOCABULARY))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = word_ids(vocabulary or public_tokenizers.path(VOCABULARY))
         packer = Packer(TaskContext.get().partitionId() << 32, capacity, fine)
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
-            ids, texts, own, chars = b["id"].astype("Int64"), b["_text"].tolist(), [], 0
-            for i, (doc, gone) in enumerate(zip(ids, ids.isna())):
-                own.append((None if gone else int(doc), texts[i] or ""))
-                chars += len(own[-1][1])
-                if chars >= BATCH_CHARS or i + 1 == len(texts):
-                    for (d, _), x in zip(own, words.encode([t for _, t in own])):
-                        packer.add(d, x + end)
-                    yield packer.take()
-                    own, chars = [], 0
+            texts = b.column("_text").fill_null("")
+            for at, to in slices(pc.binary_length(texts).to_numpy(), BATCH_BYTES):
+                for doc, x in zip(b.column("id")[at:to].to_pylist(), words.encode(texts[at:to])):
+                    packer.add(doc, x + end)
+                yield packer.take()
         packer.finish()
         yield packer.take()
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text")).mapInPandas(run, PIECES)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("_text")) \
+        .mapInArrow(run, PIECES)

@@ -5,13 +5,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 from docs import DOCS, frame, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from pactline.llm import mixing, packing
+from pactline.llm import bpe_words, mixing, packing
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -119,18 +120,30 @@ def plain_ids(text):
 @given(st.lists(st.sampled_from([" ", "\n", "\t", "\xa0", "\u2003", "\x85", "\x1c", "a", "b'", "'s", "é", "1", ".", "!!",
                                  "<|endoftext|>", "  ", "日本", " a", "word"]), max_size=30).map("".join))
 def test_word_ids_equal_the_tokenizers(text):
-    found = WORDS.encode([text])[0]
-    assert np.frombuffer(found, "<u4").tolist() == plain_ids(text)[:-1]
+    found = WORDS.encode(pa.array([text, "a b", text]))
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [plain_ids(t)[:-1] for t in (text, "a b", text)]
 
 
-WORDS = packing.WordIds(public_tokenizers.path("byte_bpe_50k.json"))
+WORDS = bpe_words.WordIds(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-def test_forgetting_words_changes_nothing(monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED", 5)
-    words = packing.WordIds(public_tokenizers.path("byte_bpe_50k.json"))
-    texts = ["a b c", "d e f g h i", "a b", "c  d", ""] * 3
-    assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(texts)] == [plain_ids(t)[:-1] for t in texts]
+def test_forgetting_words_changes_nothing():
+    words = bpe_words.WordIds(public_tokenizers.path("byte_bpe_50k.json"), generation=5)
+    texts = ["a b c", "d e f g h i", "a b", "c  d", "", "y" * 200 + " " + "z" * 200] * 3
+    for _ in range(3):
+        for t in texts:
+            assert np.frombuffer(words.encode(pa.array([t]))[0], "<u4").tolist() == plain_ids(t)[:-1]
+        assert len(words.young) <= 5 + 8 and not any(len(w) > 64 for w in words.young)
+
+
+def test_slices_cover_all_rows():
+    assert bpe_words.slices(np.array([5, 1, 9, 0, 2]), 6) == [(0, 2), (2, 3), (3, 5)]
+    assert bpe_words.slices(np.array([], int), 6) == []
+
+
+def test_a_process_keeps_one_encoder():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert bpe_words.word_ids(path) is bpe_words.word_ids(path)
 
 
 @settings(max_examples=200, deadline=None)
