@@ -46,7 +46,7 @@ from pactline.llm.bpe_words import WordIds, slices, word_ids
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Bytes in the rolling hash; a cut where its upper CUT_BITS bits are zero; bytes from one cut to the next, at least.
-WINDOW, CUT_BITS, LEAST = 16, 9, 128
+WINDOW, CUT_BITS, LEAST = 16, 10, 128
 #: Bytes of text handled at a time, and in each generation of a worker's memory of chunks and of joins.
 BATCH_BYTES, MEMORY_BYTES = 1 << 22, 1 << 24
 #: Times a window is widened before the document is encoded whole.
@@ -256,13 +256,7 @@ def chunk_encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(word_ids(path))
 
 
-def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     vocabulary: str | None = None) -> DataFrame:
-    """(id, ids, n_tokens): ``ids`` are little-endian 32-bit token ids.
-
-    ``vocabulary``: a byte-level BPE tokenizer file, found on the workers by
-    this path.
-    """
+def _encoded(vocabulary: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = chunk_encoder(vocabulary or public_tokenizers.path(VOCABULARY))
         for b in batches:
@@ -272,9 +266,23 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 ids = encoder.encode(texts, ends)
                 yield pa.RecordBatch.from_arrays([b.column("id")[at:to], pa.array(ids, pa.binary()), pa.array(
                     [len(x) >> 2 for x in ids], pa.int64())], schema=ENCODED)
+    return run
+
+
+def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None,
+                     decode: bool = False) -> DataFrame:
+    """(id, ids, n_tokens): ``ids`` are little-endian 32-bit token ids.
 
-    return chunk_documents(docs, id_col, text_col).hint("rebalance", "least_hash").mapInArrow(
-        run, "id long, ids binary, n_tokens long")
+    ``vocabulary``: a byte-level BPE tokenizer file, found on the workers by
+    this path.  ``decode`` adds ``decoded``, the ids read back as text by the
+    same worker.
+    """
+    encode = _encoded(vocabulary)
+    rows = chunk_documents(docs, id_col, text_col).hint("rebalance", "least_hash")
+    if not decode:
+        return rows.mapInArrow(encode, "id long, ids binary, n_tokens long")
+    read = _decoded(vocabulary)
+    return rows.mapInArrow(lambda batches: read(encode(batches)), "id long, ids binary, n_tokens long, decoded string")
 
 
 # ---- decoding --------------------------------------------------------------------------
@@ -293,8 +301,7 @@ def token_bytes(words: WordIds) -> list[bytes]:
     return out
 
 
-def decode_ids(encoded: DataFrame, ids_col: str = "ids", vocabulary: str | None = None) -> DataFrame:
-    """(id, ids, n_tokens, decoded) of ``encode_documents``' rows."""
+def _decoded(vocabulary: str | None):
     schema = ENCODED.append(pa.field("decoded", pa.string()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,6 +312,10 @@ def decode_ids(encoded: DataFrame, ids_col: str = "ids", vocabulary: str | None
                 texts = [b"".join([bytes_of[i] for i in np.frombuffer(x, "<u4").tolist()]).decode(errors="replace")
                          for x in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], schema=schema)
+    return run
 
+
+def decode_ids(encoded: DataFrame, ids_col: str = "ids", vocabulary: str | None = None) -> DataFrame:
+    """(id, ids, n_tokens, decoded) of ``encode_documents``' rows."""
     return encoded.select("id", F.col(ids_col).alias("ids"), "n_tokens").mapInArrow(
-        run, "id long, ids binary, n_tokens long, decoded string")
+        _decoded(vocabulary), "id long, ids binary, n_tokens long, decoded string")

@@ -91,7 +91,7 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op11_chunk_bpe(spark: SparkSession, sf: str) -> DataFrame:
-    coded = chunk_bpe.decode_ids(chunk_bpe.encode_documents(table(spark, sf, "documents", "doc_id", "text")))
+    coded = chunk_bpe.encode_documents(table(spark, sf, "documents", "doc_id", "text"), decode=True)
     return coded.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

@@ -118,6 +118,8 @@ def test_encode_and_decode_documents(spark):
     df = frame(spark, some)
     coded = chunk_bpe.decode_ids(chunk_bpe.encode_documents(df)).collect()
     assert Counter((r.id, r.decoded) for r in coded) == Counter((d[0], d[1] or "") for d in some)
+    together = chunk_bpe.encode_documents(df, decode=True).collect()
+    assert Counter(map(str, together)) == Counter(map(str, coded))
     texts = {r[1] or "": plain_ids(r[1]) for r in some}
     for r in coded:
         assert numbers(bytes(r.ids)) == texts[r.decoded] and r.n_tokens == len(texts[r.decoded])
