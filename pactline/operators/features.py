@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pactline.functions import text as T
 from pactline.functions.stopwords import ENGLISH_STOPWORDS
 from pactline.operators.segments import materialize, posexplode_once
+from pactline.operators.terms import join_terms
 
 
 # --- tokens in long form (I4-I6) ------------------------------------------------
@@ -63,16 +64,17 @@ def doc_freq(tf: DataFrame, n_docs: int, min_share: float = 0.0, max_share: floa
 
 # --- TF-IDF (J2-J4) -----------------------------------------------------------------------
 
-def tfidf(tf: DataFrame, n_docs: int, df: DataFrame | None = None) -> DataFrame:
+def tfidf(tf: DataFrame, n_docs: int, df: DataFrame | None = None, least_df: float = 0.0) -> DataFrame:
     """Tf * (ln((1+n)/(1+df)) + 1), L2-normalised per document.
 
-    ``df`` restricts the vocabulary (J3); the norm is over kept terms.
+    ``df`` restricts the vocabulary (J3) to terms that at least ``least_df``
+    documents have; the norm is over kept terms.
     """
     tf = materialize(tf)  # read by the df aggregate and by the weighting
     if df is None:
         df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = df.select("term", (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
-    w = tf.join(idf, "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    idf = df.select("term", "df", (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    w = join_terms(tf, idf, tf.count(), least_df).select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
     # A document's rows are its distinct terms (bounded by the vocabulary),
     # so the norm is a window over the document, not a second join.
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
@@ -83,21 +85,23 @@ def tfidf_filtered(docs: DataFrame, min_share: float = 0.1, max_share: float = 0
                    stem: bool = False) -> DataFrame:
     """Lower-case I4 tokens, optional stems, stop words out, df share filter."""
     n = docs.count()
-    toks = tokens(docs.select("doc_id", F.lower("text").alias("text")), "words")
+    toks = tokens(docs.select("doc_id", F.lower("text").alias("text")), "words", clustered=True)
     if stem:  # counts first, so a word is joined with its stem once for each document it is in
         from pactline.operators.stems import stem_counts
-        tf = stem_counts(term_counts(toks))
+        tf = stem_counts(materialize(term_counts(toks)))
         tf = remove_stopwords(tf.withColumnRenamed("term", "token")).withColumnRenamed("token", "term")
     else:
         tf = term_counts(remove_stopwords(toks))
-    return tfidf(tf, n, doc_freq(tf, n, min_share, max_share))
+    tf = materialize(tf)
+    return tfidf(tf, n, doc_freq(tf, n, min_share, max_share), min_share * n)
 
 
 def tfidf_log(tf: DataFrame, n_docs: int) -> DataFrame:
     """TF = ln(count), IDF = ln(N) / n_w, as written in the course notes."""
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return (tf.join(df, "term")
-            .select("doc_id", "term", (F.log("tf") * F.lit(math.log(n_docs)) / F.col("df")).alias("w")))
+    tf = materialize(tf)
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("_df", F.col("df"))
+    return join_terms(tf, df, tf.count()).select(
+        "doc_id", "term", (F.log("tf") * F.lit(math.log(n_docs)) / F.col("_df")).alias("w"))
 
 
 # --- vocabulary and sequences (G2, I8, I9) -------------------------------------------------
@@ -257,12 +261,8 @@ FLAG_OF_TAG = {"title": 0, "s": 1, "l": 2, "p": 3}
 
 def label_union(tagged: DataFrame) -> DataFrame:
     """H1: (text, flag) with titles 0, headers 1, sub-headers 2, plain 3."""
-    parts = [tagged.where(F.col("tag") == t).select(F.col("line").alias("text"), F.lit(f).alias("flag"))
-             for t, f in FLAG_OF_TAG.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    flag = F.coalesce(*[F.when(F.col("tag") == t, f) for t, f in FLAG_OF_TAG.items()])
+    return tagged.select(F.col("line").alias("text"), flag.alias("flag")).where(F.col("flag").isNotNull())
 
 
 def argmax_label(scores: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pactline.functions import patterns as P
 from pactline.functions import text as T
 from pactline.functions.stopwords import ENGLISH_STOPWORDS
+from pactline.operators import bayes as B
+from pactline.operators import clusters as K
 from pactline.operators import features as FE
 from pactline.operators import models as M
 from pactline.operators import split as SP
+from pactline.operators import svm as S
 from pactline.operators import tagger
+from pactline.operators.segments import materialize
 from pactline.operators.stems import stem_vocab
 from pactline.plans import oracle as O
 from pactline.plans.catalog import C_TAG, register
@@ -131,9 +137,12 @@ def _split(spark, sf):
     return SP.holdout_split(_docs(spark, sf, "doc_id"), "doc_id", 0.3, 11)
 
 
+def _parts(spark, sf):
+    return B.holdout_parts(_split(spark, sf))
+
+
 def _nb_pred(spark, sf):
-    roles = _split(spark, sf)
-    return M.nb_predict(_tf_sk(spark, sf), _labels(spark, sf), roles)
+    return B.predict(_tf_sk(spark, sf), _labels(spark, sf), _parts(spark, sf)).select("doc_id", "pred", "score")
 
 
 def _vocab(spark, sf):
@@ -262,13 +271,6 @@ def q_stopword_removal(spark, sf):
     return FE.remove_stopwords(FE.tokens(_docs(spark, sf).select("doc_id", F.lower("text").alias("text")), "words"))
 
 
-@register("attach_clusters", """
-SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
-def q_attach_clusters(spark, sf):
-    return (_docs(spark, sf, "doc_id", "lang")
-            .join(table(spark, sf, "labels", "doc_id", "quality", "toxic"), "doc_id", "left"))
-
-
 @register("embedding_lookup", O.with_(*WORDVEC_CTES) + """
 SELECT v.word, v.n, wv.vec IS NOT NULL AS has_vector,
        round(coalesce(list_sum(wv.vec::DOUBLE[]), 0), 4) AS vec_sum
@@ -422,13 +424,12 @@ def q_holdout_split_tail(spark, sf):
 
 @register("naive_bayes", O.with_(*NB_SPLIT) + "SELECT doc_id, pred FROM pred")
 def q_naive_bayes(spark, sf):
-    return _nb_pred(spark, sf)
+    return _nb_pred(spark, sf).select("doc_id", "pred")
 
 
 @register("argmax_label", O.with_(*NB_SPLIT) + "SELECT doc_id, pred, round(score, 6) AS score FROM pred")
 def q_argmax_label(spark, sf):
-    s = M.nb_scores(_tf_sk(spark, sf), _labels(spark, sf), _split(spark, sf))
-    return FE.argmax_label(s).select("doc_id", "pred", F.round("score", 6).alias("score"))
+    return _nb_pred(spark, sf).select("doc_id", "pred", F.round("score", 6).alias("score"))
 
 
 @register("accuracy", O.with_(*NB_SPLIT) +
@@ -465,65 +466,181 @@ def q_f1_report(spark, sf):
     return r.select("cls", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
-def _cv_scores(spark, sf):
-    folds = SP.kfold(_docs(spark, sf, "doc_id"), "doc_id", 10)
-    roles = M.cv_roles(folds, 10)
-    pred = M.nb_predict(_tf_sk(spark, sf), _labels(spark, sf), roles, ["fold"])
-    return M.accuracy(pred, _labels(spark, sf), ["fold"])
+SVM_STEPS, SVM_ALPHA = 5, 0.001
+
+
+def svm_sql(keys: str) -> list[str]:
+    """Sub-gradient steps written out over the CTEs of ``nb_sql``: x(keys, doc_id, term, x) trains or is scored."""
+    kt = f"USING ({keys}, term)"
+    out = [f"""xs_tr AS MATERIALIZED (SELECT {keys}, doc_id, term, x FROM xtr
+                 UNION ALL SELECT {keys}, doc_id, '', 1.0 FROM roles WHERE NOT is_test)""",
+           f"""xs_te AS MATERIALIZED (SELECT {keys}, doc_id, term, x FROM xte
+                 UNION ALL SELECT {keys}, doc_id, '', 1.0 FROM roles WHERE is_test)""",
+           f"""w1 AS MATERIALIZED (SELECT {keys}, term, class, sum(CASE WHEN label = class THEN x ELSE -x END) / ({SVM_ALPHA} * any_value(n)) AS w
+                 FROM xs_tr JOIN lab USING (doc_id) JOIN n USING ({keys}), (SELECT DISTINCT label AS class FROM lab)
+                 GROUP BY {keys}, term, class)"""]
+    for t in range(2, SVM_STEPS + 1):
+        out += [f"""a{t} AS MATERIALIZED (SELECT {keys}, doc_id, class, CASE WHEN label = class THEN 1.0 ELSE -1.0 END AS y
+                      FROM (SELECT {keys}, doc_id, class, sum(x * w) AS m FROM xs_tr JOIN w{t - 1} {kt} GROUP BY {keys}, doc_id, class)
+                      JOIN lab USING (doc_id) WHERE CASE WHEN label = class THEN m ELSE -m END < 1.0)""",
+                f"""d{t} AS MATERIALIZED (SELECT {keys}, term, class, sum(x * y) AS d
+                      FROM xs_tr JOIN a{t} USING ({keys}, doc_id) GROUP BY {keys}, term, class)""",
+                f"""w{t} AS MATERIALIZED (SELECT {keys}, term, class, (1.0 - 1.0 / {t}) * w + coalesce(d, 0.0) / ({SVM_ALPHA} * {t} * n) AS w
+                      FROM w{t - 1} LEFT JOIN d{t} USING ({keys}, term, class) JOIN n USING ({keys}))"""]
+    return out + [f"""svm AS (SELECT {keys}, doc_id, class AS pred
+        FROM (SELECT {keys}, doc_id, class, sum(x * w) AS score FROM xs_te JOIN w{SVM_STEPS} {kt} GROUP BY {keys}, doc_id, class)
+        QUALIFY row_number() OVER (PARTITION BY {keys}, doc_id ORDER BY score DESC, class) = 1)"""]
+
 
+FOLDS = 10
 
-CV_ACC = """SELECT fold, avg(CASE WHEN p.pred = l.label THEN 1.0 ELSE 0.0 END) AS accuracy
-FROM pred p JOIN lab l USING (doc_id) GROUP BY fold"""
 
+def _cv_scores(spark, sf, labels=None, svm=True):
+    """(model, fold, accuracy) of both models; all folds of a model in one plan."""
+    labels = _labels(spark, sf) if labels is None else labels
+    parts = B.fold_parts(SP.kfold(_docs(spark, sf, "doc_id"), "doc_id", FOLDS))
+    x = B.weighted(_tf_sk(spark, sf), parts, FOLDS)
+    found = [("MNB", B.predict(None, labels, parts, FOLDS, x))]
+    if svm:
+        found.append(("SGD", S.predict(x, labels, parts, FOLDS, SVM_STEPS, SVM_ALPHA)))
+    scores = [M.score_history(M.accuracy(p.withColumnRenamed("part", "fold"), labels, ["fold"]), name)
+              for name, p in found]
+    return reduce(DataFrame.unionByName, scores)
 
-@register("cv_accuracy", O.with_(*NB_CV) + "SELECT fold, round(accuracy, 6) AS accuracy FROM (" + CV_ACC + ")")
+
+def cv_acc(pred: str) -> str:
+    return f"""SELECT fold, avg(CASE WHEN p.pred = l.label THEN 1.0 ELSE 0.0 END) AS accuracy
+FROM {pred} p JOIN lab l USING (doc_id) GROUP BY fold"""
+
+
+CV_BOTH = O.with_(*NB_CV, *svm_sql("fold"), f"""
+cv AS (SELECT 'MNB' AS model, * FROM ({cv_acc('pred')}) UNION ALL SELECT 'SGD', * FROM ({cv_acc('svm')}))""")
+
+
+@register("cv_accuracy", CV_BOTH + "SELECT model, fold, round(accuracy, 6) AS accuracy FROM cv")
 def q_cv_accuracy(spark, sf):
-    return _cv_scores(spark, sf).select("fold", F.round("accuracy", 6).alias("accuracy"))
+    return _cv_scores(spark, sf).select("model", "fold", F.round("accuracy", 6).alias("accuracy"))
 
 
-@register("mean_score", O.with_(*NB_CV) + "SELECT round(avg(accuracy), 6) AS mean_accuracy FROM (" + CV_ACC + ")")
+@register("mean_score", CV_BOTH + "SELECT model, round(avg(accuracy), 6) AS mean_accuracy FROM cv GROUP BY model")
 def q_mean_score(spark, sf):
-    return _cv_scores(spark, sf).agg(F.round(F.avg("accuracy"), 6).alias("mean_accuracy"))
+    return _cv_scores(spark, sf).groupBy("model").agg(F.round(F.avg("accuracy"), 6).alias("mean_accuracy"))
 
 
-@register("score_history", O.with_(*NB_CV) +
-          "SELECT 'MNB' AS model, fold, round(accuracy, 6) AS accuracy FROM (" + CV_ACC + ")")
+@register("score_history", CV_BOTH + "SELECT model, fold, round(accuracy, 6) AS accuracy FROM cv")
 def q_score_history(spark, sf):
-    return M.score_history(_cv_scores(spark, sf), "MNB").select("model", "fold", F.round("accuracy", 6).alias("accuracy"))
+    return _cv_scores(spark, sf).select("model", "fold", F.round("accuracy", 6).alias("accuracy")).orderBy("model", "fold")
 
 
-# --- J6, J8, J14/A11, J15 MLlib (rows check) ---------------------------------------------------------------
+@register("linear_svm", O.with_(*NB_SPLIT, *svm_sql("_k")) + "SELECT doc_id, pred FROM svm")
+def q_linear_svm(spark, sf):
+    parts = _parts(spark, sf)
+    x = B.weighted(_tf_sk(spark, sf), parts)
+    return S.predict(x, _labels(spark, sf), parts, 1, SVM_STEPS, SVM_ALPHA).select("doc_id", "pred")
 
-@register("kmeans_sweep")
-def q_kmeans_sweep(spark, sf):
-    return M.kmeans_sweep(_docs(spark, sf), list(range(25, 46)))
 
+# --- A11, J14 saved models -----------------------------------------------------------------------------
 
-def _train_test(spark, sf):
-    d = documents(spark, sf, "doc_id", "text", "lang").withColumnRenamed("lang", "label")
-    s = _split(spark, sf)
-    d = d.join(s, "doc_id")
-    return d.where(~F.col("is_test")), d.where(F.col("is_test"))
+def _fitted(spark, sf):
+    parts = _parts(spark, sf)
+    x = B.weighted(_tf_sk(spark, sf), parts)
+    return x, parts, B.fit(x, _labels(spark, sf), parts)
 
 
-@register("linear_svm")
-def q_linear_svm(spark, sf):
-    train, test = _train_test(spark, sf)
-    model = M.svm_pipeline().fit(train)
-    return M.predicted_labels(model, test)
+def _saved(spark, model):
+    from pactline.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pactline-models/bayes-{uuid.uuid4().hex}"
+    B.save_model(model, path)
+    return B.load_model(spark, path)
+
+
+def _test_docs(spark, sf):
+    test = _split(spark, sf).where("is_test").select("doc_id")
+    return test, _tf_sk(spark, sf).join(test, "doc_id", "left_semi")
 
 
-@register("batch_predict")
+@register("batch_predict", O.with_(*NB_SPLIT) + "SELECT doc_id, pred, round(score, 6) AS score FROM pred")
 def q_batch_predict(spark, sf):
-    from pactline.session import checkpoint_dir
-    train, test = _train_test(spark, sf)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/pactline-models/nb-{uuid.uuid4().hex}"
-    M.save_model(M.nb_pipeline().fit(train), path)
-    return M.predicted_labels(M.load_model(path), test)
+    test, tf = _test_docs(spark, sf)
+    found = B.score_documents(_saved(spark, _fitted(spark, sf)[2]), tf, test)
+    return found.select("doc_id", "pred", F.round("score", 6).alias("score"))
+
+
+@register("model_io", O.with_(*NB_SPLIT) + """
+SELECT doc_id, pred AS saved_pred, pred AS fitted_pred, round(score, 6) AS saved_score, round(score, 6) AS fitted_score FROM pred""")
+def q_model_io(spark, sf):
+    """Every held-out document scored by the fitted tables and by the tables that were saved and loaded."""
+    model = _fitted(spark, sf)[2]
+    test, tf = _test_docs(spark, sf)
+    tf = materialize(tf)
+    both = [B.score_documents(m, tf, test).select("doc_id", F.col("pred").alias(f"{name}_pred"),
+                                                  F.round("score", 6).alias(f"{name}_score"))
+            for name, m in (("saved", _saved(spark, model)), ("fitted", model))]
+    return both[0].join(both[1], "doc_id")
+
+
+# --- J6, E3 the sweep and its clusters -------------------------------------------------------------------
+
+KS = list(range(25, 46))
+
+
+def sweep_sql() -> list[str]:
+    """Lloyd iterations for all k, written out."""
+    out = ["feats AS MATERIALIZED (SELECT doc_id, term, tfidf AS x FROM tfidf)",
+           "seeds AS MATERIALIZED (SELECT doc_id, row_number() OVER (ORDER BY md5('1-' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS r FROM documents)",
+           f"slots AS MATERIALIZED (SELECT k, r AS cluster, doc_id AS seed FROM seeds, (SELECT unnest(range({KS[0]}, {KS[-1] + 1})) AS k) WHERE r < k)",
+           "sq AS MATERIALIZED (SELECT d.doc_id, coalesce(sum(x * x), 0) AS xx FROM documents d LEFT JOIN feats USING (doc_id) GROUP BY d.doc_id)",
+           "c0 AS MATERIALIZED (SELECT k, cluster, term, x AS v FROM slots JOIN feats ON feats.doc_id = seed)"]
+    for t in range(K.ITERATIONS + 1):
+        out.append(f"""as{t} AS MATERIALIZED (
+  SELECT doc_id, k, (min({{'d': round(xx - 2 * coalesce(xc, 0) + coalesce(cc, 0), 9), 'c': cluster}})).c AS cluster
+  FROM sq CROSS JOIN slots
+  LEFT JOIN (SELECT f.doc_id, k, cluster, sum(x * v) AS xc FROM feats f JOIN c{t} USING (term) GROUP BY ALL) USING (doc_id, k, cluster)
+  LEFT JOIN (SELECT k, cluster, sum(v * v) AS cc FROM c{t} GROUP BY ALL) USING (k, cluster)
+  GROUP BY doc_id, k)""".replace("sq CROSS JOIN slots", "sq CROSS JOIN (SELECT k, cluster FROM slots)"))
+        if t < K.ITERATIONS:
+            out.append(f"""c{t + 1} AS MATERIALIZED (
+  SELECT a.k, a.cluster, term, sum(x) / any_value(n) AS v FROM as{t} a JOIN feats USING (doc_id)
+  JOIN (SELECT k, cluster, count(*) AS n FROM as{t} GROUP BY ALL) s ON s.k = a.k AND s.cluster = a.cluster GROUP BY a.k, a.cluster, term
+  UNION ALL SELECT * FROM c{t} ANTI JOIN as{t} USING (k, cluster))""")
+    return [*out, f"swept AS (SELECT doc_id, CAST(k AS INTEGER) AS k, CAST(cluster AS INTEGER) AS cluster FROM as{K.ITERATIONS})"]
+
+
+SWEEP_CTES = [LOWER_WORDS, *O.stem_ctes("wt"), STOP_CTE, """kept AS (SELECT doc_id, stem AS token FROM wt JOIN stems USING (token)
+                WHERE stem NOT IN (SELECT token FROM stop))""", *FILTERED_CTES, *sweep_sql()]
+
+
+@register("kmeans_sweep", O.with_(*SWEEP_CTES) + "SELECT doc_id, k, cluster FROM swept")
+def q_kmeans_sweep(spark, sf):
+    return K.kmeans_sweep(_docs(spark, sf), KS).select("doc_id", "k", "cluster")
 
 
-@register("neural_classifier")
+@register("attach_clusters", O.with_(*SWEEP_CTES) + "SELECT d.doc_id, d.lang, " + ", ".join(
+    f"max(cluster) FILTER (k = {k}) AS cluster_by_text_{k}" for k in KS)
+    + " FROM documents d LEFT JOIN swept s ON s.doc_id = d.doc_id GROUP BY d.doc_id, d.lang")
+def q_attach_clusters(spark, sf):
+    """The sweep's clusters as columns of the documents."""
+    docs = _docs(spark, sf, "doc_id", "text", "lang")
+    return K.attach_clusters(docs.select("doc_id", "lang"), K.cluster_table(docs, KS), KS)
+
+
+CLUSTER_LABELS = "lab AS (SELECT doc_id, cluster AS label FROM swept WHERE k = 35)"
+
+
+@register("cv_clusters", O.with_(*SWEEP_CTES, *[CLUSTER_LABELS if c.startswith("lab AS") else c for c in NB_CV])
+          + f"SELECT fold, round(accuracy, 6) AS accuracy FROM ({cv_acc('pred')})")
+def q_cv_clusters(spark, sf):
+    """J9 as the reference runs it: the classes are the clusters of k = 35."""
+    clusters = K.cluster_table(_docs(spark, sf), [35])
+    return _cv_scores(spark, sf, K.cluster_labels(clusters, 35), svm=False).select("fold", F.round("accuracy", 6).alias("accuracy"))
+
+
+# --- J15 ---------------------------------------------------------------------------------------------------
+
+@register("neural_classifier", O.with_(SPLIT_CTE) + """
+SELECT doc_id, true AS known_label, true AS above_majority FROM split WHERE is_test""")
 def q_neural_classifier(spark, sf):
+    """Each held-out document: is the predicted class a fitted one, and are more of them right than the commonest class is."""
     from pyspark.ml.functions import array_to_vector
     vecs = _doc_vectors(spark, sf)
     feats = (vecs.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "value"))),
@@ -534,7 +651,10 @@ def q_neural_classifier(spark, sf):
     train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
     k = d.select("label").distinct().count()
     model = M.mlp_classifier(64, k).fit(train)
-    labels = model.stages[0].labels
-    return model.transform(test).select(
-        "doc_id", F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1).alias("pred"))
-
+    names = F.array(*[F.lit(x) for x in model.stages[0].labels])
+    found = model.transform(test).select("doc_id", "label", F.element_at(names, F.col("prediction").cast("int") + 1).alias("pred"))
+    found = materialize(found)
+    most = found.groupBy("label").count().agg(F.max("count").alias("most"), F.sum("count").alias("n"))
+    right = found.agg(F.sum((F.col("pred") == F.col("label")).cast("int")).alias("right"))
+    above = right.first()["right"] > most.first()["most"]
+    return found.select("doc_id", F.array_contains(names, F.col("pred")).alias("known_label"), F.lit(above).alias("above_majority"))

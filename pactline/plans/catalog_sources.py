@@ -193,14 +193,3 @@ def q_suffix_filter(spark, sf):
     d.select("doc_id", F.length("text").alias("n")).write.mode("append").partitionBy("doc_id").json(root)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
     return files.where(C.suffix_filter("path", C.EXTENSIONS)).select(_doc_id())
-
-
-@register("model_io")
-def q_model_io(spark, sf):
-    """Save a fitted pipeline, load it back, list its stages."""
-    from pactline.operators import models as M
-    d = documents(spark, sf, "doc_id", "text", "lang").withColumnRenamed("lang", "label")
-    path = C.scratch_dir(spark, "model")
-    M.save_model(M.nb_pipeline().fit(d), path)
-    stages = M.load_model(path).stages
-    return spark.createDataFrame([(i, type(s).__name__) for i, s in enumerate(stages)], "stage int, kind string")

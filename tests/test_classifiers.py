@@ -1,11 +1,21 @@
 """Model invariants and plan shape."""
 
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from paths import SF001
+from pactline.operators import bayes as B
+from pactline.operators import clusters as K
 from pactline.operators import features as FE
 from pactline.operators import models as M
 from pactline.operators import split as SP
+from pactline.operators import svm as S
+from pactline.operators import terms as TE
+from pactline.operators.terms import written
 
 
 def _docs(spark):
@@ -15,7 +25,7 @@ def _docs(spark):
 def test_naive_bayes_beats_majority(spark):
     d = _docs(spark)
     roles = SP.holdout_split(d.select("doc_id"), "doc_id", 0.3, 11)
-    pred = M.nb_predict(FE.term_counts(FE.tokens(d, "sk")), d.select("doc_id", "label"), roles)
+    pred = B.predict(FE.term_counts(FE.tokens(d, "sk")), d.select("doc_id", "label"), B.holdout_parts(roles))
     acc = M.accuracy(pred, d.select("doc_id", "label")).first()["accuracy"]
     majority = d.groupBy("label").count().agg(F.max("count")).first()[0] / d.count()
     assert acc > majority and acc >= 0.8
@@ -25,23 +35,187 @@ def test_naive_bayes_beats_majority(spark):
 
 def test_cv_folds_cover_every_doc_once(spark):
     d = _docs(spark)
-    folds = SP.kfold(d.select("doc_id"), "doc_id", 5)
-    roles = M.cv_roles(folds, 5)
-    assert roles.where("is_test").count() == d.count()
-    assert roles.where("not is_test").count() == 4 * d.count()
-    pred = M.nb_predict(FE.term_counts(FE.tokens(d, "sk")), d.select("doc_id", "label"), roles, ["fold"])
-    assert pred.count() == d.count()
-
-
-def test_svm_and_kmeans_run(spark):
+    parts = B.fold_parts(SP.kfold(d.select("doc_id"), "doc_id", 5))
+    x = B.weighted(FE.term_counts(FE.tokens(d, "sk")), parts, 5)
+    assert x.rows.select("doc_id", "term").distinct().count() == x.rows.count() == x.n_rows  # no copy for a fold
+    pred = B.predict(None, d.select("doc_id", "label"), parts, 5, x)
+    assert pred.count() == pred.select("doc_id").distinct().count() == d.count()
+    assert {(r.doc_id, r.part) for r in pred.collect()} == {(r.doc_id, r.part) for r in parts.collect()}
+    svm = S.predict(x, d.select("doc_id", "label"), parts, 5)
+    assert svm.count() == d.count()
+    by_fold = M.accuracy(svm.withColumnRenamed("part", "fold"), d.select("doc_id", "label"), ["fold"]).collect()
+    assert len(by_fold) == 5 and sum(r.accuracy for r in by_fold) / 5 >= 0.85
+
+
+def _plain_bayes(docs, k):
+    """Scores of every class for every test document, one evaluation after the other."""
+    out = {}
+    for f in range(k):
+        train = [d for d in docs if d[2] != f]
+        df = Counter(t for d in train for t in d[1])
+        idf = {t: math.log((1 + len(train)) / (1 + n)) + 1 for t, n in df.items()}
+
+        def vector(d):
+            w = {t: n * idf[t] for t, n in d[1].items() if t in idf}
+            size = math.sqrt(sum(x * x for x in w.values()))
+            return {t: x / size for t, x in w.items()}
+        nct, n_c = defaultdict(Counter), Counter()
+        for d in train:
+            if d[3] is not None:
+                n_c[d[3]] += 1
+                for t, x in vector(d).items():
+                    nct[d[3]][t] += x
+        for d in docs:
+            if d[2] == f:
+                x = vector(d)
+                out[d[0]] = {c: math.log(n_c[c] / len(train)) + sum(
+                    v * math.log((nct[c][t] + 1) / (sum(nct[c].values()) + len(idf))) for t, v in x.items()) for c in n_c}
+    return out
+
+
+def test_naive_bayes_without_a_class_bound(spark):
+    """20,000 classes of which a document shares a term with few: the best of
+    the rest comes from the envelope; against all scores."""
+    rng = random.Random(11)
+    docs = [(i, Counter(rng.choices([f"t{i % 20_000}", f"u{rng.randrange(3000)}", "v"], k=rng.randint(1, 6))),
+             -1, i % 20_000) for i in range(24_000)]
+    docs += [(50_000 + i, Counter(rng.choices([f"t{i}", "never seen", f"u{i}", "v"], k=2)), 0, None) for i in range(60)]
+    docs += [(60_000, Counter(), 0, None), (60_001, Counter(), -1, 3), (60_002, Counter(["x"]), -1, None)]
+    tf = spark.createDataFrame([(d, t, n) for d, c, _, _ in docs for t, n in c.items()], "doc_id long, term string, tf long")
+    labels = spark.createDataFrame([(d[0], d[3]) for d in docs], "doc_id long, label int")
+    parts = spark.createDataFrame([(d[0], d[2]) for d in docs], "doc_id long, part int")
+    got = {r.doc_id: r for r in B.predict(tf, labels, parts).collect()}
+    want = _plain_bayes(docs, 1)
+    assert set(got) == set(want)
+    for d, scores in want.items():
+        best = max(scores.values())
+        assert abs(got[d].score - best) < 1e-9 and abs(scores[got[d].pred] - best) < 1e-9
+
+
+def test_naive_bayes_folds_against_the_plain_model(spark):
+    rng = random.Random(12)
+    docs = [(i, Counter(f"w{min(rng.randrange(40), rng.randrange(40))}" for _ in range(rng.randint(0, 12))), i % 3,
+             rng.choice(["a", "b", "c", None])) for i in range(90)]
+    tf = spark.createDataFrame([(d, t, n) for d, c, _, _ in docs for t, n in c.items()], "doc_id long, term string, tf long")
+    labels = spark.createDataFrame([(d[0], d[3]) for d in docs], "doc_id long, label string")
+    parts = spark.createDataFrame([(d[0], d[2]) for d in docs], "doc_id long, part int")
+    got = {r.doc_id: r for r in B.predict(tf, labels, parts, 3).collect()}
+    for d, scores in _plain_bayes(docs, 3).items():
+        assert abs(got[d].score - max(scores.values())) < 1e-9
+        assert got[d].pred == min(c for c, s in scores.items() if abs(s - max(scores.values())) < 1e-9)
+
+
+def test_upper_lines():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        n = int(rng.integers(1, 30))
+        prior, lnorm = rng.integers(-9, 0, n) / 2, rng.integers(1, 9, n) / 2
+        kept, begins = B.upper_lines(prior, lnorm, np.arange(n))
+        for x in rng.random(20) * 12 + 1e-3:
+            i = kept[int(np.searchsorted(begins, x, "right")) - 1]
+            assert prior[i] - lnorm[i] * x >= (prior - lnorm * x).max() - 1e-9
+
+
+def test_saved_model_scores_like_the_fitted_one(spark, tmp_path):
+    d = _docs(spark)
+    tf, parts = FE.term_counts(FE.tokens(d, "sk")), B.holdout_parts(SP.holdout_split(d.select("doc_id"), "doc_id", 0.3, 11))
+    x = B.weighted(tf, parts)
+    model = B.fit(x, d.select("doc_id", "label"), parts)
+    B.save_model(model, str(tmp_path / "m"))
+    new = spark.createDataFrame([(1, "zzzz unknown qqqq"), (2, ""), (3, d.first()["text"])], "doc_id long, text string")
+    tf_new = FE.term_counts(FE.tokens(new, "sk"))
+    got = [{r.doc_id: (r.pred, round(r.score, 9)) for r in B.score_documents(m, tf_new, new).collect()}
+           for m in (model, B.load_model(spark, str(tmp_path / "m")))]
+    assert got[0] == got[1] and set(got[0]) == {1, 2, 3} and got[0][1] == got[0][2]
+
+
+def test_svm_first_steps_against_numpy(spark):
+    rng = random.Random(13)
+    docs = [(i, {f"w{rng.randrange(9)}": float(rng.random()) for _ in range(5)}, i % 2, rng.choice("abc")) for i in range(40)]
+    rows = spark.createDataFrame([(d, p, t, v, 2 * v) for d, c, p, _ in docs for t, v in c.items()],
+                                 "doc_id long, part int, term string, x_0 double, x_1 double")
+    parts = spark.createDataFrame([(d[0], d[2]) for d in docs], "doc_id long, part int")
+    labels = spark.createDataFrame([(d[0], d[3]) for d in docs], "doc_id long, label string")
+    stats = rows.groupBy("term").agg(F.count("*").alias("df"))
+    x = B.Weighted(rows, stats, rows.count(), [20, 20], [9, 9])
+    terms, classes = ["", *[f"w{j}" for j in range(9)]], "abc"
+    dense = np.array([[1.0, *[d[1].get(t, 0.0) for t in terms[1:]]] for d in docs])
+    y = np.array([[1.0 if d[3] == c else -1.0 for c in classes] for d in docs])
+    _, weights, _ = S.fit(x, labels, parts, 2, steps=4, alpha=0.1)
+    got = {(r.term, r["class"]): (r.w_0, r.w_1) for r in weights.collect()}
+    for f in (0, 1):
+        train, own = np.array([d[2] != f for d in docs]), dense * ([1, *[1 + f] * 9])
+        w = np.zeros((len(terms), 3))
+        for t in range(1, 5):
+            active = (y * (own @ w) < 1) & train[:, None]
+            w = (1 - 1 / t) * w + own.T @ (y * active) / (0.1 * t * train.sum())
+        for i, term in enumerate(terms):
+            for j, c in enumerate(classes):
+                assert abs(got[term, c][f] - w[i, j]) < 1e-9
+
+
+def test_mllib_pipelines_run_and_reload(spark, tmp_path):
     d = _docs(spark)
     model = M.svm_pipeline().fit(d)
     pred = M.predicted_labels(model, d)
     acc = pred.join(d, "doc_id").select(F.avg((F.col("pred") == F.col("label")).cast("double"))).first()[0]
     assert acc >= 0.9
-    km = M.kmeans_sweep(d, [3, 5])
-    sizes = {r.k: r.n for r in km.groupBy("k").agg(F.countDistinct("cluster").alias("n")).collect()}
-    assert sizes[3] <= 3 and sizes[5] <= 5 and sizes[5] >= 2
+    M.save_model(model, str(tmp_path / "svm"))
+    again = M.predicted_labels(M.load_model(str(tmp_path / "svm")), d)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, pred.collect()))
+
+
+def test_kmeans_sweep(spark):
+    d = _docs(spark)
+    ks = [2, 5, 9, 14]
+    features = written(K.cluster_features(d), "test-features")
+    found = written(K.kmeans_sweep(d, ks, features=features), "test-clusters")
+    assert found.count() == len(ks) * d.count()
+    sizes = {r.k: r.n for r in found.groupBy("k").agg(F.countDistinct("cluster").alias("n")).collect()}
+    assert all(1 < sizes[k] <= k for k in ks)
+    cost = {r.k: r.cost for r in K.sweep_cost(found).collect()}
+    assert cost[2] > cost[5] > cost[9] > cost[14] > 0
+    plan = _plan(K.cluster_features(d))
+    assert plan.count("SinglePartition") <= 1  # only the numbering of the kept terms, which are few
+    one = K.kmeans_sweep(d, [5], features=features)
+    assert {(r.doc_id, r.cluster) for r in one.collect()} == {(r.doc_id, r.cluster) for r in found.where("k = 5").collect()}
+    wide = K.attach_clusters(d.select("doc_id"), found, ks)
+    assert wide.columns == ["doc_id", *[f"cluster_by_text_{k}" for k in ks]] and wide.count() == d.count()
+
+
+def test_lloyd_step_against_numpy(spark):
+    rng = np.random.default_rng(4)
+    x = rng.random((50, 6)) * (rng.random((50, 6)) < 0.6)
+    rows = [(i, np.flatnonzero(r).tolist(), r[r > 0].tolist()) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "doc_id long, i array<int>, x array<double>").repartition(4)
+    centres = {3: x[:3].copy(), 7: np.vstack([x[:6], x[:1]])}  # the seventh is never nearest
+    got = K.lloyd_step(df, centres, 6)
+    for k, c in centres.items():
+        own = np.argmin(((x[:, None] - c) ** 2).sum(2).round(9), axis=1)
+        for j in range(k):
+            want = x[own == j].mean(0) if (own == j).any() else c[j]
+            assert np.allclose(got[k][j], want)
+    assert K.groups_of([25, 26, 27], 100, 8 * 100 * 52) == [[25, 26], [27]]
+    assert K.groups_of([25, 26], 10**9) == [[25], [26]]
+
+
+def test_joins_on_terms_spread_common_ones(spark):
+    rows = spark.range(4000).selectExpr("id as doc_id", "array('hot', concat('w', id % 700)) as t").selectExpr(
+        "doc_id", "explode(t) as term")
+    stats = rows.groupBy("term").agg(F.count("*").alias("df"))
+    side = stats.selectExpr("term", "explode(array('a', 'b')) as class", "df * 2 as v").drop("df")
+    n = rows.count()
+    plain = rows.join(stats.selectExpr("term", "df as v"), "term")
+    got = TE.join_terms(rows, stats.withColumn("v", F.col("df")), n)
+    assert sorted(map(tuple, got.select("doc_id", "term", "v").collect())) == sorted(
+        map(tuple, plain.select("doc_id", "term", "v").collect()))
+    both = TE.join_salted(rows, side, stats, n, ["term"])
+    assert both.count() == 2 * n and both.where("term = 'hot'").count() == 8000
+    few = stats.where(TE.is_heavy(n, 2))
+    assert [r.term for r in few.collect()] == []
+    assert [r.term for r in stats.where(TE.is_heavy(n, 3)).collect()] == ["hot"]
+    plan = _plan(TE.join_terms(rows, stats.withColumn("v", F.col("df")), n))
+    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan  # the hot term's rows never reach the shuffle join
 
 
 def test_tagger_plan_has_no_single_partition_exchange(spark):
@@ -61,18 +235,12 @@ def test_feature_plans_stay_distributed(spark):
     tf = FE.term_counts(FE.tokens(d, "sk", clustered=True))
     assert "SinglePartition" not in _plan(FE.tfidf(tf, d.count()))
     roles = SP.holdout_split(d.select("doc_id"), "doc_id", 0.3, 11)
-    assert "SinglePartition" not in _plan(M.nb_predict(tf, d.select("doc_id", "label"), roles))
+    plan = _plan(B.predict(tf, d.select("doc_id", "label"), B.holdout_parts(roles))).splitlines()
+    # only Spark's own Bloom filters, sums of fixed size, meet in one task
+    assert all("bloom_filter_agg" in below for at, below in zip(plan, plan[1:]) if "SinglePartition" in at)
     toks = FE.tokens(d, "seq")
     vocab = FE.vocab_topk(toks)
     pad = FE.padded_sequences(toks, vocab, d.select("doc_id"), 50)
     pad.collect()
     assert "WindowGroupLimit" in _plan(pad)
     assert "TakeOrderedAndProject" in _plan(vocab)
-
-
-def test_svm_cross_validation(spark):
-    d = _docs(spark)
-    folds = SP.kfold(d.select("doc_id"), "doc_id", 3)
-    scores = M.cv_scores_mllib(M.svm_pipeline(), d, folds, 3).collect()
-    assert sorted(r.fold for r in scores) == [0, 1, 2]
-    assert sum(r.accuracy for r in scores) / 3 >= 0.7

@@ -83,7 +83,7 @@ def test_porter_published_examples():
     assert {w: porter(w) for w in pairs} == pairs
 
 
-def test_stem_columns_agree_with_sequential_stemmer(spark):
+def test_stems_agree_with_sequential_stemmer(spark):
     rnd = random.Random(5)
     suffixes = [s for s, _ in STEP2 + STEP3] + STEP4 + ["s", "sses", "ies", "ss", "eed", "ed", "ing", "y", "e", "ll", ""]
     words = {"", "y", "yy", "by", "sky", "caresses", "ponies", "agreed", "feed", "bled", "sing", "hopping", "falling",
