@@ -1,19 +1,26 @@
 """Exact top-k inner products over norm-sorted, SVD-rotated vectors.
 
 Vectors become integers floor(256 * x) and are cut into blocks of descending
-length.  Queries (a stated set, in blocks) meet every block of candidates.
+length, by their positions in that order, whatever the partitions.  Queries (a
+stated set; equal ones are searched once) are cut into blocks in the same way.
+A first round over the longest candidates gives every query a threshold, a score
+that it is known to reach k times.  By Cauchy-Schwarz a block of candidates can
+hold a better one for a block of queries only if its largest length is at least
+the least ratio of threshold and length among these queries; only such pairs of
+blocks are exchanged and compared.
+
 Inside a pair of blocks the candidates are read by descending length in
 tiles: a query is through as soon as the product of the lengths falls below
 its k-th best score; before that, products over the first coordinates of an
 SVD rotation plus the Cauchy-Schwarz bound of the residuals decide which
-candidates are scored exactly, in integers.  A first round over the longest
-candidates gives every query a threshold that all other blocks start with.
+candidates are scored exactly, in integers.
 
 The bounds are in floating point and get a margin; a candidate whose bound
 equals the threshold is scored, as ties go to the smaller id.  The rotation
 is fitted on a bounded sample (SAMPLE rows by hash) and cannot change results.
 Of equal vectors only the k + 1 smallest ids can be among a query's k best,
-so a very common vector is reduced before blocks are made.
+so a very common vector is reduced before blocks are made.  A query is searched
+for k + 1 rows, and its own id is taken out of these.
 
 Cases: null vectors and those with null or non-finite components take no
 part; vectors of different lengths count as filled up with zeros; rows equal
@@ -24,11 +31,8 @@ not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,12 +96,13 @@ class Best:
         np.maximum.at(self.floors, q[last], s[last])
 
 
-def search(queries: np.ndarray, own: np.ndarray, floors: np.ndarray, vectors: np.ndarray, ids: np.ndarray,
+def search(queries: np.ndarray, own: np.ndarray | None, floors: np.ndarray, vectors: np.ndarray, ids: np.ndarray,
            rotation: np.ndarray, k: int = TOP, tile: int = TILE, head: int = HEAD) -> Best:
     """The best of one block of candidates for one block of queries.
 
     ``floors``: a score that each query is known to reach k times (or a very
-    small number); candidates below it are not returned.
+    small number); candidates below it are not returned.  ``own``: an id that
+    is no candidate, for each query.
     """
     best = Best(len(queries), k, floors.copy())
     q, v = queries.astype(np.float64) @ rotation, vectors.astype(np.float64) @ rotation
@@ -113,8 +118,9 @@ def search(queries: np.ndarray, own: np.ndarray, floors: np.ndarray, vectors: np
         bound = q[live, :head] @ v[some, :head].T + np.outer(q_rest[live], v_rest[some])
         a, b = np.nonzero(bound + margin[live, None] >= best.floors[live, None])
         a, b = live[a], some[b]
-        other = own[a] != ids[b]
-        a, b = a[other], b[other]
+        if own is not None:
+            other = own[a] != ids[b]
+            a, b = a[other], b[other]
         for cut in range(0, len(a), 1 << 16):
             x, y = a[cut:cut + (1 << 16)], b[cut:cut + (1 << 16)]
             score = np.einsum("ij,ij->i", queries[x], vectors[y])
@@ -123,47 +129,56 @@ def search(queries: np.ndarray, own: np.ndarray, floors: np.ndarray, vectors: np
     return best
 
 
-def _pack(dims: int, rows: int):
-    """Packs a partition, in its order, into blocks of at most ``rows`` rows."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first, held, n, made = TaskContext.get().partitionId() << 20, [], 0, 0
-        for b in [*batches, None]:
-            if b is not None:
-                held.append(b)
-                n += len(b)
-            while n >= rows or (b is None and n):
-                every = pd.concat(held)
-                own, rest = every.iloc[:rows], every.iloc[rows:]
-                held, n = [rest], len(rest)
-                yield pd.DataFrame({"no": [first + made], "ids": [own["vec_id"].to_numpy(np.int64).tobytes()],
-                                    "vectors": [_stack(own["v"], dims).tobytes()]})
-                made += 1
-    return run
-
-
-def _blocks(rows: DataFrame, dims: int, per_block: int) -> DataFrame:
-    """Written blocks (no, ids, vectors); ``no`` counts up in the rows' order."""
-    return keep_table(rows.select("vec_id", "v").mapInPandas(
-        _pack(dims, per_block), "no long, ids binary, vectors binary"), "vector-blocks")
-
-
-def _meet(cand: DataFrame, asked: DataFrame, run, schema: str) -> DataFrame:
-    """``run`` on every pair of a block of candidates and a block of queries."""
-    # one number for each block; the pairs grow with queries times candidates, in blocks
-    c_no, q_no = ([r["no"] for r in t.select("no").collect()] for t in (cand, asked))
+def _blocks(rows: DataFrame, id_col: str, dims: int, per_block: int, parts: int) -> DataFrame:
+    """Written blocks (no, ids, vectors, top): ``no`` counts them by descending
+    length, ``top`` is a block's largest length.
+
+    Blocks come from positions in the order: the sorted partitions are written
+    with each row's place, their sizes (one number a partition) give offsets.
+    """
+    squares = F.aggregate("v", F.lit(0.0), lambda a, e: a + e.cast("double") * e.cast("double"))
+    order = [F.desc("length"), F.col(id_col)]
+    placed = keep_table(rows.select(F.col(id_col), "v").withColumn("length", F.sqrt(squares)).repartitionByRange(
+        parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "placed-vectors")
+    sizes = sorted(placed.groupBy(F.shiftright("_at", 33).alias("part")).count().collect())
+    starts, n = [], 0
+    for part, size in sizes:
+        starts.append((part, n))
+        n += size
+    offsets = placed.sparkSession.createDataFrame(starts, "_part long, _first long")
+    no = F.floor((F.col("_first") + F.col("_at").bitwiseAND((1 << 33) - 1)) / per_block).cast("long")
+    numbered = placed.withColumn("_part", F.shiftright("_at", 33)).join(F.broadcast(offsets), "_part").select(
+        no.alias("no"), F.col(id_col).alias("id"), "v", "length")
+
+    def pack(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
+        t = t.sort_values(["length", "id"], ascending=[False, True])
+        return pd.DataFrame({"no": [key[0]], "ids": [t["id"].to_numpy(np.int64).tobytes()],
+                             "vectors": [_stack(t["v"], dims).tobytes()], "top": [t["length"].iloc[0]]})
+
+    return keep_table(numbered.groupBy("no").applyInPandas(pack, "no long, ids binary, vectors binary, top double"),
+                      "vector-blocks")
+
+
+def _meet(pairs: DataFrame, cand: DataFrame, asked: DataFrame, n_pairs: int, run, schema: str) -> DataFrame:
+    """``run`` on the given pairs (c, q) of a block of candidates and a block of queries."""
     none = F.lit(None).cast("binary")
-    each = lambda numbers: F.explode(F.array(*[F.lit(x).cast("long") for x in numbers]))
-    if not c_no or not q_no:
-        return cand.sparkSession.createDataFrame([], schema)
-    cells = cand.select(F.col("no").alias("c"), each(q_no).alias("q"), "ids", "vectors", none.alias("floors")) \
-        .unionByName(asked.select(each(c_no).alias("c"), F.col("no").alias("q"), "ids", "vectors", "floors"))
+    cells = pairs.join(cand.select(F.col("no").alias("c"), "ids", "vectors", none.alias("floors")), "c").select(
+        "c", "q", "ids", "vectors", "floors").unionByName(
+        pairs.join(asked.select(F.col("no").alias("q"), "ids", "vectors", "floors"), "q").select(
+            "c", "q", "ids", "vectors", "floors"))
 
     def pair(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
         ours = t["floors"].notna()
         return run(key, t[ours].iloc[0], t[~ours].iloc[0])
 
-    return cells.repartition(min(MAX_TASKS, len(c_no) * len(q_no)), "c", "q").groupBy("c", "q").applyInPandas(
-        pair, schema)
+    return cells.repartition(max(1, min(MAX_TASKS, n_pairs)), "c", "q").groupBy("c", "q").applyInPandas(pair, schema)
+
+
+def block_pairs(tops: list[float], need: list[tuple[int, float]]) -> list[tuple[int, int]]:
+    """(query block, number of candidate blocks that can hold a better one);
+    ``tops`` descend, so these are the first ones."""
+    fall = -np.array(tops)
+    return [(q, int(np.searchsorted(fall, -(x - 1e-6 * abs(x) - 1e-6), "right"))) for q, x in need]
 
 
 def top_products(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -172,38 +187,56 @@ def top_products(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vect
 
     ``queries`` has the columns of ``df``.
     """
+    spark = df.sparkSession
     own = keep_table(integer_vectors(df, id_col, vector_col), "integer-vectors")
     asked = keep_table(integer_vectors(queries, id_col, vector_col), "queries")
+    out = "query_id long, rank int, vec_id long, score long"
     dims, n = own.unionByName(asked).agg(F.coalesce(F.max(F.size("v")), F.lit(0)), F.count("*")).first()
+    n_asked = asked.count()
+    if not n or not n_asked:
+        return spark.createDataFrame([], out)
     sample = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
     rotation = fit_rotation(_stack(sample["v"], dims))
     # of equal vectors the k + 1 smallest ids: a query may be one of them
     least = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
-    length = F.aggregate("v", F.lit(0.0), lambda a, e: a + e.cast("double") * e.cast("double"))
-    distinct = own.withColumn("_n", least).where(f"_n <= {k + 1}").withColumn("length", length)
-    cand = _blocks(distinct.repartitionByRange(block_count(n, block), F.desc("length"), "vec_id")
-                   .sortWithinPartitions(F.desc("length"), "vec_id"), dims, block)
-    ask = _blocks(asked.repartition(block_count(asked.count(), query_block), "vec_id"), dims, query_block)
+    cand = _blocks(own.withColumn("_n", least).where(f"_n <= {k + 1}"), "vec_id", dims, block, block_count(n, block))
+    # equal queries are one, under the least of their ids; two vectors may share it
+    alike = keep_table(asked.groupBy("v").agg(F.min("vec_id").alias("least")).withColumn(
+        "number", F.monotonically_increasing_id()), "distinct-queries")
+    ask = _blocks(alike, "number", dims, query_block, block_count(n_asked, query_block))
+    tops = [r["top"] for r in cand.select("no", "top").orderBy("no").collect()]  # one number a block
     unset = np.full(query_block, -(1 << 62), np.int64).tobytes()
     ask = ask.withColumn("floors", F.lit(unset))
 
-    def best_of(ask: pd.Series, cand: pd.Series) -> tuple[np.ndarray, Best]:
-        qs, own_ids = _matrix(ask["vectors"], dims), np.frombuffer(ask["ids"], np.int64)
-        floors = np.frombuffer(ask["floors"], np.int64)[:len(own_ids)]
-        return own_ids, search(qs, own_ids, floors, _matrix(cand["vectors"], dims),
-                               np.frombuffer(cand["ids"], np.int64), rotation, k)
+    def best_of(ask: pd.Series, cand: pd.Series) -> tuple[np.ndarray, Best, np.ndarray]:
+        qs, numbers = _matrix(ask["vectors"], dims), np.frombuffer(ask["ids"], np.int64)
+        floors = np.frombuffer(ask["floors"], np.int64)[:len(numbers)]
+        return numbers, search(qs, None, floors, _matrix(cand["vectors"], dims),
+                               np.frombuffer(cand["ids"], np.int64), rotation, k + 1), qs
 
     def floors_of(key: tuple, ask: pd.Series, cand: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({"no": [key[1]], "floors": [best_of(ask, cand)[1].floors.tobytes()]})
+        _, best, qs = best_of(ask, cand)
+        size = np.sqrt((qs.astype(np.float64) ** 2).sum(1))
+        need = np.where(size > 0, best.floors / np.maximum(size, 1e-300), np.where(best.floors > 0, np.inf, -np.inf))
+        return pd.DataFrame({"no": [key[1]], "floors": [best.floors.tobytes()], "need": [float(need.min())]})
 
     def hits_of(key: tuple, ask: pd.Series, cand: pd.Series) -> pd.DataFrame:
-        ids, best = best_of(ask, cand)
-        return pd.DataFrame({"q": key[1], "row": best.query, "query_id": ids[best.query], "vec_id": best.ids,
-                             "score": best.score})
+        numbers, best, _ = best_of(ask, cand)
+        return pd.DataFrame({"number": numbers[best.query], "vec_id": best.ids, "score": best.score})
+
+    def with_blocks(counts: list[tuple[int, int]]) -> DataFrame:
+        return spark.createDataFrame([(q, m) for q, m in counts if m], "q long, m long").select(
+            "q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)).alias("c"))
 
-    longest = cand.orderBy("no").limit(1)
-    floors = _meet(longest, ask, floors_of, "no long, floors binary")
+    numbers = [r["no"] for r in ask.select("no").collect()]
+    floors = _meet(with_blocks([(q, 1) for q in numbers]), cand, ask, len(numbers), floors_of,
+                   "no long, floors binary, need double")
     ask = keep_table(ask.drop("floors").join(floors, "no"), "query-blocks")
-    hits = _meet(cand, ask, hits_of, "q long, row long, query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("q", "row").orderBy(F.desc("score"), "vec_id"))
-    return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    counts = block_pairs(tops, [(r["no"], r["need"]) for r in ask.select("no", "need").collect()])
+    hits = _meet(with_blocks(counts), cand, ask, sum(m for _, m in counts), hits_of, "number long, vec_id long, score long")
+    first = F.row_number().over(Window.partitionBy("number").orderBy(F.desc("score"), "vec_id"))
+    best = hits.withColumn("_n", first).where(f"_n <= {k + 1}")
+    found = asked.join(alike, "v").select(F.col("vec_id").alias("query_id"), "number").join(best, "number").where(
+        "query_id <> vec_id")
+    rank = F.row_number().over(Window.partitionBy("query_id", "number").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).where(f"rank <= {k}").select("query_id", "rank", "vec_id", "score")

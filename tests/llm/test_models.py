@@ -49,17 +49,41 @@ def test_language_edge_cases(spark):
     assert nothing.predict("the") == ("und", 0.0, False)
 
 
-def test_features_do_not_depend_on_chunks(monkeypatch):
-    text = "Ab cÉd  12 e.f " * 50
-    whole = language_id.features(text)
-    plain = Counter()
-    body = " "
+def plain_features(text):
+    body, counts = " ", Counter()
     for c in text.lower():
         c = c if c.isalpha() else " "
         body += c if c != " " or body[-1] != " " else ""
     for n in range(1, language_id.ORDERS + 1):
-        plain[n] = len(body) - n + 1
-    assert whole.sum() == sum(plain.values())
+        for at in range(len(body) - n + 1):
+            h = 0
+            for j, c in enumerate(body[at:at + n]):
+                h = (h * 0x01000193 ^ (ord(c) * 0x9E3779B1 + j)) & 0xFFFFFFFF
+            counts[(h ^ h >> 15) & (language_id.BUCKETS - 1)] += 1
+    return counts
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 5, 64, 1 << 20])
+def test_features_do_not_depend_on_chunks(monkeypatch, chunk):
+    monkeypatch.setattr(language_id, "CHUNK", chunk)
+    for text in ("Ab cÉd  12 e.f " * 9, "x", "1 a", "ΑΣ ΟΔΟΣ  日本", "a" * 70 + " " * 70 + "b"):
+        found = language_id.features(text)
+        assert {int(i): int(found[i]) for i in np.flatnonzero(found)} == plain_features(text)
+    assert language_id.features("12 .") is None
+
+
+def test_predictions_against_plain_sums(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.where(~language_id.held_out()))
+    got = {r.doc_id: r for r in language_id.predict_languages(docs, model).collect()}
+    for d in docs.collect()[::5]:
+        counts = plain_features(d.text)
+        raw = [sum(n * float(model.scores[i, j]) for i, n in counts.items()) / sum(counts.values()) + model.bias[j]
+               for j in range(len(model.languages))]
+        p = np.exp(np.array(raw) / model.temperature)
+        p /= p.sum()
+        assert got[d.doc_id].lang_pred == model.languages[int(p.argmax())]
+        assert abs(got[d.doc_id].score - p.max()) < 1e-4 and got[d.doc_id].accepted == (p.max() >= model.threshold)
 
 
 # ---- quality -------------------------------------------------------------------
@@ -160,6 +184,24 @@ def test_top_products_match_brute_force(spark, block, query_block):
     assert Counter(map(tuple, got)) == plain_top(vectors)
 
 
+def test_top_products_over_many_partitions(spark):
+    rng = random.Random(10)
+    vectors = [(i, [float(np.float32(rng.gauss(0, 1) * (1 + i % 7))) for _ in range(6)]) for i in range(500)]
+    vectors += [(1000 + i, [1.0, 2.0, 0.0, 0.0, 0.0, 0.0]) for i in range(150)] + [(-1, [3.0] * 6), (-50, [0.0] * 6)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(211)
+    got = top_products.top_products(df, df.where("vec_id % 50 = 0"), block=100, query_block=4)
+    assert Counter(map(tuple, got.collect())) == plain_top(vectors)
+
+
+def test_blocks_follow_positions_and_pairs_are_dropped(spark):
+    rows = spark.range(1000).selectExpr("id as vec_id", "array(id * 3, 0L) as v").repartition(40)
+    blocks = sorted(top_products._blocks(rows, "vec_id", 2, 300, 37).collect())
+    assert [b.no for b in blocks] == [0, 1, 2, 3] and [len(b.ids) // 8 for b in blocks] == [300, 300, 300, 100]
+    assert [b.top for b in blocks] == [2997.0, 2097.0, 1197.0, 297.0]
+    need = [(0, 2500.0), (1, 1197.0), (2, -1e18), (3, 1e9)]
+    assert top_products.block_pairs([b.top for b in blocks], need) == [(0, 1), (1, 3), (2, 4), (3, 0)]
+
+
 def test_few_or_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, -1.0]), (2, [-1.0, 0.0])], schema)
