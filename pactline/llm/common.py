@@ -40,3 +40,10 @@ def word_count(text: Column) -> Column:
 def block_count(rows: int, per_block: int) -> int:
     """Blocks of at most about ``per_block`` rows each; 1 for an empty table."""
     return max(1, -(-rows // per_block))
+
+
+def in_row_order(docs: DataFrame, row: str = "row") -> list[Column]:
+    """The columns of ``docs``, held in the struct ``row``, that rows can be
+    ordered by: all but those with maps or variants."""
+    plain = [F.col(row).getField(name) for name, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    return plain or [F.lit(0)]

@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 BUCKETS, WIDTH, ORDERS = 1 << 12, 16, 3
 #: Bound on the labelled texts of a language used for training and calibration.
 PER_LANGUAGE = 1500
+#: Bound on those of all languages together: with more than 40 languages each gives fewer.
+MOST_ROWS = 60_000
 CALIBRATION, REJECT, EPOCHS, RATE, BATCH, SEED = 0.2, 0.01, 40, 20.0, 32, 7
 #: Code points turned into features at a time.
 CHUNK = 1 << 20
@@ -48,13 +50,13 @@ def _is_letter() -> np.ndarray:
 def features(text: str) -> np.ndarray | None:
     """Counts of the hashed n-grams of a whole text; None without a letter."""
     counts, letters = np.zeros(BUCKETS, np.int64), _is_letter()
-    carry, found = np.full(1, 32, np.uint32), False
+    text = text.lower()
+    carry, known, found = np.full(1, 32, np.uint32), 0, False  # known: code points of the carry counted before
     for at in range(0, len(text), CHUNK):
-        code = np.frombuffer(text[at:at + CHUNK].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        code = np.frombuffer(text[at:at + CHUNK].encode("utf-32-le", "surrogatepass"), np.uint32)
         mask = letters[code]
         found = found or bool(mask.any())
-        code = np.where(mask, code, np.uint32(32))
-        code = np.concatenate((carry, code))
+        code = np.concatenate((carry, np.where(mask, code, np.uint32(32))))
         keep = np.ones(len(code), bool)
         keep[1:] = (code[1:] != 32) | (code[:-1] != 32)
         code = code[keep]
@@ -62,8 +64,10 @@ def features(text: str) -> np.ndarray | None:
         for n in range(ORDERS):
             own = code[n:] if n else code
             grams = (grams[:len(own)] * np.uint32(0x01000193)) ^ (own * np.uint32(0x9E3779B1) + np.uint32(n))
-            counts += np.bincount((grams ^ (grams >> np.uint32(15))) & np.uint32(BUCKETS - 1), minlength=BUCKETS)
+            new = grams[max(0, known - n):]  # those that end behind the carry
+            counts += np.bincount((new ^ (new >> np.uint32(15))) & np.uint32(BUCKETS - 1), minlength=BUCKETS)
         carry = code[-ORDERS:]
+        known = len(carry)
     return counts if found else None
 
 
@@ -141,6 +145,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     counts = {r["_lang"]: r["count"] for r in known.groupBy("_lang").count().collect()}
     if not counts:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0))
+    per_language = min(per_language, MOST_ROWS // len(counts) + 1)
     share = F.create_map(*[F.lit(x) for v, n in sorted(counts.items()) for x in (v, min(1.0, per_language / n))])
     unit = F.pmod(F.xxhash64(F.lit("train"), F.col("id")), F.lit(1_000_003)) / 1_000_003
     drawn = known.where(unit < F.element_at(share, F.col("_lang")))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pactline.llm.common import ascii_lower, block_count, keep_table
+from pactline.llm.common import ascii_lower, block_count, in_row_order, keep_table
 
 #: Digests per shard: one shard is built and read in one task.
 SHARD = 1 << 16
@@ -187,11 +187,12 @@ def drop_repeats(docs: DataFrame, own: DataFrame, index: DataFrame, id_col: str
     """The rows of ``docs`` that stay, with all their columns; ``own``: their digests.
 
     Rows meet their keeper on (digest, id), so copies of one text spread over
-    the tasks by their ids.
+    the tasks by their ids.  Of rows alike in both, the first by the columns
+    stays (columns with maps are not looked at).
     """
     keepers = find_keepers(own, index).select(F.col("sha").alias("_sha"), F.col("keep").alias("_id"))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"),
                        digest(F.col(text_col)).alias("_sha"), F.struct("*").alias("row"))
-    same = Window.partitionBy("_sha", "_id").orderBy("row")
+    same = Window.partitionBy("_sha", "_id").orderBy(*in_row_order(docs))
     kept = rows.join(keepers, ["_sha", "_id"], "left_semi").withColumn("_n", F.row_number().over(same))
     return kept.where("_n = 1").select("row.*")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pactline.llm.common import block_count, keep_table
+from pactline.llm.common import block_count, in_row_order, keep_table
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Fingerprints in a block (one task compares two blocks) and in a tile.
@@ -261,7 +261,8 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Where an id stands for several fingerprints, its rows are told apart by
     them, so each component gets a row of its own.  Rows that share the least
-    id, and a component without any id, give their first row by the columns.
+    id, and a component without any id, give their first row by the columns
+    (columns with maps are not looked at).
     """
     own = keep_table(fingerprints(docs, id_col, text_col, words), "fingerprints")
     named = _named(own, radius)
@@ -269,7 +270,7 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
                        F.struct("*").alias("row"))
 
     def first(found: DataFrame, key: str) -> DataFrame:
-        n = F.row_number().over(Window.partitionBy(key).orderBy("row"))
+        n = F.row_number().over(Window.partitionBy(key).orderBy(*in_row_order(docs)))
         return found.withColumn("_n", n).where("_n = 1").select("row.*")
 
     # (_id, fp, root, many): the least id of each component with its fingerprints there; many: it has others too

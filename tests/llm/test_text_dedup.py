@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 from docs import DOCS, frame, rows
+from pyspark.sql import functions as F
 
 from pactline.llm import mph_dedup, simhash
 
@@ -182,3 +183,15 @@ def test_many_blocks_give_the_same_links(spark):
     for block in (3, 1 << 15):
         roots = {r.u: r.root for r in simhash.components(simhash.find_links(df, block=block)).collect()}
         assert {f: roots.get(f, f) for f in fps} == comp
+
+
+def test_extra_columns_with_maps(spark):
+    docs = frame(spark).withColumn("more", F.create_map(F.lit("a"), F.col("n_chars"))).withColumn("a.b", F.lit(1))
+    own = mph_dedup.digests(docs)
+    plain = frame(spark)
+    for with_map, without in (
+            (mph_dedup.drop_repeats(docs, own, mph_dedup.build_index(own)),
+             mph_dedup.drop_repeats(plain, own, mph_dedup.build_index(own))),
+            (simhash.keep_representatives(docs), simhash.keep_representatives(plain))):
+        assert with_map.columns == docs.columns
+        assert Counter(map(tuple, with_map.select(*plain.columns).collect())) == Counter(map(tuple, without.collect()))
