@@ -7,45 +7,16 @@ SQL of the same query where SQL can express it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactline.functions import text as T
 from pactline.operators import lines as L
 from pactline.operators import lists, tagger, tree
 from pactline.plans import oracle as O
+from pactline.plans.registry import C_TAG, C_TREE, D_SRC, D_TAG, ORACLE, QUERIES, RENDER_SQL, register  # noqa: F401
 from pactline.sources.contracts import contracts
 from pactline.sources.tables import documents
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(key: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[key] = fn
-        if sql is not None:
-            ORACLE[key] = sql
-        return fn
-    return deco
-
-
-C_TAG = O.tag_chain(O.contracts_src())
-C_TREE = O.tag_chain(O.contracts_src(), tree=True)
-D_SRC = [f"""
-dlines AS (
-  SELECT doc_id, unnest(range(len(parts))) AS pos, unnest(parts) AS line
-  FROM (SELECT doc_id,
-               CASE WHEN string_split_regex(text, {O.q(L.P.LINEBREAK)})[-1] = ''
-                    THEN string_split_regex(text, {O.q(L.P.LINEBREAK)})[1:-2]
-                    ELSE string_split_regex(text, {O.q(L.P.LINEBREAK)}) END AS parts
-        FROM documents)
-)""", "src AS (SELECT doc_id, CAST(pos AS INTEGER) AS pos, line FROM dlines)"]
-D_TAG = O.tag_chain(D_SRC)
-
-
 # --- B: lines and predicates ---------------------------------------------------
 
 @register("split_lines", O.with_(*D_SRC) + "SELECT doc_id, pos, line FROM src")
@@ -150,12 +121,6 @@ def q_tag_marks(spark, sf):
                     tagger.tag_mark_close("tag").alias("cl"), tagger.tag_wrap("line", "tag").alias("wrapped"))
 
 
-RENDER_SQL = f"""
-CASE WHEN tag IS NOT NULL AND bits >= 2
-     THEN regexp_replace(CASE WHEN bits % 2 = 1 THEN '<' || tag || '> ' || line ELSE line END,
-                         {O.q(L.P.WS + '+$')}, '') || ' </' || tag || '>'
-     WHEN tag IS NOT NULL AND bits % 2 = 1 THEN '<' || tag || '> ' || line
-     ELSE line END"""
 
 
 @register("render_lines", O.with_(*C_TAG) + f"SELECT doc_id, i, {RENDER_SQL} AS rendered FROM tagged")

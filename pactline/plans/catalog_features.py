@@ -21,7 +21,7 @@ from pactline.operators import tagger
 from pactline.operators.segments import materialize
 from pactline.operators.stems import stem_vocab
 from pactline.plans import oracle as O
-from pactline.plans.catalog import C_TAG, register
+from pactline.plans.registry import C_TAG, register
 from pactline.sources.contracts import contracts
 from pactline.sources.tables import documents, table
 

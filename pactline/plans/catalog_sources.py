@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pactline.operators import tagger
 from pactline.operators.lines import document_lines
 from pactline.plans import oracle as O
-from pactline.plans.catalog import C_TAG, D_TAG, RENDER_SQL, register
+from pactline.plans.registry import C_TAG, D_TAG, RENDER_SQL, register
 from pactline.plans.catalog_features import WORDVEC_CTES, _word_vectors
 from pactline.sources import corpus as C
 from pactline.sources import records as R

@@ -9,8 +9,9 @@ needs Python, run per Arrow batch.
 
 from __future__ import annotations
 
-import html as html_entities
+import html.entities as html_entities
 import io
+import re
 import uuid
 import zipfile
 import zlib
@@ -45,24 +46,78 @@ def corpus_scan(spark: SparkSession, folder: str, extensions=EXTENSIONS, count:
     """A1: (path, modificationTime, length, content) of matching files, recursive.
 
     A missing folder raises.  ``count`` > 0 keeps the first files by path
-    (the reference's order is the file system's listing order).
+    (the reference's order is the file system's listing order): these are
+    found among the paths alone, and only their contents are read.
     """
     glob = "*.{" + ",".join(e.lstrip(".") for e in extensions) + "}"
-    df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", glob).load(folder))
-    return df.orderBy("path").limit(count) if count and count > 0 else df
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    df = files.load(folder)
+    if not count or count < 0:
+        return df
+    first = [r["path"] for r in df.select("path").orderBy("path").limit(count).collect()]
+    return files.load([_no_glob(p) for p in first]) if first else df.limit(0)
+
+
+def _no_glob(path: str) -> str:
+    """A path that the reader takes as it is."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
 def html_to_text(html: Column | str) -> Column:
     """A3: text nodes of a page joined with no separator (comments, script,
-    style and doctype dropped), then all named and numeric entities decoded.
-
-    Markup goes in the JVM; only texts that hold an ``&`` are sent to the
-    decoder, a batch at a time."""
+    style and doctype dropped), then all named and numeric entities decoded."""
     h = F.col(html) if isinstance(html, str) else html
-    t = F.regexp_replace(h, HTML_DROP, "")
-    decode = F.pandas_udf(lambda s: s.map(html_entities.unescape, na_action="ignore").astype(object), "string")
-    return F.coalesce(decode(F.when(t.contains("&"), t)), t)
+    return decode_entities(F.regexp_replace(h, HTML_DROP, ""))
+
+
+#: HTML's named character references, with and without the final semicolon: the standard library's table.
+ENTITIES = html_entities.html5
+#: Numbers that stand for another character, and those that stand for none, as HTML defines them.
+REPLACED = {0: "\ufffd", 13: "\r", **{n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}}
+NO_CHARACTER = [*range(1, 9), 11, *range(14, 32), *range(127, 160), *range(0xFDD0, 0xFDF0),
+                *[n for p in range(17) for n in (0x10000 * p + 0xFFFE, 0x10000 * p + 0xFFFF)]]
+
+
+def _pairs(table: dict) -> Column:
+    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+
+
+def decode_entities(text: Column) -> Column:
+    """Every character reference of a text decoded as HTML does it, without leaving the JVM.
+
+    The text is split at ``&``; what stands behind one is a number, a name of
+    the table, or begins with one of the old names that need no semicolon (the
+    longest counts); else the ``&`` stays.
+    """
+    old = sorted((n for n in ENTITIES if not n.endswith(";")), key=lambda n: (-len(n), n))
+
+    def one(part: Column) -> Column:
+        number = F.regexp_extract(part, r"^#([0-9]+|[xX][0-9a-fA-F]+);?", 1)
+        of_number = F.regexp_extract(part, r"^(#(?:[0-9]+|[xX][0-9a-fA-F]+);?)", 1)
+        digits = F.regexp_replace(F.regexp_replace(number, "^[xX]", ""), "^0+(?=.)", "")
+        # ten digits are beyond the last code point in either base
+        value = F.when(F.length(digits) > 9, F.lit(0x110000)).otherwise(
+            F.conv(digits, 10, 10).cast("long"))
+        value = F.when(F.rlike(number, F.lit("^[xX]")), F.when(F.length(digits) > 9, F.lit(0x110000)).otherwise(
+            F.conv(digits, 16, 10).cast("long"))).otherwise(value)
+        char = F.decode(F.unhex(F.lpad(F.hex(value), 8, "0")), "UTF-32")
+        char = F.coalesce(
+            F.element_at(_pairs(REPLACED), value.cast("int")),
+            F.when(((value >= 0xD800) & (value <= 0xDFFF)) | (value > 0x10FFFF), F.lit("\ufffd")),
+            F.when(value.isin(NO_CHARACTER), F.lit("")), char)
+        name = F.regexp_extract(part, "^([^\t\n\f <&#;]{1,32};?)", 1)
+        whole = F.element_at(_pairs(ENTITIES), name)
+        begin = F.regexp_extract(part, "^(" + "|".join(old) + ")", 1)
+        rest = lambda taken: F.substring(part, F.length(taken) + 1, F.length(part))
+        return F.when(number != "", F.concat(char, rest(of_number))).when(
+            whole.isNotNull(), F.concat(whole, rest(name))).when(
+            begin != "", F.concat(F.element_at(_pairs(ENTITIES), begin), rest(begin))).otherwise(
+            F.concat(F.lit("&"), part))
+
+    parts = F.split(text, "&")
+    decoded = F.concat(F.element_at(parts, 1), F.array_join(
+        F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), one), ""))
+    return F.when(text.contains("&"), decoded).otherwise(text)
 
 
 def _docx_text(data: bytes) -> str | None:
@@ -108,7 +163,7 @@ def docx_to_text(files: DataFrame) -> DataFrame:
 
 
 def read_text(files: DataFrame) -> DataFrame:
-    """A2: (path, doc_id, text, status) per file.
+    """A2: (path, text, status) per file; the path is the key.
 
     Strict UTF-8 (an invalid file gets ``error_decode``), byte-order mark
     kept, universal newlines (``\\r\\n`` and ``\\r`` become ``\\n``); .html
@@ -119,15 +174,15 @@ def read_text(files: DataFrame) -> DataFrame:
     text = F.regexp_replace(raw, "\r\n?", "\n")
     is_docx, is_html = F.col("path").endswith(".docx"), F.col("path").endswith(".html")
     # one pass: only the bytes of .docx files go to Python
-    out = files.select("path", F.xxhash64("path").alias("doc_id"), F.when(valid, text).alias("text0"),
+    out = files.select("path", F.when(valid, text).alias("text0"),
                        valid.alias("valid"), _docx_column(F.when(is_docx, F.col("content"))).alias("docx_text"))
     txt = (F.when(is_docx, F.col("docx_text"))
-            .when(is_html, html_to_text("text0"))
+            .when(is_html, html_to_text(F.when(is_html, F.col("text0"))))
             .otherwise(F.col("text0")))
     status = (F.when(is_docx & F.col("docx_text").isNull(), F.lit("error_decode"))
                .when(~is_docx & ~F.col("valid"), F.lit("error_decode"))
                .otherwise(F.lit("ok")))
-    return out.select("path", "doc_id", txt.alias("text"), status.alias("status"))
+    return out.select("path", txt.alias("text"), status.alias("status"))
 
 
 def out_name(path: Column | str) -> Column:

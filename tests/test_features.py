@@ -107,6 +107,50 @@ def test_html_to_text(spark):
     assert _one(spark, C.html_to_text(F.col("x")), entities) == "A\xa0B \u2019x\u2019 \u2014 \u201cq\u201d &lt; no"
 
 
+ENTITIES = ["&amp;", "&lt", "&ltx", "&notit;", "&notin;", "&NotEqualTilde;", "&copy", "&copyx;", "&nosuch;", "&", "&&amp;",
+            "&;", "& amp;", "&#65;", "&#65", "&#065x", "&#x41;", "&#X41", "&#x;", "&#;", "&#0;", "&#13;", "&#128;", "&#x80;",
+            "&#150", "&#129;", "&#xD800;", "&#x10FFFF;", "&#x110000;", "&#99999999999999999999;", "&#x1F600;", "&#1;", "&#xFDD0;",
+            "&#12;", "&#127;", "&quot;&apos;", "&ThickSpace;", "&amp;lt;", "&AMP", "&Uuml;ber", "&frac12;", "&frac12", "&sup1",
+            "&there4;", "&ac;E;", "&bne;", "&#x0000000000041;", "&nbsp;x&nbsp", "&#xfffe;", "&ampamp;", "&#65;&#66;", "&lang"]
+
+
+def test_entities_are_decoded_as_the_standard_library_does(spark):
+    import html
+    import html.entities
+    rnd = random.Random(3)
+    names = list(html.entities.html5)
+    texts = ENTITIES + [f"a &{n} b&{n}c" for n in names] + [
+        "".join(rnd.choice(ENTITIES + ["x", " ", ";", "amp;", "#", "\n"]) for _ in range(9)) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,), ("",)], "t string")
+    got = {r.t: r.d for r in df.select("t", C.decode_entities(F.col("t")).alias("d")).collect()}
+    assert {t: d for t, d in got.items() if t and d != html.unescape(t)} == {}
+    assert got[None] is None and got[""] == ""
+    files = spark.createDataFrame([], "path string, content binary")
+    plan = C.read_text(files)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "pythonUDF0" in plan  # the .docx bytes alone
+
+
+def test_a_count_limits_what_is_read(spark, tmp_path):
+    for name in ("b.txt", "a [1]{x}*.txt", "c.txt", "sub/a.txt", "d.csv"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(name)
+    found = C.corpus_scan(spark, str(tmp_path), (".txt",), count=3)
+    assert sorted(bytes(r.content).decode() for r in found.collect()) == ["a [1]{x}*.txt", "b.txt", "c.txt"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in plan and "Limit" not in plan
+    assert len(found.inputFiles()) == 3
+    assert C.corpus_scan(spark, str(tmp_path), (".txt",), count=99).count() == 4
+    assert C.corpus_scan(spark, str(tmp_path), (".docx",), count=2).count() == 0
+
+
+def test_catalogs_import_alone():
+    import subprocess
+    import sys
+    root = str(__import__("pathlib").Path(__file__).resolve().parent.parent)
+    for name in ("catalog_features", "catalog_sources", "catalog"):
+        subprocess.run([sys.executable, "-c", f"import pactline.plans.{name}"], cwd=root, check=True, timeout=120)
+
+
 def test_docx_and_corpus_roundtrip(spark, tmp_path):
     import io
     import zipfile
