@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words in a generation of the memory, and the longest word that is kept.
-GENERATION, LONGEST_KEPT = 1 << 19, 64
+GENERATION, LONGEST_KEPT = 3 << 17, 64
 #: New words encoded as one text.
 TOGETHER = 256
 #: Marks a word that cannot be told apart from its neighbours (never ids: not a multiple of four bytes).

@@ -38,7 +38,7 @@ CAPACITY, END_ID, VOCABULARY = 2048, 1, "byte_bpe_50k.json"
 #: Rests are cut to full class lengths up to this class.
 FINE = 16
 #: Bytes of text encoded, and given out as one batch, at a time.
-BATCH_BYTES = 1 << 23
+BATCH_BYTES = 1 << 22
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, "
           "class int")
