@@ -85,9 +85,10 @@ def _status(first_blank: Column, any_cont: Column) -> Column:
              .otherwise(F.lit(OK)))
 
 
-def _keep(first: Column) -> Column:
+def _keep(first: Column, failed: bool = False) -> Column:
+    """Lines that stay; with ``failed`` a failing document keeps its first line."""
     return (F.when(F.col("status") == OK, ~F.col("blank")).when(F.col("status") == COLLAPSED, first)
-             .otherwise(F.lit(False)))
+             .otherwise(first if failed else F.lit(False)))
 
 
 def _raw_summary(x: DataFrame) -> DataFrame:
@@ -121,24 +122,31 @@ def _single_chunk(x: DataFrame) -> DataFrame:
                                           F.max("cont").over(whole)))
 
 
-def _norm_single(x: DataFrame) -> DataFrame:
-    """Documents inside one chunk: windows and one aggregate, no join, no further exchange."""
-    y = x.where(_keep(F.col("first")))
+def _norm_single(x: DataFrame, failed: bool = False) -> DataFrame:
+    """Documents inside one chunk: windows and one aggregate, no join, no further exchange.
+
+    With ``failed`` the lines carry the document's status, and a failing
+    document is its first line.
+    """
+    y = x.where(_keep(F.col("first"), failed))
     g = F.sum((~F.col("cont") | F.col("first")).cast("int")).over(S.running("pos"))
-    groups = y.select(*S.KEYS, "pos", "line", g.alias("g")).groupBy(*S.KEYS, "g")
-    return groups.agg(S.ordered_concat("pos", "line").alias("line")).select(
-        *S.KEYS, (F.col("g") - 1).cast("int").alias("i"), "line", "g")
+    more = ["status"] if failed else []
+    groups = y.select(*S.KEYS, "pos", "line", g.alias("g"), *more).groupBy(*S.KEYS, "g")
+    return groups.agg(S.ordered_concat("pos", "line").alias("line"), *[F.max(c).alias(c) for c in more]).select(
+        *S.KEYS, (F.col("g") - 1).cast("int").alias("i"), "line", "g", *more)
 
 
-def _norm_multi(x: DataFrame, cs: DataFrame) -> DataFrame:
-    """Documents over several chunks: glue per chunk, then carry tails."""
+def _norm_multi(x: DataFrame, cs: DataFrame, failed: bool = False) -> DataFrame:
+    """Documents over several chunks: glue per chunk, then carry tails; ``failed`` as above."""
+    more = ["status"] if failed else []
     y = x.join(cs, S.KEYS)
     first = F.col("pos") == F.col("d_first_pos")
-    y = y.where(_keep(first))
+    y = y.where(_keep(first, failed))
     g = (F.col("starts_before") + F.sum((~F.col("cont")).cast("int")).over(S.running("pos"))
          + F.col("d_first_cont").cast("int"))
-    y = y.select(*S.KEYS, "pos", "line", "head_chunk", (~F.col("cont") | first).alias("is_start"), g.alias("g"))
+    y = y.select(*S.KEYS, "pos", "line", "head_chunk", (~F.col("cont") | first).alias("is_start"), g.alias("g"), *more)
     pieces = y.groupBy(*S.KEYS, "g").agg(
+        *[F.max(c).alias(c) for c in more],
         F.min("pos").alias("spos"),
         F.max("is_start").alias("has_head"),
         F.max("head_chunk").alias("head_chunk"),
@@ -150,7 +158,7 @@ def _norm_multi(x: DataFrame, cs: DataFrame) -> DataFrame:
              .agg(F.max("g").alias("tail_g"), S.ordered_concat("spos", "piece").alias("tail")))
     heads = pieces.where(F.col("has_head")).join(tails, S.KEYS, "left")
     line = F.when(F.col("g") == F.col("tail_g"), F.concat("piece", "tail")).otherwise(F.col("piece"))
-    out = heads.select(*S.KEYS, (F.col("g") - 1).cast("int").alias("i"), line.alias("line"), "g")
+    out = heads.select(*S.KEYS, (F.col("g") - 1).cast("int").alias("i"), line.alias("line"), "g", *more)
     return S.materialize(out)
 
 
@@ -167,6 +175,13 @@ def normalized_parts(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> tupl
     return _norm_single(short), _norm_multi(long, cs), statuses
 
 
+def normalized_with_status(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> tuple[DataFrame, DataFrame]:
+    """(single-chunk documents, longer documents), each line with its document's
+    status; a failing document is its first line, so no status is derived apart."""
+    short, long = _raw(lines, chunk_lines)
+    return _norm_single(_single_chunk(short), True), _norm_multi(long, _raw_summary(long), True)
+
+
 def normalized(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> tuple[DataFrame, DataFrame]:
     """Normalised lines (doc_id, chunk, i, line) and (doc_id, status).
 

@@ -80,7 +80,12 @@ def _classify(norm: DataFrame) -> DataFrame:
         # only section candidates are ever asked whether they are upper case
         F.when(~T.is_blank(line) & T.is_section(line), T.is_upper(line)).otherwise(False).alias("up"),
         F.when(i == 0, T.is_exhibit(line)).otherwise(False).alias("ex"),
-        F.when(i == 0, T.is_title(line)).otherwise(False).alias("ti"))
+        F.when(i == 0, T.is_title(line)).otherwise(False).alias("ti"), *_status_of(norm))
+
+
+def _status_of(x: DataFrame) -> list[str]:
+    """The status column, where the lines carry one."""
+    return ["status"] if "status" in x.columns else []
 
 
 def _rule_tags(y: DataFrame) -> DataFrame:
@@ -107,7 +112,17 @@ def _final(y: DataFrame, si, nxt) -> DataFrame:
     return y.select(*S.KEYS, "i", "g", "line", "raw_tag", "tag_t3", "tag_t4",
                     F.when(last, F.lit("s")).otherwise(t4).alias("tag"),
                     F.when(last, F.lit(2)).otherwise(bits).alias("bits"),
-                    "n", "start", "all_upper", "exhibit0", "title0", "tot")
+                    "n", "start", "all_upper", "exhibit0", "title0", "tot", *_status_of(y))
+
+
+def _alone(x: DataFrame) -> DataFrame:
+    """A one-line document whose line 0 is an Exhibit line fails (T1): it goes,
+    or, where the lines carry a status, its line stays with that status."""
+    alone = F.col("exhibit0") & (F.col("n") == 1)
+    if not _status_of(x):
+        return x.where(~alone)
+    return x.withColumn("status", F.when(alone & (F.col("status") == L.OK), F.lit(L.ERR_EXHIBIT_ONLY))
+                        .otherwise(F.col("status")))
 
 
 def _tags_single(norm: DataFrame) -> DataFrame:
@@ -117,7 +132,7 @@ def _tags_single(norm: DataFrame) -> DataFrame:
     i = F.col("i")
     z = z.select("*", F.count(F.lit(1)).over(whole).alias("n"),
                  F.max("ex").over(whole).alias("exhibit0"), F.max("ti").over(whole).alias("title0"))
-    z = z.where(~(F.col("exhibit0") & (F.col("n") == 1)))
+    z = _alone(z)
     z = z.withColumn("start", F.when(F.col("exhibit0"), 2).when(F.col("title0"), 1).otherwise(0))
     s_raw = F.col("cand_s") & (i >= F.col("start"))
     z = z.withColumn("all_upper", F.coalesce(F.min(F.when(s_raw, F.col("up"))).over(whole), F.lit(True)))
@@ -132,10 +147,7 @@ def _tags_multi(norm: DataFrame) -> DataFrame:
     """Documents over several chunks: doc-level values from the chunk summary."""
     z = _classify(norm)
     cs = _tag_summary_chunks(z)
-    y = z.join(cs, S.KEYS)
-    # A one-line document whose line 0 is an Exhibit line fails.
-    y = y.where(~(F.col("exhibit0") & (F.col("n") == 1)))
-    y = _rule_tags(y)
+    y = _rule_tags(_alone(z.join(cs, S.KEYS)))
     si = F.col("s_before") + F.sum(F.col("is_s").cast("int")).over(S.running("i"))
     nxt = F.coalesce(F.lead("is_s").over(S.local_window("i")), F.col("next_first_is_s"), F.lit(False))
     return S.materialize(_final(y, si, nxt))
@@ -235,6 +247,24 @@ def parse_raw_text(lines: DataFrame) -> DataFrame:
             .agg(S.ordered_concat("chunk", "part", "\n").alias("tagged_text")))
 
 
+def document_outcomes(lines: DataFrame, chunk_lines: int = S.CHUNK_LINES) -> DataFrame:
+    """(doc_id, status, tagged_text) for every document of a line table.
+
+    C11 and A6 in one derivation: the status travels with the lines, and the
+    two aggregates that join them take it along.  ``tagged_text`` is null for
+    documents that fail.
+    """
+    single, multi = L.normalized_with_status(lines, chunk_lines)
+    f = _tags_single(single).unionByName(_tags_multi(multi)).select(
+        *S.KEYS, "i", "status", rendered_line().alias("rendered"))
+    per_chunk = f.groupBy(*S.KEYS).agg(S.ordered_concat("i", "rendered", "\n").alias("part"),
+                                       F.max("status").alias("status"))
+    docs = per_chunk.groupBy("doc_id").agg(S.ordered_concat("chunk", "part", "\n").alias("text"),
+                                           F.max("status").alias("status"))
+    return docs.select("doc_id", "status", F.when(~F.col("status").startswith("error_"), F.col("text"))
+                       .alias("tagged_text"))
+
+
 def line_status(lines: DataFrame) -> DataFrame:
     """(doc_id, status) for every document of a line table."""
     norm, statuses = L.normalized(lines)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pactline.operators import tagger
-from pactline.operators.lines import document_lines
 from pactline.plans import oracle as O
 from pactline.plans.registry import C_TAG, D_TAG, RENDER_SQL, register
 from pactline.plans.catalog_features import WORDVEC_CTES, _word_vectors
@@ -52,10 +51,8 @@ SELECT doc_id, string_agg(rendered, chr(10) ORDER BY i) AS tagged_text
 FROM (SELECT doc_id, i, {RENDER_SQL} AS rendered FROM tagged) r GROUP BY doc_id""")
 def q_tagged_sink(spark, sf):
     files = C.corpus_scan(spark, _write_corpus(spark, sf), (".txt",))
-    texts = C.read_text(files).where(F.col("status") == "ok").select("path", _doc_id(), "text")
-    parsed = tagger.parse_raw_text(document_lines(texts)).join(texts.select("doc_id", "path"), "doc_id")
     out = C.scratch_dir(spark, "sink")
-    C.tagged_sink(texts, parsed.select("path", C.out_name("path").alias("out_name"), "tagged_text"), out)
+    C.tagged_sink(C.read_text(files), out)
     return spark.read.parquet(f"{out}/parsed").select(_doc_id(), "tagged_text")
 
 

@@ -18,11 +18,12 @@ import zlib
 from functools import reduce
 from xml.etree import ElementTree
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactline.operators.lines import document_lines
-from pactline.operators.tagger import document_status, parse_raw_text
+from pactline.operators.lines import document_lines, text_status
+from pactline.operators.tagger import document_outcomes
 from pactline.session import checkpoint_dir
 
 EXTENSIONS = (".docx", ".txt")          # the reference's allowed list
@@ -192,33 +193,33 @@ def out_name(path: Column | str) -> Column:
     return F.concat(F.split(name, r"\.").getItem(0), F.lit(".txt"))
 
 
-def tagged_sink(texts: DataFrame, parsed: DataFrame, out: str) -> None:
-    """A5: write clean texts and tagged texts as two parquet tables.
+def tagged_sink(texts: DataFrame, out: str) -> None:
+    """A5: tags (path, text, status) and writes three tables under ``out``.
 
-    Both are keyed by the full path (equal file names in different folders
-    stay apart); ``out_name`` keeps the reference's naming as a column.
+    ``clean`` (path, out_name, text, status): every row of ``texts``, derived
+    once; later steps work on this table.  Lines are split, tagged and judged
+    once, as one row per file (``document_outcomes``), from which come
+    ``parsed`` (path, out_name, tagged_text): files that could be tagged, and
+    ``failed`` (path, status): unreadable files and those that the line rules
+    reject.  The path is the key (equal file names in different folders stay
+    apart); ``out_name`` keeps the reference's naming as a column.
     """
-    texts.select("path", out_name("path").alias("out_name"), "text") \
-        .write.mode("overwrite").parquet(f"{out.rstrip('/')}/clean")
-    parsed.write.mode("overwrite").parquet(f"{out.rstrip('/')}/parsed")
+    clean, parsed, failed = [f"{out.rstrip('/')}/{name}" for name in ("clean", "parsed", "failed")]
+    texts.select("path", out_name("path").alias("out_name"), "text", "status").write.mode("overwrite").parquet(clean)
+    texts = texts.sparkSession.read.parquet(clean)
+    good = texts.where(F.col("status") == "ok").select(F.col("path").alias("doc_id"), "text")
+    # kept for the two tables; its lineage starts at the clean table
+    outcomes = document_outcomes(document_lines(good)).withColumnRenamed("doc_id", "path").persist(
+        StorageLevel.MEMORY_AND_DISK)
+    rejected = F.col("status").startswith("error_")
+    outcomes.where(~rejected).select("path", out_name("path").alias("out_name"), "tagged_text") \
+        .write.mode("overwrite").parquet(parsed)
+    lineless = text_status(good).where(F.col("status").isNotNull()).withColumnRenamed("doc_id", "path")
+    texts.where(F.col("status") != "ok").select("path", "status").unionByName(lineless).unionByName(
+        outcomes.where(rejected).select("path", "status")).write.mode("overwrite").parquet(failed)
+    outcomes.unpersist()
 
 
 def tag_folder(spark: SparkSession, folder: str, out: str, extensions=READABLE) -> None:
-    """The batch folder job: scan, read, tag; three tables under ``out``.
-
-    ``clean`` (path, out_name, text, status): every file, read once; later
-    steps work on this table.  ``parsed`` (path, out_name, tagged_text): files
-    that could be tagged.  ``failed`` (path, status): unreadable files and
-    those that the line rules reject.  The path is the key throughout.
-    """
-    clean, parsed, failed = [f"{out.rstrip('/')}/{name}" for name in ("clean", "parsed", "failed")]
-    read_text(corpus_scan(spark, folder, extensions)).select("path", out_name("path").alias("out_name"), "text", "status") \
-        .write.mode("overwrite").parquet(clean)
-    texts = spark.read.parquet(clean)
-    docs = texts.where(F.col("status") == "ok").select(F.col("path").alias("doc_id"), "text")
-    parse_raw_text(document_lines(docs)).select(
-        F.col("doc_id").alias("path"), out_name("doc_id").alias("out_name"), "tagged_text") \
-        .write.mode("overwrite").parquet(parsed)
-    rejected = document_status(docs).where(F.col("status").startswith("error_"))
-    texts.where(F.col("status") != "ok").select("path", "status").unionByName(
-        rejected.select(F.col("doc_id").alias("path"), "status")).write.mode("overwrite").parquet(failed)
+    """The batch folder job: scan, read, tag; ``tagged_sink``'s tables under ``out``."""
+    tagged_sink(read_text(corpus_scan(spark, folder, extensions)), out)

@@ -1,5 +1,9 @@
 """The batch folder job on good, rejected and unreadable files."""
 
+import random
+
+from pactline.operators import lines as L
+from pactline.operators import tagger
 from pactline.sources.corpus import tag_folder
 
 
@@ -20,3 +24,29 @@ def test_folder_job_sets_failures_apart(spark, tmp_path):
     assert sorted((r.path.split("/")[-1], r.status) for r in failed) == [
         ("broken.docx", "error_decode"), ("bytes.txt", "error_decode"), ("exhibit.txt", "error_exhibit_only")]
     assert all(r.tagged_text and r.out_name == "a.txt" for r in parsed)
+
+
+PIECES = ["Exhibit 1", "Alpha", "BETA", "Terms of it", "continued here", "", "  ", "1. First", "(a) x", "The end."]
+
+
+def test_outcomes_equal_the_separate_operators(spark):
+    """One derivation gives what status and tagged text give each by themselves."""
+    rng = random.Random(3)
+    texts = [(i, "\n".join(rng.choices(PIECES, k=rng.randrange(1, 9)))) for i in range(300)]
+    texts += [(1000, "Exhibit A"), (1001, "\nword"), (1002, "\nWord\nword"), (1003, "\n\n")]
+    lines = L.document_lines(spark.createDataFrame(texts, "doc_id long, text string"))
+    status = {r.doc_id: r.status for r in tagger.line_status(lines).collect()}
+    text = {r.doc_id: r.tagged_text for r in tagger.parse_raw_text(lines).collect()}
+    assert {"error_blank_first", "error_exhibit_only", "blank_first_collapsed", "ok"} <= set(status.values())
+    for chunk in (3, 4096):
+        got = tagger.document_outcomes(lines, chunk).collect()
+        assert {r.doc_id: r.status for r in got} == status and len(got) == len(status)
+        assert {r.doc_id: r.tagged_text for r in got if r.tagged_text is not None} == text
+
+
+def test_outcomes_plan_splits_once_for_each_length(spark, tmp_path):
+    spark.createDataFrame([(1, "Agreement\nAlpha")], "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    plan = tagger.document_outcomes(L.document_lines(docs))._jdf.queryExecution().optimizedPlan().toString()
+    own = plan.split("InMemoryRelation")[0]
+    assert own.count("Relation [") == 1 and "Join" not in own
