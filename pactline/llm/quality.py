@@ -153,8 +153,8 @@ def judge_quality(docs: DataFrame, evidence: Evidence | None, host: Column, path
     """(id, host, path, own_log_odds, host_rate, path_rate, quality, keep, row).
 
     ``quality``: posterior probability of good text; ``row``: the columns of
-    the document.  Without ``rows`` the texts' evidence is written once and
-    the texts are not read a second time.
+    the document.  The texts' evidence is written once, with ``row`` if asked
+    for, and both the sums and the join read it; no text is scored twice.
     """
     scored = docs.select(F.col(id_col).alias("id"), host.cast("string").alias("host"),
                          path.cast("string").alias("path"), F.struct("*").alias("row"),
@@ -170,7 +170,7 @@ def judge_quality(docs: DataFrame, evidence: Evidence | None, host: Column, path
     scored = scored.withColumn("own_log_odds", own).withColumn("_p", 1 / (1 + F.exp(-(F.col("own_log_odds") + prior))))
     shown = ["row"] if rows else []
     scored = scored.select("id", "host", "path", "_host", "_path", "own_log_odds", "_p", *shown)
-    scored = scored if rows else keep_table(scored, "evidence")
+    scored = keep_table(scored, "evidence")
     sums, rate, host_strength, path_strength = site_rates(scored)
     # rates without the document itself
     host_rate = (F.col("_hk") - F.col("_p") + host_strength * rate) / (F.col("_hn") - 1 + host_strength)
