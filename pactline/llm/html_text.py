@@ -1,19 +1,25 @@
 """Main text of web pages: the maximum-scoring run of words and tags.
 
-A page becomes a list of items: stretches of text, tags, and elements that
-are never article text (the tags of NEVER, such as scripts, menus and forms,
-and those whose role, class or id says sidebar, advert, notice, comments, ...).
-A name counts only as a whole: every part of one class or id must be a word of
-BOILERPLATE or one that goes with it (``related-posts``, not ``related-work``
-or ``has-sidebar``), and names of headings and inside of code never count.  An
-element that was named so, or a form, is not skipped if it holds an article or
-is a wrapper of the page's text (see ``lift_wrappers``).  Words score above zero,
-tags below, skipped elements a little below zero; one linear scan finds the
-contiguous run with the greatest sum, and its words outside skipped elements
-are the text.  The weights are log odds of lying inside or outside of
-``<article>``, counted on labelled pages (those that have one), at most about
-SAMPLE of them drawn by a hash of their ids, on top of prior counts, so pages
-without any labels work as well.
+A page becomes a list of items: stretches of text, tags, and elements that are
+no text at all (RAW and NEVER: scripts, the head, form fields, ...).  Words
+score above zero, tags below; one linear scan finds the contiguous run with
+the greatest sum, and its words are the text.
+
+Weights are log odds of lying inside or outside of ``<article>``, counted on
+labelled pages (those that have one), at most about SAMPLE of them drawn by a
+hash of their ids, on top of prior counts, so pages without any labels work as
+well.  Words inside an element whose evidence speaks against it score below
+zero: its evidence is the least of those of its classes, id, role and, for
+landmarks such as ``<footer>``, its tag.  A class is one key as a whole
+(``related-posts``, not ``related``).  The prior speaks against LANDMARKS,
+ROLES and names made of the words of BOILERPLATE and those that go with them;
+labels outweigh it both ways.  Such an element costs a run no more than
+BRIDGE, and next to nothing inside of an article, so text on both sides stays
+one run, but a few words behind it do not.  Its words are left out.
+
+Names of headings and inside of code say nothing.  Elements named so, and
+forms, count as text if they hold an article or are a wrapper of the page's
+text (see ``lift_wrappers``).
 
 Cases: null html counts as empty and gives an empty text; so does a page
 without words; unclosed elements end with their parent; unclosed tags are
@@ -37,6 +43,10 @@ from pyspark.sql import functions as F
 SAMPLE = 2000
 #: Score of a skipped element: a run may go on behind it, but not end on it.
 SKIPPED = -0.1
+#: The most that an element whose words score below zero costs a run outside of an article.
+BRIDGE = -20.0
+#: Keys that fewer elements of the labelled pages bear keep their prior.
+SUPPORT = 2
 LEAST, TOUCH, WORD_RANGE, PRIOR = -4.0, -0.01, (0.5, 3.0), 8.0
 
 _TAG = re.compile(
@@ -55,12 +65,13 @@ CONTENT = frozenset("article main section p h1 h2 h3 h4 h5 h6 blockquote pre fig
     | INLINE - {"a"}
 #: Text of these is not markup; it ends at the closing tag.
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
-NEVER = RAW | frozenset("head nav aside footer form noscript template button select svg canvas object dialog menu "
-                        "fieldset audio video map annotation annotation-xml".split())
+LANDMARKS = frozenset("nav aside footer dialog menu".split())
+NEVER = RAW | frozenset("head form noscript template button select svg canvas object fieldset audio video map "
+                        "annotation annotation-xml".split())
 INVISIBLE = frozenset("script style template noscript annotation annotation-xml".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar "
                   "toolbar".split())
-#: Words of class and id attributes that mark an element as no article text.
+#: Words of class and id attributes that speak against an element before any label does.
 BOILERPLATE = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promoted promotion sidebar "
     "menu nav navbar navigation breadcrumb breadcrumbs footer cookie cookies consent gdpr notice notices banner popup "
@@ -78,37 +89,42 @@ THREAD = frozenset("comment comments commentlist disqus reply replies respond".s
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _NUMBER = re.compile(r"\d+(?:x\d+)?")
 _TOP = frozenset("article main".split())
-#: Why an element is skipped: for its tag, role or being hidden; for its name or as a form; as a thread by name.
+#: Why an element is no text: for its tag, role or being hidden; for its name or as a form; as a thread by name.
 HARD, SOFT, TALK = 1, 2, 3
 
 
-def _named(value: str, in_article: bool) -> int:
-    """What a class or id attribute says: SOFT, TALK or 0."""
-    for token in value.split():
-        words = {w.lower() for w in _NAME_PART.findall(token)}
-        words = {w for w in words if not _NUMBER.fullmatch(w)}
-        if words <= BOILERPLATE | COMPANIONS and (words & BOILERPLATE or (
-                not in_article and {"site", "header"} <= words)):
-            return TALK if words & THREAD else SOFT
+def _prior(key: str) -> int:
+    """What is known of a key without labels: HARD, SOFT or TALK if it speaks against an element, else 0."""
+    kind, words = key[0], set(key[1:].split("-"))
+    if kind != ".":
+        return HARD
+    if words <= BOILERPLATE | COMPANIONS and (words & BOILERPLATE or {"site", "header"} <= words):
+        return TALK if words & THREAD else SOFT
     return 0
 
 
-def _boilerplate(name: str, attrs: str, in_article: bool, in_code: bool = False) -> int:
-    """Why an element is no article text, or 0."""
-    if name in NEVER or (name == "header" and not in_article):
-        return SOFT if name == "form" else HARD
+def evidence_keys(name: str, attrs: str, in_article: bool, in_code: bool = False) -> list[str]:
+    """Keys of an element: ``<tag`` of a landmark, ``@role``, ``.class`` and ``.id``."""
+    out = ["<" + name] if name in LANDMARKS or (name == "header" and not in_article) else []
     if not attrs or name in ("html", "body", "article", "main"):
-        return 0
-    found = 0
+        return out
     for key, *values in _ATTR.findall(attrs):
         key, value = key.lower(), "".join(values)
         if key == "role" and value.lower().strip() in ROLES:
-            return HARD
+            out.append("@" + value.lower().strip())
         if key in ("class", "id") and name not in HEADINGS and not in_code:
-            found = max(found, _named(value, in_article))
-        if key == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return HARD
-    return HARD if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs) else found
+            for token in value.split():
+                words = [w.lower() for w in _NAME_PART.findall(token) if not _NUMBER.fullmatch(w.lower())]
+                of_site = {"site", "header"} <= set(words) and not set(words) & BOILERPLATE
+                if words and not (in_article and of_site):
+                    out.append("." + "-".join(words))
+    return out
+
+
+def _hidden(attrs: str) -> bool:
+    return bool(attrs) and bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs) or any(
+        key.lower() == "style" and re.search(r"display\s*:\s*none", "".join(values), re.I)
+        for key, *values in _ATTR.findall(attrs)))
 
 
 class Item:
@@ -122,20 +138,26 @@ class Item:
 
 
 class Skip:
-    """A skipped element: the one around it or -1, its tag, why it is skipped
-    (0: no longer), and whether it lies in an article or main."""
+    """An element that is no text: the one around it or -1, its tag, why (0: it
+    is text after all), whether it lies in an article or main, and the score of
+    each of its words (0: they are not looked at)."""
+
+    __slots__ = ("outer", "name", "why", "inside", "word")
 
-    __slots__ = ("outer", "name", "why", "inside")
+    def __init__(self, outer: int, name: str, why: int, inside: bool, word: float):
+        self.outer, self.name, self.why, self.inside, self.word = outer, name, why, inside, word
 
-    def __init__(self, outer: int, name: str, why: int, inside: bool):
-        self.outer, self.name, self.why, self.inside = outer, name, why, inside
 
+def items(page: str, weights: Weights, seen: list | None = None) -> tuple[list[Item], list[Skip]]:
+    """The items of a page and its elements that are no text, outer ones first.
 
-def items(page: str) -> tuple[list[Item], list[Skip]]:
-    """The items of a page and its skipped elements, outer ones first."""
+    ``seen`` gets [keys, whether in an article, whether around one] of each
+    element with keys.
+    """
     out: list[Item] = []
     skips: list[Skip] = []
     stack: list[tuple[str, int]] = []  # open elements with the skipped element they lie in
+    around: list[tuple[int, list]] = []  # open elements with keys, by their place in the stack
     depth = Counter()
     at, end = 0, len(page)
 
@@ -167,13 +189,25 @@ def items(page: str) -> tuple[list[Item], list[Skip]]:
         if name in _TOP:
             s = skip
             while s >= 0:  # an article is no part of a sidebar, whatever the names of its wrappers
-                if skips[s].name not in NEVER or skips[s].name == "form":
+                if skips[s].name not in NEVER | LANDMARKS or skips[s].name == "form":
                     skips[s].why = 0
                 s = skips[s].outer
         inside = depth["article"] + depth["main"] > 0
-        why = _boilerplate(name, m["attrs"], inside, depth["pre"] + depth["code"] > 0)
+        while around and around[-1][0] >= len(stack):
+            around.pop()
+        if name == "article":
+            for _, mark in around:
+                mark[2] = True
+        keys = evidence_keys(name, m["attrs"], inside, depth["pre"] + depth["code"] > 0)
+        if seen is not None and keys:
+            seen.append([keys, depth["article"] > 0, False])
+            if name not in VOID:
+                around.append((len(stack), seen[-1]))
+        why, word = weights.against(keys)
+        if name in NEVER or _hidden(m["attrs"]):
+            why, word = (SOFT if name == "form" else HARD), 0.0
         if why:
-            skips.append(Skip(skip, name, why, inside))
+            skips.append(Skip(skip, name, why, inside, word))
             skip = len(skips) - 1
         out.append(Item(name, "", skip, depth["article"] > 0 or name == "article"))
         if name in RAW:
@@ -224,25 +258,32 @@ def lift_wrappers(found: list[Item], skips: list[Skip]) -> None:
 def count_labels(page: str) -> Counter:
     """Items inside (key, True) and outside (key, False) of the article."""
     found: Counter = Counter()
-    for x in items(page)[0]:
+    seen: list = []
+    for x in items(page, Weights(), seen)[0]:
         if x.kind in ("t", "a"):
             found[("#" + x.kind, x.inside)] += len(x.text.split())
         else:
             found[(x.kind, x.inside)] += 1
+    for keys, inside, wraps in seen:
+        if not wraps:
+            found.update((k, inside) for k in set(keys))
     return found
 
 
 class Weights:
-    """Scores of words (``#t``, in links ``#a``) and tags, from label counts."""
+    """Scores of words (``#t``, in links ``#a``), tags and keys of elements,
+    from label counts.  Without ``known`` no key has a prior against it."""
 
-    def __init__(self, counts: dict[tuple[str, bool], int] | None = None):
+    def __init__(self, counts: dict[tuple[str, bool], int] | None = None, known: bool = True):
         counts = counts or {}
-        inside, outside = ([sum(n for (_, x), n in counts.items() if x is side) + 1 for side in (True, False)])
-        self.score = {k: self._weigh(k, counts.get((k, True), 0), counts.get((k, False), 0), inside, outside)
+        self.known = known
+        self.score = {k: self._weigh(k, counts.get((k, True), 0), counts.get((k, False), 0))
                       for k in {k for k, _ in counts} | {"#t", "#a"}}
 
-    @staticmethod
-    def _weigh(key: str, inside: int, outside: int, all_in: int, all_out: int) -> float:
+    def _weigh(self, key: str, inside: int, outside: int) -> float:
+        if key[0] in ".@<":
+            against = self.known and _prior(key)
+            return math.log((inside + (1 if against else PRIOR)) / (outside + (PRIOR if against else 1)))
         fits = 1.0 if key == "#t" or key.lstrip("/") in CONTENT else 0.35
         a, b = PRIOR * fits, PRIOR * (1 - 0.7 * fits)
         odds = math.log((inside + a) / (outside + b))
@@ -254,9 +295,15 @@ class Weights:
 
     def of(self, key: str) -> float:
         if key not in self.score:
-            self.score[key] = self._weigh(key, 0, 0, 1, 1)
+            self.score[key] = self._weigh(key, 0, 0)
         return self.score[key]
 
+    def against(self, keys: list[str]) -> tuple[int, float]:
+        """Why an element with these keys is no text, and the score of its words; (0, 0.0) if it is text."""
+        told = [(self.of(k), k) for k in keys]
+        told = [(x, k) for x, k in told if x < 0]
+        return (max(_prior(k) or SOFT for _, k in told), min(told)[0]) if told else (0, 0.0)
+
 
 def best_run(scores: list[float]) -> tuple[int, int]:
     """Start and end of the contiguous run with the greatest positive sum; the
@@ -273,7 +320,7 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 def main_text(page: str | None, weights: Weights) -> str:
     """The article of a page: its blocks in order, joined by one blank."""
-    found, skips = items(page or "")
+    found, skips = items(page or "", weights)
     lift_wrappers(found, skips)
     live: list[int] = []  # the skipped element that holds this one, or -1
     for s in skips:
@@ -286,6 +333,9 @@ def main_text(page: str | None, weights: Weights) -> str:
             if skip != seen:
                 scores.append(SKIPPED if not inline else 0.0)
                 texts.append("" if inline else " ")
+            if skips[skip].word and x.text:
+                least = SKIPPED if skips[skip].inside else BRIDGE
+                scores[-1] = max(least, scores[-1] + skips[skip].word * len(x.text.split()))
             seen = skip
             continue
         seen = -1
@@ -300,7 +350,8 @@ def main_text(page: str | None, weights: Weights) -> str:
 
 
 def learn_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> Weights:
-    """Weights from labelled pages; the driver gets one row per tag name."""
+    """Weights from labelled pages; the driver gets one row per tag name and
+    per key that at least SUPPORT elements of the sample bear."""
     known = pages.where(F.lower(F.col(html_col)).contains("<article")).select(
         F.col(html_col).alias("html"), F.pmod(F.xxhash64(F.lit("label"), F.col(id_col).cast("string")),
                                               F.lit(1_000_003)).alias("u"))
@@ -313,12 +364,14 @@ def learn_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
         for b in batches:
             for page in b["html"]:
                 total.update(count_labels(page))
-        yield pd.DataFrame([(k, side, c) for (k, side), c in total.items()], columns=["k", "inside", "n"])
+        yield pd.DataFrame([(k, total[(k, True)], total[(k, False)]) for k in {k for k, _ in total}],
+                           columns=["k", "inside", "outside"])
 
     rows = known.where(F.col("u") < int(min(1.0, sample / n) * 1_000_003)).mapInPandas(
-        count, "k string, inside boolean, n long")
-    common = rows.groupBy("k", "inside").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "k", "inside").limit(1000)
-    return Weights({(r["k"], r["inside"]): r["n"] for r in common.collect()})
+        count, "k string, inside long, outside long")
+    totals = rows.groupBy("k").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
+    told = totals.where(F.col("inside") + F.col("outside") >= SUPPORT).collect()
+    return Weights({(r["k"], side): n for r in told for side, n in ((True, r["inside"]), (False, r["outside"])) if n})
 
 
 def extract_text(pages: DataFrame, weights: Weights, id_col: str = "page_id", url_col: str = "url",

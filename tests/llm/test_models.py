@@ -313,6 +313,53 @@ def test_names_and_wrappers_lose_no_text(page, text):
         assert html_text.main_text(page, weights) == text
 
 
+def _labelled(n, *pages):
+    counts = Counter()
+    for _ in range(n):
+        for page in pages:
+            counts.update(html_text.count_labels(page))
+    return counts
+
+
+def test_scan_with_learned_weights_needs_no_list(spark):
+    """Without any prior against names or landmarks, weights from labelled pages
+    let the run leave out menu, advert and footer, also where no article is marked."""
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    learned = html_text.Weights(_labelled(1, *pages[:100]), known=False)
+    blank = html_text.Weights(known=False)
+    for page in pages[100:]:
+        parser = Article()
+        parser.feed(page)
+        text = " ".join("".join(parser.out).split())
+        assert html_text.main_text(page, learned) == text
+        assert html_text.main_text(page.replace("<article>", "").replace("</article>", ""), learned) == text
+        assert html_text.main_text(page, blank) != text
+
+
+def test_labels_outweigh_names_both_ways():
+    outside = "<div class=zebra>z z z</div><article>{}</article><div class=thread-x>c c c</div><footer>f f</footer>"
+    page = outside.format(BODY)
+    assert html_text.main_text(page, html_text.Weights()) != TEXT  # nothing known of these names
+    learned = html_text.Weights(_labelled(20, page), known=False)
+    assert html_text.main_text(page, learned) == TEXT
+    assert html_text.main_text(outside.format(LONG.format("<div class=zebra>z z</div>")), learned) == TEXT
+    kept = f"<article>{LONG.format('<p class=notice>By post.</p>')}</article>"
+    assert html_text.main_text(kept, html_text.Weights()) == TEXT
+    assert html_text.main_text(kept, html_text.Weights(_labelled(20, kept))) == TEXT.replace("End", "By post. End")
+    # an element around the article says nothing of its kind
+    assert not any(k == ".wrap-it" for k, _ in html_text.count_labels(f"<div class=wrap-it><article>{BODY}</article></div>"))
+
+
+def test_scan_leaves_out_few_words_behind_what_is_no_text():
+    long = "<p>" + "word " * 40 + "</p>"
+    footer = "<div class=footer>" + "f " * 30 + "</div>"
+    assert html_text.main_text(f"{long}{footer}<p>All rights kept.</p>", html_text.Weights()).split() == ["word"] * 40
+    # but much text, or text of one article, goes on behind it
+    assert html_text.main_text(f"{long}{footer}{long}", html_text.Weights()).split() == ["word"] * 80
+    got = html_text.main_text(f"<article>{long}<div class=ad>{'a ' * 30}</div><p>End.</p></article>", html_text.Weights())
+    assert got.split() == ["word"] * 40 + ["End."]
+
+
 def test_best_run_matches_brute_force():
     rng = random.Random(0)
     for _ in range(200):
