@@ -7,6 +7,7 @@ through the source under test, so its work grows with the tables.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,16 +21,41 @@ from pactline.sources.contracts import contracts
 from pactline.sources.tables import documents, table
 
 DOC_FROM_PATH = r"doc_id=(\d+)"
+FILE_FROM_PATH = r"folder=(\d+)/part-[0-9a-f-]+[.-]c(\d+)\."
+#: Files that the stand-in corpus keeps in a folder, on average.
+FOLDER_FILES = 1024
+
+
+def _numbered(spark, sf, *columns):
+    """Documents with the folder and the number of their file in it."""
+    docs = documents(spark, sf, "doc_id", *columns)
+    folders = max(spark.sparkContext.defaultParallelism, docs.count() // FOLDER_FILES)
+    return docs.withColumn("folder", F.pmod(F.hash("doc_id"), F.lit(folders))).repartition(folders, "folder")
+
+
+def _write_files(numbered, out, kind) -> None:
+    """One file per document, hashed folders of many files each; a folder's
+    files are numbered in the order of the ids."""
+    content = "text" if kind == "text" else F.length("text").alias("n")
+    numbered.sortWithinPartitions("folder", "doc_id").select("folder", content).write.mode("append").option(
+        "maxRecordsPerFile", 1).partitionBy("folder").format(kind).save(out)
 
 
 def _write_corpus(spark, sf) -> str:
-    """One text file per document, ``<dir>/doc_id=<id>/part-….txt``."""
+    """One text file per document, ``<dir>/folder=<hash>/part-….txt``."""
     out = C.scratch_dir(spark, "corpus")
-    (documents(spark, sf, "doc_id", "text").repartition("doc_id")
-     .write.partitionBy("doc_id").text(out))
+    _write_files(_numbered(spark, sf, "text"), out, "text")
     return out
 
 
+def _with_ids(spark, sf, rows):
+    """Rows with a path into the written corpus, with the id of the file's document."""
+    number = F.row_number().over(Window.partitionBy("folder").orderBy("doc_id")) - 1
+    names = _numbered(spark, sf).select("doc_id", "folder", number.alias("number"))
+    part = lambda i: F.regexp_extract("path", FILE_FROM_PATH, i).cast("int")
+    return rows.withColumns({"folder": part(1), "number": part(2)}).join(names, ["folder", "number"])
+
+
 def _doc_id(path="path"):
     return F.regexp_extract(F.col(path), DOC_FROM_PATH, 1).cast("long").alias("doc_id")
 
@@ -37,13 +63,13 @@ def _doc_id(path="path"):
 @register("corpus_scan", "SELECT doc_id, CAST(octet_length(encode(text)) + 1 AS BIGINT) AS length FROM documents")
 def q_corpus_scan(spark, sf):
     files = C.corpus_scan(spark, _write_corpus(spark, sf), (".txt",))
-    return files.select(_doc_id(), "length")
+    return _with_ids(spark, sf, files.select("path", "length")).select("doc_id", "length")
 
 
 @register("read_text", "SELECT doc_id, text || chr(10) AS text, 'ok' AS status FROM documents")
 def q_read_text(spark, sf):
     files = C.corpus_scan(spark, _write_corpus(spark, sf), (".txt",))
-    return C.read_text(files).select(_doc_id(), "text", "status")
+    return _with_ids(spark, sf, C.read_text(files)).select("doc_id", "text", "status")
 
 
 @register("tagged_sink", O.with_(*D_TAG) + f"""
@@ -53,7 +79,7 @@ def q_tagged_sink(spark, sf):
     files = C.corpus_scan(spark, _write_corpus(spark, sf), (".txt",))
     out = C.scratch_dir(spark, "sink")
     C.tagged_sink(C.read_text(files), out)
-    return spark.read.parquet(f"{out}/parsed").select(_doc_id(), "tagged_text")
+    return _with_ids(spark, sf, spark.read.parquet(f"{out}/parsed")).select("doc_id", "tagged_text")
 
 
 @register("tag_folder", O.with_(*D_TAG) + """
@@ -183,10 +209,9 @@ def q_word_vectors_source(spark, sf):
 
 @register("suffix_filter", "SELECT doc_id FROM documents")
 def q_suffix_filter(spark, sf):
-    """B10 on a folder holding .txt and .json files per document."""
-    root = C.scratch_dir(spark, "mixed")
-    d = documents(spark, sf, "doc_id", "text").repartition("doc_id")
-    d.write.partitionBy("doc_id").text(root)
-    d.select("doc_id", F.length("text").alias("n")).write.mode("append").partitionBy("doc_id").json(root)
+    """B10 on folders holding a .txt and a .json file per document."""
+    root, numbered = C.scratch_dir(spark, "mixed"), _numbered(spark, sf, "text")
+    for kind in ("text", "json"):
+        _write_files(numbered, root, kind)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
-    return files.where(C.suffix_filter("path", C.EXTENSIONS)).select(_doc_id())
+    return _with_ids(spark, sf, files.where(C.suffix_filter("path", C.EXTENSIONS))).select("doc_id")
