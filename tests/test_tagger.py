@@ -175,3 +175,21 @@ def test_short_documents_take_one_exchange(spark):
     short, _ = tagger.tag_parts(L.document_lines(texts))
     plan = short._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "InMemoryTableScan" not in plan and "Join" not in plan
+
+
+def test_tasks_that_sort_or_group_are_not_joined(spark):
+    """Adaptive execution would join these small partitions into one task."""
+    from pactline.operators import features as FE
+    from pactline.operators.segments import task_parts
+    from pactline.sources.contracts import contract_lines
+    least = task_parts(spark)
+    assert least >= 8 * spark.sparkContext.defaultParallelism
+    lines = _lines_df(spark, {d: ["Agreement", "Alpha", "1. Rent is due."] for d in range(50)})
+    assert tagger.tag_frame(lines).where("n < 4096").rdd.getNumPartitions() >= least
+    texts = spark.createDataFrame([(d, "one two two") for d in range(50)], "doc_id long, text string")
+    counts = FE.term_counts(FE.tokens(texts, "sk", clustered=True))
+    assert counts.rdd.getNumPartitions() >= least
+    assert sorted(r.tf for r in counts.where("doc_id = 7").collect()) == [1, 2]
+    items = spark.createDataFrame([(1, 1, 1, 1, 5.0)], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double")
+    orders, part = spark.createDataFrame([(1,)], "o_orderkey long"), spark.createDataFrame([(1, "bolt")], "p_partkey long, p_name string")
+    assert contract_lines(orders, items, part).rdd.getNumPartitions() >= least
