@@ -47,8 +47,10 @@ from pactline.llm.bpe_words import WordIds, slices, word_ids
 VOCABULARY = "byte_bpe_50k.json"
 #: Bytes in the rolling hash; a cut where its upper CUT_BITS bits are zero; bytes from one cut to the next, at least.
 WINDOW, CUT_BITS, LEAST = 16, 10, 128
-#: Bytes of text handled at a time, and in each generation of a worker's memory of chunks and of joins.
-BATCH_BYTES, MEMORY_BYTES = 1 << 22, 1 << 24
+#: Bytes of text handled at a time, and in each generation of a worker's memory of chunks (a quarter of it for joins).
+BATCH_BYTES, MEMORY_BYTES = 1 << 22, 7 << 23
+#: Bytes that an entry of a memory takes beside its texts and ids, and those of a remembered cut.
+ENTRY_BYTES, CUT_BYTES = 400, 80
 #: Times a window is widened before the document is encoded whole.
 WIDEN = 3
 
@@ -142,11 +144,18 @@ def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 # ---- encoding --------------------------------------------------------------------------
 
+def held_bytes(key: bytes, value: "bytes | Chunk") -> int:
+    """About what a remembered value takes, with its key; short texts are mostly overhead."""
+    if isinstance(value, Chunk):
+        return ENTRY_BYTES + len(key) + len(value.ids) + CUT_BYTES * len(value.at)
+    return ENTRY_BYTES // 2 + len(key) + len(value)
+
+
 class Memory:
-    """Two generations of remembered values, bounded by the size of their keys."""
+    """Two generations of remembered values, each bounded by the sum of its entries' sizes (of the keys alone, by default)."""
 
-    def __init__(self, most: int):
-        self.most, self.size, self.young, self.old = most, 0, {}, {}
+    def __init__(self, most: int, size_of=lambda key, value: len(key)):
+        self.most, self.size_of, self.size, self.young, self.old = most, size_of, 0, {}, {}
 
     def find(self, keys: list[bytes], make) -> list:
         """The value of each key; ``make`` gives those of new keys, once each."""
@@ -155,7 +164,7 @@ class Memory:
         new = list(dict.fromkeys(k for k in keys if k not in held and k not in more))
         more.update(zip(new, make(new) if new else []))
         self.young.update(more)
-        self.size += sum(map(len, more))
+        self.size += sum(self.size_of(k, x) for k, x in more.items())
         if self.size > self.most:
             self.young, self.old, self.size = {}, self.young, 0
         held.update(more)
@@ -196,7 +205,7 @@ class ChunkEncoder:
 
     def __init__(self, words: WordIds):
         self.words = words
-        self.chunks, self.windows = Memory(MEMORY_BYTES), Memory(MEMORY_BYTES >> 2)
+        self.chunks, self.windows = Memory(MEMORY_BYTES, held_bytes), Memory(MEMORY_BYTES >> 2, held_bytes)
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         return self.words.encode(pa.array(texts, pa.binary()).cast(pa.string()))

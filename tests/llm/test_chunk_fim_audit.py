@@ -112,6 +112,16 @@ def test_memory_keeps_two_generations():
     assert len(memory.young) + len(memory.old) <= 6
 
 
+def test_short_chunks_count_with_what_they_take(monkeypatch):
+    """Beside a short text its ids, cuts and dictionary entry take most of the memory."""
+    monkeypatch.setattr(chunk_bpe, "MEMORY_BYTES", 1 << 20)
+    encoder = chunk_bpe.ChunkEncoder(bpe_words.word_ids(public_tokenizers.path(chunk_bpe.VOCABULARY)))
+    for at in range(0, 20_000, 500):
+        texts = [b"short text %d" % i for i in range(at, at + 500)]
+        encoder.encode(texts, [[len(t)] for t in texts])
+    assert len(encoder.chunks.young) + len(encoder.chunks.old) < 2 * (1 << 20) // chunk_bpe.ENTRY_BYTES + 500
+
+
 def test_encode_and_decode_documents(spark):
     some = rows() + [(500 + i, t, None, None, None, None, None, None) for i, t in enumerate(
         ["x <|endoftext|> y<|endoftext|>", "日本語" * 3000, "a\xa0b " * 900, " " * 5000, "word " * 20_000])]
