@@ -244,3 +244,17 @@ def test_feature_plans_stay_distributed(spark):
     pad.collect()
     assert "WindowGroupLimit" in _plan(pad)
     assert "TakeOrderedAndProject" in _plan(vocab)
+
+
+def test_common_terms_stay_with_their_documents(spark):
+    """Rows of the commonest terms, as many as may be sent, are joined where they are."""
+    rows = spark.createDataFrame([(d, t) for d in range(40) for t in ("often", f"t{d}", f"u{d % 5}")], "doc_id long, term string")
+    side = spark.createDataFrame([(t, c) for t in ["often", *[f"t{d}" for d in range(0, 40, 2)], "u1", "none"] for c in "abc"],
+                                 "term string, class string")
+    stats = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    assert TE.least_of_most(stats, 1) == 40 and TE.least_of_most(stats, 5) == 40 and TE.least_of_most(stats, 6) == 8
+    assert TE.least_of_most(stats, 0) > 1 << 60 and TE.least_of_most(stats, 100) == 1
+    expected = sorted(map(tuple, rows.join(side, "term").collect()))
+    for most in (1, 6, 1 << 20):
+        met = TE.join_classes(rows, side, stats, 120, ["term"], TE.SENT_BYTES // (80 * most) + (most == 1))
+        assert sorted((r.term, r.doc_id, r["class"]) for r in met.collect()) == expected
