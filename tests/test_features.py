@@ -243,3 +243,16 @@ def test_tokens_are_computed_once(spark):
         assert "Filter" not in below
     assert [r.token for r in features.tokens(d, "sk").orderBy("doc_id", "pos").collect()] == ["one", "two"]
     assert [r.line for r in lines.document_lines(d).collect()] == ["One two."]
+
+
+def test_mean_vectors_move_numbers_and_no_vectors(spark):
+    """Equal vectors meet once a document; nulls and words that repeat count as before."""
+    texts = ["aa bb bb zz", "aa aa cc", "zz", None]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(7, "aa"), (7, "bb")], "doc_id long, text string")
+    of = {"aa": [1.0, 2.0], "bb": [1.0, 2.0], "cc": [-3.0, 0.5]}
+    vectors = spark.createDataFrame([*of.items(), ("zz", None), ("cc", [-3.0, None])], "word string, vec array<float>")
+    got = {(r.doc_id, tuple(r.mean)) for r in FE.doc_means(docs, FE.tokens(docs, "seq", clustered=True), vectors, 2).collect()}
+    assert got == {(0, (1.0, 2.0)), (1, (-1.0, 1.5)), (2, (0.0, 0.0)), (3, (0.0, 0.0)), (7, (1.0, 2.0))}
+    long = FE.doc_vectors(docs, FE.tokens(docs, "seq"), vectors, 2)
+    assert long.count() == 12 and "sortaggregate" not in long._jdf.queryExecution().executedPlan().toString().lower()
+    assert "ObjectHashAggregate" not in long._jdf.queryExecution().executedPlan().toString()
