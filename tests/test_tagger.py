@@ -193,3 +193,20 @@ def test_tasks_that_sort_or_group_are_not_joined(spark):
     items = spark.createDataFrame([(1, 1, 1, 1, 5.0)], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double")
     orders, part = spark.createDataFrame([(1,)], "o_orderkey long"), spark.createDataFrame([(1, "bolt")], "p_partkey long, p_name string")
     assert contract_lines(orders, items, part).rdd.getNumPartitions() >= least
+
+
+def test_partitions_grow_with_the_tables(spark, tmp_path, monkeypatch):
+    """A fixed number of partitions lets a task's memory grow with the input."""
+    from pactline.operators import segments as S
+    from pactline.sources.contracts import contract_lines
+    spark.range(1000).selectExpr("id AS l_orderkey", "id % 5 AS l_partkey", "id % 3 AS l_suppkey", "1 AS l_linenumber",
+                                 "5.0D AS l_quantity").write.parquet(str(tmp_path / "items"))
+    items = spark.read.parquet(str(tmp_path / "items"))
+    size = S.read_bytes(items)
+    assert 0 < size == S.read_bytes(items.unionByName(items))  # a table counts once
+    monkeypatch.setattr(S, "PART_BYTES", size // 50)
+    assert S.task_parts(spark, items) >= 50 > S.task_parts(spark)
+    orders, part = spark.range(1).toDF("o_orderkey"), spark.createDataFrame([(1, "bolt")], "p_partkey long, p_name string")
+    lines = contract_lines(orders, items, part)
+    assert tagger.tag_frame(lines).where("n < 4096").rdd.getNumPartitions() >= 50
+    assert S.task_parts(spark, spark.sparkContext.parallelize([(1,)]).toDF("a int")) == S.task_parts(spark)  # no known size
