@@ -7,6 +7,8 @@ through the source under test, so its work grows with the tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,9 +35,55 @@ def _numbered(spark, sf, *columns):
     return docs.withColumn("folder", F.pmod(F.hash("doc_id"), F.lit(folders))).repartition(folders, "folder")
 
 
+def _number():
+    """Number of a document's file in its folder, in the order of the ids."""
+    return F.row_number().over(Window.partitionBy("folder").orderBy("doc_id")) - 1
+
+
+def _local_path(spark, out) -> str | None:
+    """The folder as every machine's own file system has it; None where only Hadoop's reach it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(out)
+    scheme = path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+    return path.toUri().getPath() if scheme == "file" else None
+
+
+def _write_here(root, suffix):
+    """Writes (folder, number, content), one file a row; a file appears under its name when it is whole."""
+    import os
+
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            for folder, number, content in zip(*[c.to_pylist() for c in b.columns]):
+                place = f"{root}/folder={folder}"
+                name = f"part-{folder:05d}-c{number:06d}.{suffix}"
+                draft = f"{place}/.{name}-{uuid.uuid4().hex}"
+                os.makedirs(place, exist_ok=True)
+                with open(draft, "wb") as f:
+                    f.write(content)
+                os.replace(draft, f"{place}/{name}")
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+    return run
+
+
 def _write_files(numbered, out, kind) -> None:
     """One file per document, hashed folders of many files each; a folder's
-    files are numbered in the order of the ids."""
+    files are numbered in the order of the ids.
+
+    Hadoop's local file system starts a process for each file that it creates
+    (chmod), so on a local folder the tasks write the files themselves.
+    """
+    local = _local_path(numbered.sparkSession, out)
+    if local:
+        line = F.coalesce("text", F.lit("")) if kind == "text" else F.to_json(F.struct(F.length("text").alias("n")))
+        rows = numbered.select("folder", _number().alias("number"), F.concat(line, F.lit("\n")).cast("binary").alias("content"))
+        rows.mapInArrow(_write_here(local, {"text": "txt"}.get(kind, kind)), "n long").agg(F.sum("n")).collect()
+    else:
+        _write_with_spark(numbered, out, kind)
+
+
+def _write_with_spark(numbered, out, kind) -> None:
     content = "text" if kind == "text" else F.length("text").alias("n")
     numbered.sortWithinPartitions("folder", "doc_id").select("folder", content).write.mode("append").option(
         "maxRecordsPerFile", 1).partitionBy("folder").format(kind).save(out)
@@ -50,8 +98,7 @@ def _write_corpus(spark, sf) -> str:
 
 def _with_ids(spark, sf, rows):
     """Rows with a path into the written corpus, with the id of the file's document."""
-    number = F.row_number().over(Window.partitionBy("folder").orderBy("doc_id")) - 1
-    names = _numbered(spark, sf).select("doc_id", "folder", number.alias("number"))
+    names = _numbered(spark, sf).select("doc_id", "folder", _number().alias("number"))
     part = lambda i: F.regexp_extract("path", FILE_FROM_PATH, i).cast("int")
     return rows.withColumns({"folder": part(1), "number": part(2)}).join(names, ["folder", "number"])
 

@@ -50,3 +50,23 @@ def test_outcomes_plan_splits_once_for_each_length(spark, tmp_path):
     plan = tagger.document_outcomes(L.document_lines(docs))._jdf.queryExecution().optimizedPlan().toString()
     own = plan.split("InMemoryRelation")[0]
     assert own.count("Relation [") == 1 and "Join" not in own
+
+
+def test_stand_in_files_are_those_of_sparks_writer(spark, tmp_path):
+    """Written by the tasks themselves: a process for each file made the folder jobs slow."""
+    from pyspark.sql import functions as F
+    from pactline.plans import catalog_sources as CS
+    docs = spark.createDataFrame([(d, [None, "", "a b\nc", "Ärger  \r\n"][d % 4], d % 3) for d in (7, 1, 3, 3, 2, 12, 40)]
+                                 + [(None, "x", 1)], "doc_id long, text string, folder int")
+    assert CS._local_path(spark, str(tmp_path)) == str(tmp_path)
+    for kind, end in (("text", "txt"), ("json", "json")):
+        found = []
+        for write in (CS._write_files, CS._write_with_spark):
+            out = tmp_path / f"{kind}-{write.__name__}"
+            write(docs.repartition(2, "folder"), str(out), kind)
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(out))
+            assert files.where(~F.col("path").endswith("." + end)).count() == 0
+            part = [F.regexp_extract("path", CS.FILE_FROM_PATH, i).cast("int") for i in (1, 2)]
+            found.append(sorted(map(tuple, files.select(*part, "length", F.hex("content")).collect())))
+        assert found[0] == found[1] and len(found[0]) == 8
+    assert not list(tmp_path.glob("text-_write_files/**/.*"))  # no drafts, and no checksum files of Hadoop's
