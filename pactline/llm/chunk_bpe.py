@@ -296,8 +296,11 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 # ---- decoding --------------------------------------------------------------------------
 
+@lru_cache(maxsize=2)
 def token_bytes(words: WordIds) -> list[bytes]:
-    """The bytes of each id of a byte-level vocabulary.
+    """The bytes of each id of a byte-level vocabulary, made once in a Python
+    process: the whole vocabulary is gone through, which takes longer than a
+    small task's rows.
 
     Its letters stand for bytes: printable ASCII and Latin-1 letters for
     themselves, the other bytes, in order, for the code points from 256 on."""

@@ -73,6 +73,11 @@ def test_chunks_are_found_again_behind_other_text():
     assert ends_of(["", "a"]) == [[0], [1]]
 
 
+def test_the_table_of_token_bytes_is_made_once_a_process():
+    words = bpe_words.word_ids(PATH)
+    assert chunk_bpe.token_bytes(words) is chunk_bpe.token_bytes(words)
+
+
 def test_a_chunk_is_encoded_once():
     rng = random.Random(4)
     shared = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(2000))
