@@ -258,3 +258,23 @@ def test_common_terms_stay_with_their_documents(spark):
     for most in (1, 6, 1 << 20):
         met = TE.join_classes(rows, side, stats, 120, ["term"], TE.SENT_BYTES // (80 * most) + (most == 1))
         assert sorted((r.term, r.doc_id, r["class"]) for r in met.collect()) == expected
+
+
+def test_document_frequencies_are_counted_once(spark):
+    """The join reads them for common and for rare terms."""
+    tf = FE.term_counts(FE.tokens(_docs(spark), "sk", clustered=True))
+    for weights in (FE.tfidf_log(tf, 100), FE.tfidf(tf, 100)):
+        plan = weights._jdf.queryExecution().withCachedData().toString()
+        assert "InMemoryRelation" in plan and not any(x.lstrip(" :+-").startswith("Aggregate [term") for x in plan.splitlines())
+
+
+def test_as_many_common_terms_as_allowed_are_sent(spark, monkeypatch):
+    """Ten terms of which none has a tenth of the rows stay with their documents."""
+    monkeypatch.setattr(TE, "HEAVY_TERMS", 10)
+    rows = spark.range(200).selectExpr("id as doc_id", "explode(array(concat('w', id % 10), concat('a', id), concat('b', id))) as term")
+    stats = rows.groupBy("term").agg(F.count("*").alias("df")).persist()
+    met = TE.join_terms(rows, stats.withColumn("v", F.col("df")), 600)
+    moved = met._jdf.queryExecution().optimizedPlan()
+    assert "df" in moved.toString() and met.count() == 600
+    assert TE.least_of_most(stats, TE.HEAVY_TERMS) == 20 and stats.where(TE.is_heavy(600, 10)).count() == 0
+    assert ">= 20" in moved.toString()  # the terms of 20 documents are broadcast
