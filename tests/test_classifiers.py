@@ -278,3 +278,15 @@ def test_as_many_common_terms_as_allowed_are_sent(spark, monkeypatch):
     assert "df" in moved.toString() and met.count() == 600
     assert TE.least_of_most(stats, TE.HEAVY_TERMS) == 20 and stats.where(TE.is_heavy(600, 10)).count() == 0
     assert ">= 20" in moved.toString()  # the terms of 20 documents are broadcast
+
+
+def test_weighting_deals_only_rare_terms_back(spark):
+    d = _docs(spark)
+    tf = FE.term_counts(FE.tokens(d, "sk", clustered=True))
+    parts = B.holdout_parts(SP.holdout_split(d.select("doc_id"), "doc_id", 0.3, 11))
+    x = B.weighted(tf, parts)
+    plan = _plan(x.rows).splitlines()
+    norm = next(i for i, line in enumerate(plan) if "Window [sum(" in line)
+    union = next(i for i, line in enumerate(plan) if i > norm and "Union" in line)
+    assert not any("Exchange" in line for line in plan[norm:union])  # the norm is taken where the rows lie
+    assert x.rows.count() == x.n_rows
