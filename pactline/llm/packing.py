@@ -32,13 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactline.llm.bpe_words import slices, word_ids
+from pactline.llm.bpe_words import WordIds, slices, word_ids
 
 CAPACITY, END_ID, VOCABULARY = 2048, 1, "byte_bpe_50k.json"
 #: Rests are cut to full class lengths up to this class.
 FINE = 16
-#: Bytes of text encoded, and given out as one batch, at a time.
-BATCH_BYTES = 1 << 22
+#: Bytes of text encoded, and given out as one batch, at a time.  What Arrow held for them goes back to the system
+#: after each, since a worker's memory stays its own between tasks.
+BATCH_BYTES = 1 << 20
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, "
           "class int")
@@ -106,6 +107,21 @@ class Packer:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SCHEMA)], schema=SCHEMA)
 
 
+def packed(batches: Iterator[pa.RecordBatch], words: WordIds, packer: Packer, end_id: int = END_ID
+           ) -> Iterator[pa.RecordBatch]:
+    """The pieces of one partition's (id, _text)."""
+    end = np.array([end_id], "<u4").tobytes()
+    for b in batches:
+        texts = b.column("_text")
+        for at, to in slices(pc.binary_length(texts).fill_null(0).to_numpy(), BATCH_BYTES):
+            for doc, x in zip(b.column("id")[at:to].to_pylist(), words.encode(texts[at:to].fill_null(""))):
+                packer.add(doc, x + end)
+            yield packer.take()
+            pa.default_memory_pool().release_unused()
+    packer.finish()
+    yield packer.take()
+
+
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
                    end_id: int = END_ID, vocabulary: str | None = None, fine: int = FINE) -> DataFrame:
     """One row per piece: (doc_id, start, length, ids, doc_tokens, sequence_id, offset, class).
@@ -116,16 +132,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(vocabulary or public_tokenizers.path(VOCABULARY))
-        packer = Packer(TaskContext.get().partitionId() << 32, capacity, fine)
-        end = np.array([end_id], "<u4").tobytes()
-        for b in batches:
-            texts = b.column("_text").fill_null("")
-            for at, to in slices(pc.binary_length(texts).to_numpy(), BATCH_BYTES):
-                for doc, x in zip(b.column("id")[at:to].to_pylist(), words.encode(texts[at:to])):
-                    packer.add(doc, x + end)
-                yield packer.take()
-        packer.finish()
-        yield packer.take()
+        return packed(batches, words, Packer(TaskContext.get().partitionId() << 32, capacity, fine), end_id)
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("_text")) \
         .mapInArrow(run, PIECES)

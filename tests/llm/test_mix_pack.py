@@ -203,3 +203,27 @@ def test_packing_repeated_and_null_ids(spark):
     df = spark.createDataFrame([(None, "a"), (1, "b c"), (1, "b c")], "doc_id long, text string").coalesce(1)
     got = packing.pack_documents(df).collect()
     assert sum(p.length for p in got) == len(plain_ids("a")) + 2 * len(plain_ids("b c"))
+
+
+def test_a_packing_task_holds_little_text_at_a_time(monkeypatch):
+    texts = ["a b c " * 30_000, None, ""] + [f"{i} and {i + 1} " * 4000 for i in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "_text"])
+    words, met, freed = bpe_words.word_ids(public_tokenizers.path(packing.VOCABULARY)), [], []
+
+    class Watched:
+        def encode(self, part):
+            met.append(sum(len(t) for t in part.to_pylist()))
+            return words.encode(part)
+
+    monkeypatch.setattr(packing.pa, "default_memory_pool", lambda: type("Pool", (), {
+        "release_unused": lambda self: freed.append(1)})())
+    found = [r for b in packing.packed(iter([batch]), Watched(), packing.Packer(0)) for r in b.to_pylist()]
+    assert max(met) <= 1 << 20 and len(freed) == len(met) > 10
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    ids = defaultdict(bytes)
+    for r in sorted(found, key=lambda r: (r["doc_id"], r["start"])):
+        assert r["start"] == len(ids[r["doc_id"]]) // 4
+        ids[r["doc_id"]] += r["ids"]
+    for i in (0, 1, 2, 3, len(texts) - 1):
+        own = tokenizer.encode(texts[i] or "", add_special_tokens=False).ids + [1]
+        assert ids[i] == np.array(own, "<u4").tobytes()
