@@ -12,7 +12,7 @@ from porter_model import porter
 from pactline.functions import text as T
 from pactline.operators import features as FE
 from pactline.operators import split as SP
-from pactline.operators.stems import STEP2, STEP3, STEP4, stem_of
+from pactline.operators.stems import STEP2, STEP3, STEP4, frequent_stems, stem_counts, stem_of
 from pactline.sources import corpus as C
 from pactline.sources import records as R
 
@@ -256,3 +256,36 @@ def test_mean_vectors_move_numbers_and_no_vectors(spark):
     long = FE.doc_vectors(docs, FE.tokens(docs, "seq"), vectors, 2)
     assert long.count() == 12 and "sortaggregate" not in long._jdf.queryExecution().executedPlan().toString().lower()
     assert "ObjectHashAggregate" not in long._jdf.queryExecution().executedPlan().toString()
+
+
+def _node_names(node):
+    children = node.children()
+    return [node.nodeName()] + [x for i in range(children.size()) for x in _node_names(children.apply(i))]
+
+
+def test_only_words_of_frequent_stems_are_counted(spark):
+    rng = random.Random(5)
+    words = ["walk", "walks", "walked", "walking", "the", "cat", "cats", "rare", "rarely", "stone", "stones"]
+    rows = [(d, w, rng.randint(1, 4)) for d in range(40) for w in rng.sample(words, 3)] + [(None, "walks", 2), (None, "cat", 1)]
+    rows += [(d, f"odd{d}", 1) for d in range(40)]
+    tf, stop = spark.createDataFrame(rows, "doc_id long, term string, tf long"), spark.createDataFrame([("the",)], "token string")
+    want = {}
+    for d, w, n in rows:
+        want[d, porter(w)] = want.get((d, porter(w)), 0) + n
+    assert {(r.doc_id, r.term): r.tf for r in stem_counts(tf).collect()} == want  # no bound: every stem
+    df = {}
+    for _, s in want:
+        df[s] = df.get(s, 0) + 1
+    for least in (2, 5, max(df.values())):
+        got = {(r.doc_id, r.term): r.tf for r in stem_counts(tf, least, stop).collect()}
+        assert {k: n for k, n in got.items() if df[k[1]] >= least} == {
+            k: n for k, n in want.items() if df[k[1]] >= least and k[1] != "the"}
+        assert all(want[k] == n for k, n in got.items())  # rarer stems that are left are whole
+        assert not any(r.stem.startswith("odd") or r.stem == "the" for r in frequent_stems(tf, least, stop).collect())
+
+
+def test_later_filters_on_stems_run_no_python_on_counted_rows(spark):
+    tf = spark.createDataFrame([(1, "walks", 2), (2, "the", 1)], "doc_id long, term string, tf long")
+    kept = FE.remove_stopwords(stem_counts(tf).withColumnRenamed("term", "token"))
+    assert "ArrowEvalPython" not in _node_names(kept._jdf.queryExecution().optimizedPlan())
+    assert [(r.doc_id, r.token, r.tf) for r in kept.collect()] == [(1, "walk", 2)]
