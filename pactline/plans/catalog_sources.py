@@ -40,11 +40,7 @@ def _number():
     return F.row_number().over(Window.partitionBy("folder").orderBy("doc_id")) - 1
 
 
-def _local_path(spark, out) -> str | None:
-    """The folder as every machine's own file system has it; None where only Hadoop's reach it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(out)
-    scheme = path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
-    return path.toUri().getPath() if scheme == "file" else None
+_local_path = C.local_path
 
 
 def _write_here(root, suffix):
@@ -109,7 +105,7 @@ def _doc_id(path="path"):
 
 @register("corpus_scan", "SELECT doc_id, CAST(octet_length(encode(text)) + 1 AS BIGINT) AS length FROM documents")
 def q_corpus_scan(spark, sf):
-    files = C.corpus_scan(spark, _write_corpus(spark, sf), (".txt",))
+    files = C.corpus_scan(spark, _write_corpus(spark, sf), (".txt",), content=False)
     return _with_ids(spark, sf, files.select("path", "length")).select("doc_id", "length")
 
 
@@ -260,5 +256,5 @@ def q_suffix_filter(spark, sf):
     root, numbered = C.scratch_dir(spark, "mixed"), _numbered(spark, sf, "text")
     for kind in ("text", "json"):
         _write_files(numbered, root, kind)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    files = C.corpus_scan(spark, root, None, content=False).select("path")
     return _with_ids(spark, sf, files.where(C.suffix_filter("path", C.EXTENSIONS))).select("doc_id")

@@ -1,8 +1,9 @@
 """Document sources and sinks.
 
-A folder of contracts becomes one row per file with Spark's ``binaryFile``
-source (listing and the suffix filter happen at planning, reading in the
-tasks).  Text is decoded strictly as UTF-8 in the JVM; HTML is reduced to
+A folder of contracts becomes one row per file.  On a file system that every
+machine mounts (scheme ``file``) the tasks list and read the folders, so the
+driver never holds the list of files; elsewhere it is Spark's ``binaryFile``
+source, which lists at planning.  Text is decoded strictly as UTF-8 in the JVM; HTML is reduced to
 its text nodes with column expressions; only ``.docx`` (a zip archive)
 needs Python, run per Arrow batch.
 """
@@ -11,18 +12,23 @@ from __future__ import annotations
 
 import html.entities as html_entities
 import io
+import os
 import re
 import uuid
 import zipfile
 import zlib
+from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactline.operators.lines import document_lines, text_status
+from pactline.operators.segments import PARTS_A_CORE
 from pactline.operators.tagger import document_outcomes
 from pactline.session import checkpoint_dir
 
@@ -43,20 +49,121 @@ def suffix_filter(path: Column | str, extensions=EXTENSIONS) -> Column:
     return reduce(lambda a, b: a | b, [p.endswith(e) for e in extensions])
 
 
-def corpus_scan(spark: SparkSession, folder: str, extensions=EXTENSIONS, count: int = -1) -> DataFrame:
+def local_path(spark: SparkSession, folder: str) -> str | None:
+    """The folder as every machine's own file system has it; None where only Hadoop's reach it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    scheme = path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+    return path.toUri().getPath() if scheme == "file" else None
+
+
+#: Files, and bytes of their contents, that a task of ``corpus_scan`` hands over at a time.
+FILES_AT_ONCE, BYTES_AT_ONCE = 1024, 4 << 20
+
+
+def _entries(folder: str) -> Iterator[os.DirEntry]:
+    """The entries that Spark's readers see: hidden ones and unfinished copies are left out."""
+    with os.scandir(folder) as found:
+        for e in found:
+            if not (e.name.startswith(".") or e.name.startswith("_") and "=" not in e.name or e.name.endswith("._COPYING_")):
+                yield e
+
+
+def _shares(root: str, want: int) -> list[tuple[str, int, int]]:
+    """(folder, share, shares): about ``want`` pieces of the tree, or more.
+
+    A share is the entries whose names' checksums leave that rest, with all
+    below them; of 0 shares, the folder's own files alone.  Only folders of few
+    entries are opened here, and few of them: their number and the driver's
+    memory do not grow with the tree.
+    """
+    pieces, left = [], [root]
+    while left:
+        folder = left.pop(0)
+        few = list(islice(_entries(folder), want + 1))
+        if len(few) > want:
+            pieces += [(folder, j, want) for j in range(want)]
+        elif len(pieces) + len(left) >= want:
+            pieces.append((folder, 0, 1))
+        else:
+            pieces.append((folder, 0, 0))
+            left += [e.path for e in few if e.is_dir()]
+    return pieces
+
+
+def _files_of(folder: str, share: int, shares: int) -> Iterator[os.DirEntry]:
+    for e in _entries(folder):
+        if shares > 1 and zlib.crc32(os.fsencode(e.name)) % shares != share:
+            continue
+        if not e.is_dir():
+            yield e
+        elif shares:
+            yield from _files_of(e.path, 0, 1)
+
+
+def _scan(suffixes: tuple[str, ...] | None, content: bool):
+    """Lists, and reads, the files of shares; empty files have no row, as with Spark's readers."""
+    kinds = [("path", pa.string()), ("modificationTime", pa.timestamp("us", "UTC")), ("length", pa.int64())]
+    schema = pa.schema([*kinds, ("content", pa.binary())] if content else kinds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        for e in (e for b in batches for piece in zip(*[c.to_pylist() for c in b.columns]) for e in _files_of(*piece)):
+            if suffixes is not None and not e.name.endswith(suffixes):
+                continue
+            try:
+                st = e.stat()
+            except FileNotFoundError:  # gone meanwhile, or a link to nothing
+                continue
+            if not st.st_size:
+                continue
+            row = {"path": "file:" + e.path, "modificationTime": st.st_mtime_ns // 1_000_000 * 1000, "length": st.st_size}
+            if content:
+                with open(e.path, "rb") as f:
+                    row["content"] = f.read()
+                held += len(row["content"])
+            rows.append(row)
+            if len(rows) >= FILES_AT_ONCE or held >= BYTES_AT_ONCE:
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+    return run
+
+
+def _scan_here(spark: SparkSession, root: str, extensions, content: bool) -> DataFrame:
+    """The scan by the tasks: one for each share of the tree."""
+    pieces = _shares(root, PARTS_A_CORE * spark.sparkContext.defaultParallelism)
+    shares = spark.createDataFrame(spark.sparkContext.parallelize(pieces, len(pieces)), "folder string, share int, shares int")
+    kinds = "path string, modificationTime timestamp, length long" + ", content binary" * content
+    return shares.mapInArrow(_scan(None if extensions is None else tuple(extensions), content), kinds)
+
+
+def corpus_scan(spark: SparkSession, folder: str, extensions=EXTENSIONS, count: int = -1, content: bool = True) -> DataFrame:
     """A1: (path, modificationTime, length, content) of matching files, recursive.
 
     A missing folder raises.  ``count`` > 0 keeps the first files by path
     (the reference's order is the file system's listing order): these are
     found among the paths alone, and only their contents are read.
+    ``extensions`` None takes all files; ``content`` False leaves it out.
     """
-    glob = "*.{" + ",".join(e.lstrip(".") for e in extensions) + "}"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-    df = files.load(folder)
-    if not count or count < 0:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if extensions is not None:
+        files = files.option("pathGlobFilter", "*.{" + ",".join(e.lstrip(".") for e in extensions) + "}")
+    columns = ["path", "modificationTime", "length", *["content"] * content]
+    limited = bool(count) and count > 0
+    root = local_path(spark, folder)
+    if root is not None and os.path.isdir(root):
+        df = _scan_here(spark, os.path.abspath(root), extensions, content and not limited)
+    else:
+        df = files.load(folder).select(*columns)
+    if not limited:
         return df
     first = [r["path"] for r in df.select("path").orderBy("path").limit(count).collect()]
-    return files.load([_no_glob(p) for p in first]) if first else df.limit(0)
+    return files.load([_no_glob(p) for p in first]).select(*columns) if first else _no_files(spark, columns)
+
+
+def _no_files(spark: SparkSession, columns: list[str]) -> DataFrame:
+    return spark.createDataFrame([], "path string, modificationTime timestamp, length long, content binary").select(*columns)
 
 
 def _no_glob(path: str) -> str:

@@ -70,3 +70,28 @@ def test_stand_in_files_are_those_of_sparks_writer(spark, tmp_path):
             found.append(sorted(map(tuple, files.select(*part, "length", F.hex("content")).collect())))
         assert found[0] == found[1] and len(found[0]) == 8
     assert not list(tmp_path.glob("text-_write_files/**/.*"))  # no drafts, and no checksum files of Hadoop's
+
+
+def test_scan_by_the_tasks_equals_sparks_reader(spark, tmp_path):
+    """The tasks list and read the folder; the driver never holds the list of files."""
+    from pactline.sources import corpus as C
+    names = ["a.txt", "b.TXT", "c.docx", "_skipped.txt", "_a=b.txt", ".hidden.txt", "d.txt._COPYING_", "empty.txt", "x y%20[1].txt",
+             "é.txt", "_out/e.txt", "k=1/f.txt", ".git/g.txt", "one/deep/er/h.txt", "one/deep/er/i.html",
+             *[f"many/{j % 7}/n{j}.txt" for j in range(300)], *[f"flat{j}.txt" for j in range(90)]]
+    for j, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if name == "empty.txt" else bytes([j % 256]) * (j + 1))
+    (tmp_path / "gone.txt").symlink_to(tmp_path / "nowhere.txt")
+    plain = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    for extensions, glob in (((".txt",), "*.txt"), ((".txt", ".docx"), "*.{txt,docx}"), (None, "*")):
+        want = sorted(map(tuple, plain.option("pathGlobFilter", glob).load(str(tmp_path)).collect()))
+        found = C.corpus_scan(spark, str(tmp_path), extensions)
+        assert sorted(map(tuple, found.collect())) == want and len(want) > 390
+        assert not found.inputFiles() and found.rdd.getNumPartitions() > 1  # the plan names no file
+        paths = C.corpus_scan(spark, f"file://{tmp_path}", extensions, content=False)
+        assert sorted(map(tuple, paths.collect())) == [r[:3] for r in want]
+    pieces = C._shares(str(tmp_path), 8)
+    assert len(pieces) < 40 and any(shares == 8 for _, _, shares in pieces)
+    for want in (1, 3, 8, 1000):
+        got = [e.path for piece in C._shares(str(tmp_path), want) for e in C._files_of(*piece)]
+        assert len(got) == len(set(got)) == len(names) - 5 + 1  # each once; the link to nothing is left to the reader
