@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from paths import SF001
 from pactline.operators import bayes as B
+from pactline.operators import blocks as BL
 from pactline.operators import clusters as K
 from pactline.operators import features as FE
 from pactline.operators import models as M
@@ -290,3 +291,54 @@ def test_weighting_deals_only_rare_terms_back(spark):
     union = next(i for i, line in enumerate(plan) if i > norm and "Union" in line)
     assert not any("Exchange" in line for line in plan[norm:union])  # the norm is taken where the rows lie
     assert x.rows.count() == x.n_rows
+
+
+def _odd_documents(spark):
+    """Documents with repeated ids, no label, no term, no id, several labels, and terms of one document."""
+    rng = random.Random(21)
+    docs = [(i, Counter([f"w{min(rng.randrange(40), rng.randrange(40))}" for _ in range(rng.randint(0, 14))] + [f"own{i}"] * (i % 3)),
+             rng.choice(["b", "a", "c", None])) for i in range(120)]
+    tf = spark.createDataFrame([(d, t, n) for d, c, _ in docs for t, n in c.items()], "doc_id long, term string, tf long")
+    again = [(5, "a"), (5, "c"), (6, "b"), (None, "a"), (500, "b")]
+    labels = spark.createDataFrame([(d, y) for d, _, y in docs] + again, "doc_id long, label string")
+    parts = [(d[0], d[0] % 4 - 1) for d in docs] + [(5, 1), (7, 2), (8, 7 % 4 - 1), (None, 1), (300, 0)]
+    return tf, labels, spark.createDataFrame(parts, "doc_id long, part int")
+
+
+def test_blocks_equal_the_joins(spark, monkeypatch):
+    """Models over documents as sparse rows, with and without rare terms, one evaluation at a time or all."""
+    tf, labels, parts = _odd_documents(spark)
+    x = B.weighted(tf, parts, 3)
+    joined = x._replace(docs=None)
+    rows = lambda df: sorted((r.doc_id is None, r.doc_id, r.part, r.pred, round(r.score, 9)) for r in df.collect())
+    bayes, svm = rows(B.predict(None, labels, parts, 3, joined)), rows(S.predict(joined, labels, parts, 3, 4, 0.1))
+    assert len(bayes) > 85
+    sums = {(r.label, r.term): [r.n_0, r.n_1, r.n_2] for r in B._class_sums(joined, labels.where("label IS NOT NULL"), 3).collect()}
+    for most in (1 << 20, 8 * 4 * 30, 8 * 4 * 7):  # all terms, and 30 and 7 of them, are common for one evaluation
+        monkeypatch.setattr(BL, "DENSE_BYTES", most)
+        b = B.blocks_of(x, labels, 3)
+        assert (b.rare is None) == (most == 1 << 20) and len(b.groups) == (1 if most == 1 << 20 else 3)
+        assert rows(B.predict(None, labels, parts, 3, x)) == bayes
+        assert rows(S.predict(x, labels, parts, 3, 4, 0.1)) == svm
+        got = {(r.label, r.term): [r.n_0 or 0.0, r.n_1 or 0.0, r.n_2 or 0.0] for r in B._class_sums(x, labels.where("label IS NOT NULL"), 3).collect()}
+        for key, want in sums.items():
+            assert np.allclose(got.pop(key, [0.0] * 3), [v or 0.0 for v in want])
+        assert not got
+
+
+def test_evaluations_go_together_where_rare_rows_stay_small():
+    sizes = [(100, 10), (50, 100), (2, 1000), (1, 50_000)]
+    assert BL.least_for(sizes, 9) > 1 << 60 and BL.least_for(sizes, 110) == 50 and BL.least_for(sizes, 1 << 20) == 1
+    assert BL.evaluations_at_once(sizes, 4, 3, 0) == [[0, 1, 2, 3]]  # every term is common
+    least = BL.least_for(sizes, 1 << 16)
+    assert BL.evaluations_at_once([(s, n * 1000) for s, n in sizes], 10, 4, 1 << 31) != [list(range(10))] and least == 1
+    assert BL.evaluations_at_once([(s, n * 1000) for s, n in sizes], 4, 4, 0) == [[0], [1], [2], [3]]
+
+
+def test_ten_folds_are_never_stored(spark):
+    """What is kept holds no column for each fold beside a document's norms."""
+    tf, labels, parts = _odd_documents(spark)
+    x = B.weighted(tf, parts, 3)
+    assert "InMemoryRelation" not in x.rows.select("x_0")._jdf.queryExecution().withCachedData().toString().split("Join")[0]
+    assert [n for n, _ in x.docs.dtypes] == ["doc_id", "ps", "t"] and x.docs.count() == 122
+    assert B.blocks_of(x, labels, 3).docs.columns == ["doc_id", "ps", "ls", "v", "i", "n"]
