@@ -307,6 +307,7 @@ def _odd_documents(spark):
 
 def test_blocks_equal_the_joins(spark, monkeypatch):
     """Models over documents as sparse rows, with and without rare terms, one evaluation at a time or all."""
+    monkeypatch.setattr(BL, "LEAST_ROOM", 0)
     tf, labels, parts = _odd_documents(spark)
     x = B.weighted(tf, parts, 3)
     joined = x._replace(docs=None)
